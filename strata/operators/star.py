@@ -10,14 +10,12 @@ from ..functions.keys import hash_key
 from ..functions.money import cents, round_avg_cents
 from ..session import cut_lineage
 from .dedup import latest_per_key
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 _ROW_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row index
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str], name: str, start: int = 0,
-              num_partitions: int | None = None,
-              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+              num_partitions: int | None = None) -> DataFrame:
     """Consecutive keys ``start, start+1, ...`` in ``order_cols`` order
     (``row_number() over (order by ...) - 1 + start``) without a
     single-partition window.
@@ -35,14 +33,17 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], name: str, start: int =
                 .withColumn("__mid", F.monotonically_increasing_id()))
     staged = cut_lineage(staged)
     pid = F.shiftright(F.col("__mid"), _ROW_BITS)
-    counts = staged.groupBy(pid.alias("__pid")).count()
-    # running total over at most `parts` rows: a tiny, bounded frame
-    from pyspark.sql import Window
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("count").over(w), F.lit(0)).alias("__off"))
-    offsets = bounded_broadcast(cut_lineage(offsets), max_broadcast_rows)
+    # one row per partition: the collected list is bounded by `parts`
+    counts = sorted((r["__pid"], r["n"]) for r in
+                    staged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, run = [], 0
+    for p, n in counts:
+        offsets.append((p, run))
+        run += n
+    schema = "__pid long, __off long"
+    off_df = F.broadcast(df.sparkSession.createDataFrame(offsets or [(0, 0)], schema))
     pos = F.col("__mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (staged.join(offsets, pid == F.col("__pid"), "left")
+    return (staged.join(off_df, pid == F.col("__pid"), "left")
                   .withColumn(name, (F.col("__off") + pos + F.lit(start)).cast("long"))
                   .drop("__mid", "__pid", "__off"))
 

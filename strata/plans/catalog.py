@@ -238,3 +238,175 @@ def q_derived_bands(spark, sf):
              ["Paediatric", "Young Adult", "Middle Aged", "Senior", "Elderly"]).alias("age_group"),
         F.year(adm).alias("admission_year"), F.month(adm).alias("admission_month"),
     )
+
+
+# ------------------------------------------- star schema
+def dim_customer(spark, sf) -> DataFrame:
+    c = table(spark, sf, "customer").select(
+        "c_custkey", mask("c_name").alias("patient_id"), "c_nationkey",
+        F.col("c_mktsegment").alias("medical_condition"), "c_acctbal")
+    return build_dimension(c, ["c_custkey"], ["patient_id", "c_nationkey", "medical_condition",
+                                              "c_acctbal"], "customer_sk")
+
+
+def dim_supplier(spark, sf) -> DataFrame:
+    s = table(spark, sf, "supplier").select(
+        "s_suppkey", mask("s_name").alias("doctor_id"), F.col("s_name").alias("doctor_name"))
+    return build_dimension(s, ["s_suppkey"], ["doctor_id", "doctor_name"], "supplier_sk")
+
+
+def dim_nation(spark, sf) -> DataFrame:
+    n = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("hospital"))
+    return build_dimension(n, ["n_nationkey"], ["hospital"], "nation_sk")
+
+
+DIM_CUSTOMER_SQL = """
+dim_customer AS (
+  SELECT c_custkey, sha256(c_name) AS patient_id, c_nationkey, c_mktsegment AS medical_condition,
+         c_acctbal, row_number() OVER (ORDER BY c_custkey) - 1 AS customer_sk
+  FROM customer)"""
+DIM_SUPPLIER_SQL = """
+dim_supplier AS (
+  SELECT s_suppkey, sha256(s_name) AS doctor_id, s_name AS doctor_name,
+         row_number() OVER (ORDER BY s_suppkey) - 1 AS supplier_sk
+  FROM supplier)"""
+DIM_NATION_SQL = """
+dim_nation AS (
+  SELECT n_nationkey, n_name AS hospital, row_number() OVER (ORDER BY n_nationkey) - 1 AS nation_sk
+  FROM nation)"""
+
+
+@query("q_dim_customer", _with([DIM_CUSTOMER_SQL], "SELECT * FROM dim_customer"))
+def q_dim_customer(spark, sf):
+    return dim_customer(spark, sf)
+
+
+@query("q_dim_supplier", _with([DIM_SUPPLIER_SQL], "SELECT * FROM dim_supplier"))
+def q_dim_supplier(spark, sf):
+    return dim_supplier(spark, sf)
+
+
+@query("q_dim_nation", _with([DIM_NATION_SQL], "SELECT * FROM dim_nation"))
+def q_dim_nation(spark, sf):
+    return dim_nation(spark, sf)
+
+
+def fact_visits(spark, sf) -> DataFrame:
+    """Visit facts: one row per line item, keys from the three dimensions."""
+    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    visits = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+                .join(c, F.col("o_custkey") == c.c_custkey, "left"))
+    keyed = attach_keys(visits, [
+        (dim_customer(spark, sf), ["o_custkey"], ["c_custkey"], "customer_sk"),
+        (dim_supplier(spark, sf), ["l_suppkey"], ["s_suppkey"], "supplier_sk"),
+        (dim_nation(spark, sf), ["c_nationkey"], ["n_nationkey"], "nation_sk"),
+    ])
+    adm, dis = F.to_date("o_orderdate"), F.to_date("l_shipdate")
+    return keyed.select(
+        "l_orderkey", "l_linenumber", "customer_sk", "supplier_sk", "nation_sk",
+        iso(adm).alias("date_of_admission"), iso(dis).alias("discharge_date"),
+        F.col("o_orderpriority").alias("admission_type"),
+        F.col("l_returnflag").alias("test_results"),
+        F.col("l_extendedprice").alias("billing_amount"),
+        day_diff(dis, adm).alias("length_of_stay"),
+        band("l_extendedprice", [10000, 30000], ["Low", "Medium", "High"], null_label=None)
+        .alias("billing_category"),
+        F.year(adm).alias("admission_year"), F.month(adm).alias("admission_month"),
+        F.coalesce(F.col("c_acctbal") < 0, F.lit(True)).alias("_is_restricted"),
+    )
+
+
+FACT_SQL = """
+fact AS (
+  SELECT l.l_orderkey, l.l_linenumber, dc.customer_sk, ds.supplier_sk, dn.nation_sk,
+    strftime(CAST(o.o_orderdate AS DATE), '%Y-%m-%d') AS date_of_admission,
+    strftime(CAST(l.l_shipdate AS DATE), '%Y-%m-%d') AS discharge_date,
+    o.o_orderpriority AS admission_type, l.l_returnflag AS test_results,
+    l.l_extendedprice AS billing_amount,
+    CAST(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) AS INTEGER) AS length_of_stay,
+    CASE WHEN l.l_extendedprice < 10000 THEN 'Low' WHEN l.l_extendedprice < 30000 THEN 'Medium'
+         ELSE 'High' END AS billing_category,
+    CAST(year(o.o_orderdate) AS INTEGER) AS admission_year,
+    CAST(month(o.o_orderdate) AS INTEGER) AS admission_month,
+    coalesce(c.c_acctbal < 0, true) AS _is_restricted
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN dim_customer dc ON o.o_custkey = dc.c_custkey
+  LEFT JOIN dim_supplier ds ON l.l_suppkey = ds.s_suppkey
+  LEFT JOIN dim_nation dn ON c.c_nationkey = dn.n_nationkey)"""
+STAR_CTES = [DIM_CUSTOMER_SQL, DIM_SUPPLIER_SQL, DIM_NATION_SQL, FACT_SQL]
+
+
+def money_avg_sql(c: str) -> str:
+    s = f"CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS BIGINT)"
+    n = f"count({c})"
+    return (f"(CASE WHEN {s} < 0 THEN -1 ELSE 1 END) * ((2 * abs({s}) + {n}) // (2 * {n})) / 100")
+
+
+def money_sum_sql(c: str) -> str:
+    return f"CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS BIGINT) / 100"
+
+
+@query("q_fact_visits", _with(STAR_CTES, "SELECT * FROM fact"))
+def q_fact_visits(spark, sf):
+    return fact_visits(spark, sf)
+
+
+def condition_summary(spark, sf) -> DataFrame:
+    fact = fact_visits(spark, sf)
+    dim = dim_customer(spark, sf).select("customer_sk", "medical_condition")
+    joined = fact.join(dim, "customer_sk", "left")
+    return group_summary(joined, ["medical_condition", "admission_type"], {
+        "total_visits": F.count(F.lit(1)),
+        "avg_billing": money_avg("billing_amount"),
+        "avg_los": money_avg("length_of_stay"),
+        "total_revenue": money_sum("billing_amount"),
+        "unique_patients": F.countDistinct("customer_sk"),
+    })
+
+
+CONDITION_SQL = f"""
+condition_summary AS (
+  SELECT dc.medical_condition, f.admission_type, count(*) AS total_visits,
+    {money_avg_sql('f.billing_amount')} AS avg_billing,
+    {money_avg_sql('f.length_of_stay')} AS avg_los,
+    {money_sum_sql('f.billing_amount')} AS total_revenue,
+    count(DISTINCT f.customer_sk) AS unique_patients
+  FROM fact f LEFT JOIN dim_customer dc ON f.customer_sk = dc.customer_sk
+  GROUP BY dc.medical_condition, f.admission_type)"""
+
+
+@query("q_condition_summary", _with(STAR_CTES + [CONDITION_SQL], "SELECT * FROM condition_summary"))
+def q_condition_summary(spark, sf):
+    return condition_summary(spark, sf)
+
+
+@query("q_monthly_trend", _with(STAR_CTES, f"""
+SELECT admission_year, admission_month, admission_type, count(*) AS total_admissions,
+  {money_avg_sql('billing_amount')} AS avg_billing,
+  {money_avg_sql('length_of_stay')} AS avg_los,
+  CAST(sum(CASE WHEN test_results = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS abnormal_count
+FROM fact GROUP BY admission_year, admission_month, admission_type
+ORDER BY admission_year, admission_month"""))
+def q_monthly_trend(spark, sf):
+    fact = fact_visits(spark, sf)
+    return group_summary(fact, ["admission_year", "admission_month", "admission_type"], {
+        "total_admissions": F.count(F.lit(1)),
+        "avg_billing": money_avg("billing_amount"),
+        "avg_los": money_avg("length_of_stay"),
+        "abnormal_count": F.sum(F.when(F.col("test_results") == "R", 1).otherwise(0)),
+    }).orderBy("admission_year", "admission_month")
+
+
+@query("q_public_view", _with(STAR_CTES, """
+SELECT * EXCLUDE (_is_restricted) FROM fact WHERE _is_restricted = false"""))
+def q_public_view(spark, sf):
+    return public_view(fact_visits(spark, sf))
+
+
+@query("q_summary_view", _with(STAR_CTES + [CONDITION_SQL], """
+SELECT * FROM condition_summary WHERE medical_condition IS NOT NULL"""))
+def q_summary_view(spark, sf):
+    return not_null_view(condition_summary(spark, sf), "medical_condition")
