@@ -410,3 +410,101 @@ def q_public_view(spark, sf):
 SELECT * FROM condition_summary WHERE medical_condition IS NOT NULL"""))
 def q_summary_view(spark, sf):
     return not_null_view(condition_summary(spark, sf), "medical_condition")
+
+
+# ------------------------------------------------------- imputation
+from ..operators.impute import Rule, impute, impute_donor, impute_median, impute_mode, null_summary  # noqa: E402
+
+_H_SQL = "md5('42' || '|' || CAST(k AS VARCHAR))"
+
+
+def _donor_sql(frame: str) -> str:
+    pick = "d.v" if frame == "full" else "CASE WHEN d.dh <= x.h THEN d.v END"
+    return with_clean(f"""
+x AS (SELECT *, {_H_SQL} AS h FROM clean_orders),
+d AS (SELECT priority AS g, arg_min(status, h) AS v, min(h) AS dh FROM x
+      WHERE status IS NOT NULL GROUP BY priority)
+SELECT x.k, coalesce(x.status, {pick}, 'Unknown') AS status
+FROM x LEFT JOIN d ON x.priority IS NOT DISTINCT FROM d.g""")
+
+
+@query("q_impute_donor", _donor_sql("full"))
+def q_impute_donor(spark, sf):
+    out = impute_donor(clean_orders(spark, sf), "status", ["priority"], "Unknown",
+                       row_key=["k"], seed=42, frame="full")
+    return out.select("k", "status")
+
+
+@query("q_impute_donor_running", _donor_sql("running"))
+def q_impute_donor_running(spark, sf):
+    out = impute_donor(clean_orders(spark, sf), "status", ["priority"], "Unknown",
+                       row_key=["k"], seed=42, frame="running")
+    return out.select("k", "status")
+
+
+def _mode_cte(name: str, src: str, col: str, by: str) -> str:
+    return f"""
+{name} AS (SELECT g, v FROM (
+    SELECT g, v, row_number() OVER (PARTITION BY g ORDER BY n DESC, v ASC) AS rn
+    FROM (SELECT {by} AS g, {col} AS v, count(*) AS n FROM {src}
+          WHERE {col} IS NOT NULL GROUP BY {by}, {col})) WHERE rn = 1)"""
+
+
+@query("q_impute_mode", with_clean(_mode_cte("m", "clean_orders", "status", "priority") + """
+SELECT c.k, coalesce(c.status, m.v, 'Unknown') AS status
+FROM clean_orders c LEFT JOIN m ON c.priority IS NOT DISTINCT FROM m.g"""))
+def q_impute_mode(spark, sf):
+    return impute_mode(clean_orders(spark, sf), "status", ["priority"], "Unknown").select("k", "status")
+
+
+@query("q_impute_median", with_clean("""
+m AS (SELECT status AS g1, priority AS g2, quantile_disc(price, 0.5) AS med
+      FROM clean_orders WHERE price IS NOT NULL GROUP BY status, priority)
+SELECT c.k, coalesce(c.price, m.med, 10000.0) AS price
+FROM clean_orders c LEFT JOIN m
+  ON c.status IS NOT DISTINCT FROM m.g1 AND c.priority IS NOT DISTINCT FROM m.g2"""))
+def q_impute_median(spark, sf):
+    out = impute_median(clean_orders(spark, sf), "price", ["status", "priority"], 10000.0)
+    return out.select("k", "price")
+
+
+IMPUTE_RULES = [
+    Rule("status", ["o_custkey"], "donor", "Unknown"),
+    Rule("price", ["status", "priority"], "median", 10000.0),
+    Rule("priority", ["status"], "mode", "4-NOT SPECIFIED"),
+]
+
+IMPUTE_PLAN_SQL = with_clean("""
+x AS (SELECT *, md5('42' || '|' || CAST(k AS VARCHAR)) AS h FROM clean_orders),
+d AS (SELECT o_custkey AS g, arg_min(status, h) AS v FROM x WHERE status IS NOT NULL GROUP BY o_custkey),
+s1 AS (SELECT x.k, x.o_custkey, x.price, x.priority, x.order_date,
+              coalesce(x.status, d.v, 'Unknown') AS status
+       FROM x LEFT JOIN d ON x.o_custkey IS NOT DISTINCT FROM d.g),
+m AS (SELECT status AS g1, priority AS g2, quantile_disc(price, 0.5) AS med
+      FROM s1 WHERE price IS NOT NULL GROUP BY status, priority),
+s2 AS (SELECT s1.k, s1.o_custkey, s1.status, s1.priority, s1.order_date,
+              coalesce(s1.price, m.med, 10000.0) AS price
+       FROM s1 LEFT JOIN m ON s1.status IS NOT DISTINCT FROM m.g1
+                          AND s1.priority IS NOT DISTINCT FROM m.g2),""" + _mode_cte("mo", "s2", "priority", "status") + """,
+s3 AS (SELECT s2.k, s2.o_custkey, s2.status, s2.price, s2.order_date,
+              coalesce(s2.priority, mo.v, '4-NOT SPECIFIED') AS priority
+       FROM s2 LEFT JOIN mo ON s2.status IS NOT DISTINCT FROM mo.g)""")
+
+
+def impute_plan(spark, sf) -> DataFrame:
+    return impute(clean_orders(spark, sf), IMPUTE_RULES, row_key=["k"], seed=42, frame="full")
+
+
+@query("q_impute_plan", IMPUTE_PLAN_SQL + "\nSELECT k, status, price, priority FROM s3")
+def q_impute_plan(spark, sf):
+    return impute_plan(spark, sf).select("k", "status", "price", "priority")
+
+
+@query("q_null_summary", IMPUTE_PLAN_SQL + """
+SELECT CAST(count_if(status IS NULL) AS BIGINT) AS status_nulls,
+       CAST(count_if(price IS NULL) AS BIGINT) AS price_nulls,
+       CAST(count_if(priority IS NULL) AS BIGINT) AS priority_nulls,
+       CAST(count_if(order_date IS NULL) AS BIGINT) AS order_date_nulls
+FROM s3""")
+def q_null_summary(spark, sf):
+    return null_summary(impute_plan(spark, sf), ["status", "price", "priority", "order_date"])
