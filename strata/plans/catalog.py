@@ -166,9 +166,13 @@ clean_orders AS (
 
 def clean_orders(spark, sf) -> DataFrame:
     """Dirty orders after coercion, range check, date parse and whitelists."""
-    d = dirty_orders(table(spark, sf, "orders"))
+    return cleanse_orders(dirty_orders(table(spark, sf, "orders")))
+
+
+def cleanse_orders(d: DataFrame, keep_raw: bool = False) -> DataFrame:
+    raw = [try_double("price_txt").alias("raw_price")] if keep_raw else []
     return d.select(
-        "k", "o_custkey",
+        "k", "o_custkey", *raw,
         null_out_of_range(try_double("price_txt"), lo=0, lo_inclusive=True, hi=None).alias("price"),
         canonical("priority", PRIORITIES, fold="upper").alias("priority"),
         canonical("status", STATUSES, fold=None).alias("status"),
@@ -508,3 +512,161 @@ SELECT CAST(count_if(status IS NULL) AS BIGINT) AS status_nulls,
 FROM s3""")
 def q_null_summary(spark, sf):
     return null_summary(impute_plan(spark, sf), ["status", "price", "priority", "order_date"])
+
+
+# ------------------------------------------------- quality report (K1-K9)
+from ..operators.quality import (GateRule, dup_report, gate_report, null_report,  # noqa: E402
+                                 quality_metrics, quality_score, range_report)
+
+Q_NULL_COLS = ["price", "priority", "status", "order_date"]
+Q_KEYS = ["o_custkey", "order_date"]
+
+
+def q_range_rules():
+    return {
+        "negative_amount": F.col("raw_price") < 0,
+        "date_out_of_range": (F.col("order_date") < F.lit("1995-01-01").cast("date"))
+        | (F.col("order_date") > F.lit("2000-12-31").cast("date")),
+    }
+
+
+def silver_orders(spark, sf):
+    """(processed, quarantined, final) of the silver-like flow on dirty orders."""
+    d = dirty_orders(table(spark, sf, "orders"))
+    clean, quarantined = split_by_null_ratio(d, 0.30, DIRTY_COLS)
+    kept, _ = split_critical(cleanse_orders(clean, keep_raw=True), ["price", "priority", "order_date"])
+    final = kept.withColumns({"cust_masked": mask("o_custkey"), "status_masked": mask("status")})
+    return d, quarantined, final
+
+
+def silver_metrics(spark, sf) -> DataFrame:
+    processed, quarantined, final = silver_orders(spark, sf)
+    return quality_metrics(final, processed=processed, quarantined=quarantined, keys=Q_KEYS,
+                           null_cols=Q_NULL_COLS, range_rules=q_range_rules(),
+                           mask_cols=["cust_masked", "status_masked"])
+
+
+SILVER_SQL = [DIRTY_ORDERS_SQL, f"""
+scored AS (SELECT *, {_NULL_COUNT_SQL} AS n FROM dirty_orders),
+quar AS (SELECT * FROM scored WHERE n / 5 > 0.3),
+cleaned AS (
+  SELECT k, o_custkey, TRY_CAST(price_txt AS DOUBLE) AS raw_price,
+    CASE WHEN TRY_CAST(price_txt AS DOUBLE) < 0 THEN NULL ELSE TRY_CAST(price_txt AS DOUBLE) END AS price,
+    CASE WHEN upper(priority) IN ({_PRI_LIST}) THEN upper(priority) END AS priority,
+    CASE WHEN status IN ({_STA_LIST}) THEN status END AS status,
+    CAST(try_strptime(date_txt, '%Y-%m-%d') AS DATE) AS order_date
+  FROM scored WHERE n / 5 <= 0.3),
+final AS (
+  SELECT *, sha256(CAST(o_custkey AS VARCHAR)) AS cust_masked, sha256(status) AS status_masked
+  FROM cleaned WHERE price IS NOT NULL AND priority IS NOT NULL AND order_date IS NOT NULL),
+per_key AS (SELECT o_custkey, order_date, count(*) AS cnt FROM final GROUP BY o_custkey, order_date),
+m0 AS (
+  SELECT (SELECT count(*) FROM dirty_orders) AS processed,
+         (SELECT count(*) FROM quar) AS quarantined,
+         count(*) AS final,
+         count_if(cust_masked IS NULL OR status_masked IS NULL) AS unmasked,
+         count(*) AS current_rows,
+         (SELECT count(*) FROM per_key) AS distinct_keys,
+         count_if(price IS NULL) AS price_nulls, count_if(priority IS NULL) AS priority_nulls,
+         count_if(status IS NULL) AS status_nulls, count_if(order_date IS NULL) AS order_date_nulls,
+         count_if(coalesce(raw_price < 0, false)) AS negative_amount_violations,
+         count_if(coalesce(order_date < DATE '1995-01-01' OR order_date > DATE '2000-12-31', false))
+           AS date_out_of_range_violations
+  FROM final),
+metrics AS (
+  SELECT *,
+    CASE WHEN final + quarantined > 0 THEN quarantined / (final + quarantined) * 100 ELSE 0.0 END AS quarantine_pct,
+    CASE WHEN final > 0 THEN unmasked / final * 100 ELSE 0.0 END AS mask_pct,
+    current_rows - distinct_keys AS dup_count,
+    CASE WHEN current_rows > 0 THEN (current_rows - distinct_keys) / current_rows * 100 ELSE 0.0 END AS dup_pct,
+    CASE WHEN final > 0 THEN negative_amount_violations / final * 100 ELSE 0.0 END AS negative_amount_pct,
+    CASE WHEN final > 0 THEN date_out_of_range_violations / final * 100 ELSE 0.0 END AS date_out_of_range_pct,
+    CASE WHEN final > 0 THEN (price_nulls + priority_nulls + status_nulls + order_date_nulls) / 4 / final * 100
+         ELSE 0.0 END AS avg_null_pct
+  FROM m0)"""]
+
+
+def _band_sql(p: str, warn: int) -> str:
+    return f"CASE WHEN {p} = 0 THEN 'ok' WHEN {p} < {warn} THEN 'warn' ELSE 'fail' END"
+
+
+@query("q_funnel", _with(SILVER_SQL, """
+SELECT processed, quarantined, final, quarantine_pct FROM metrics"""))
+def q_funnel(spark, sf):
+    return silver_metrics(spark, sf).select("processed", "quarantined", "final", "quarantine_pct")
+
+
+@query("q_null_report", _with(SILVER_SQL, f"""
+u AS (SELECT 'price' AS "column", price_nulls AS null_count, final FROM metrics UNION ALL
+      SELECT 'priority', priority_nulls, final FROM metrics UNION ALL
+      SELECT 'status', status_nulls, final FROM metrics UNION ALL
+      SELECT 'order_date', order_date_nulls, final FROM metrics)
+SELECT "column", CAST(null_count AS BIGINT) AS null_count,
+       CASE WHEN final > 0 THEN null_count / final * 100 ELSE 0.0 END AS null_pct,
+       {_band_sql('CASE WHEN final > 0 THEN null_count / final * 100 ELSE 0.0 END', 5)} AS status
+FROM u"""))
+def q_null_report(spark, sf):
+    return null_report(silver_orders(spark, sf)[2], Q_NULL_COLS)
+
+
+@query("q_dup_report", _with(SILVER_SQL, f"""
+SELECT current_rows AS total_current, distinct_keys, dup_count, dup_pct,
+       {_band_sql('dup_pct', 1)} AS status FROM metrics"""))
+def q_dup_report(spark, sf):
+    return dup_report(silver_orders(spark, sf)[2], Q_KEYS)
+
+
+@query("q_range_report", _with(SILVER_SQL, f"""
+u AS (SELECT 'negative_amount' AS rule, negative_amount_violations AS violations, final FROM metrics
+      UNION ALL SELECT 'date_out_of_range', date_out_of_range_violations, final FROM metrics)
+SELECT rule, CAST(violations AS BIGINT) AS violations,
+       CASE WHEN final > 0 THEN violations / final * 100 ELSE 0.0 END AS pct,
+       {_band_sql('CASE WHEN final > 0 THEN violations / final * 100 ELSE 0.0 END', 1)} AS status
+FROM u"""))
+def q_range_report(spark, sf):
+    return range_report(silver_orders(spark, sf)[2], q_range_rules())
+
+
+@query("q_mask_report", _with(SILVER_SQL, "SELECT CAST(unmasked AS BIGINT) AS unmasked, mask_pct FROM metrics"))
+def q_mask_report(spark, sf):
+    return silver_metrics(spark, sf).select("unmasked", "mask_pct")
+
+
+SCORE_RENAME = {"age_pct": "date_out_of_range_pct", "billing_pct": "negative_amount_pct"}
+
+
+@query("q_quality_score", _with(SILVER_SQL, """
+s AS (SELECT *, greatest(100.0 - least(quarantine_pct * 2, 20.0) - least(dup_pct * 10, 20.0)
+          - least(date_out_of_range_pct * 5, 10.0) - least(negative_amount_pct * 5, 10.0)
+          - least(mask_pct * 20, 20.0) - least(avg_null_pct * 4, 20.0), 0.0) AS score FROM metrics)
+SELECT quarantine_pct, dup_pct, date_out_of_range_pct, negative_amount_pct, mask_pct, avg_null_pct,
+       score, CASE WHEN score >= 95 THEN 'A+' WHEN score >= 90 THEN 'A' WHEN score >= 80 THEN 'B'
+                   WHEN score >= 70 THEN 'C' ELSE 'D' END AS grade
+FROM s"""))
+def q_quality_score(spark, sf):
+    scored = quality_score(silver_metrics(spark, sf), rename=SCORE_RENAME)
+    return scored.select("quarantine_pct", "dup_pct", "date_out_of_range_pct", "negative_amount_pct",
+                         "mask_pct", "avg_null_pct", "score", "grade")
+
+
+def q_gate_rules():
+    rules = [GateRule("non_empty", kind="empty")]
+    rules += [GateRule(f"no_nulls_{c}", F.col(c).isNull()) for c in Q_NULL_COLS]
+    rules += [GateRule("no_negative_amount", F.col("raw_price") < 0),
+              GateRule("dates_in_range", q_range_rules()["date_out_of_range"]),
+              GateRule("unique_current_keys", kind="dup_keys", keys=Q_KEYS)]
+    return rules
+
+
+@query("q_gate", _with(SILVER_SQL, """
+SELECT rule, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM (
+  SELECT 'non_empty' AS rule, CASE WHEN final = 0 THEN 1 ELSE 0 END AS failures FROM metrics
+  UNION ALL SELECT 'no_nulls_price', price_nulls FROM metrics
+  UNION ALL SELECT 'no_nulls_priority', priority_nulls FROM metrics
+  UNION ALL SELECT 'no_nulls_status', status_nulls FROM metrics
+  UNION ALL SELECT 'no_nulls_order_date', order_date_nulls FROM metrics
+  UNION ALL SELECT 'no_negative_amount', negative_amount_violations FROM metrics
+  UNION ALL SELECT 'dates_in_range', date_out_of_range_violations FROM metrics
+  UNION ALL SELECT 'unique_current_keys', dup_count FROM metrics)"""))
+def q_gate(spark, sf):
+    return gate_report(silver_orders(spark, sf)[2], q_gate_rules())
