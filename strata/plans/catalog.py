@@ -670,3 +670,237 @@ SELECT rule, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM (
   UNION ALL SELECT 'unique_current_keys', dup_count FROM metrics)"""))
 def q_gate(spark, sf):
     return gate_report(silver_orders(spark, sf)[2], q_gate_rules())
+
+
+# ----------------------------------------------- upsert and history
+from ..operators.history import scd_init, scd_merge  # noqa: E402
+from ..operators.layout import cluster_by, compact  # noqa: E402
+from ..operators.quality import scd_report  # noqa: E402
+from ..operators.upsert import upsert  # noqa: E402
+from ..session import shared_dir  # noqa: E402
+from ..sources.tables import TableStore  # noqa: E402
+from ..streaming.incremental import (batch_max, incremental_batch, read_watermark,  # noqa: E402
+                                     save_watermark)
+
+ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+
+
+def _orders_split(spark, sf):
+    """Target: orders before 1999; batch: orders from 1998 on with a new price
+    (1998 keys update, later keys insert)."""
+    o = table(spark, sf, "orders")
+    target = o.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    batch = (o.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+              .withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0)))
+    return target, batch
+
+
+@query("q_upsert", f"""
+WITH t AS (SELECT {ORDER_COLS} FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
+             o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey IS NOT DISTINCT FROM t.o_orderkey)
+UNION ALL SELECT * FROM s""")
+def q_upsert(spark, sf):
+    target, batch = _orders_split(spark, sf)
+    return upsert(target, batch, ["o_orderkey"])
+
+
+@query("q_upsert_evolve", f"""
+WITH t AS (SELECT {ORDER_COLS}, 'legacy-' || o_orderstatus AS legacy_code
+           FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
+             o_orderpriority, lower(o_orderpriority) AS channel
+      FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+SELECT t.*, CAST(NULL AS VARCHAR) AS channel FROM t
+  WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey IS NOT DISTINCT FROM t.o_orderkey)
+UNION ALL
+SELECT s.o_orderkey, s.o_custkey, s.o_orderstatus, s.o_totalprice, s.o_orderdate, s.o_orderpriority,
+       t.legacy_code, s.channel
+FROM s LEFT JOIN t ON s.o_orderkey IS NOT DISTINCT FROM t.o_orderkey""")
+def q_upsert_evolve(spark, sf):
+    target, batch = _orders_split(spark, sf)
+    target = target.withColumn("legacy_code", F.concat(F.lit("legacy-"), F.col("o_orderstatus")))
+    batch = batch.withColumn("channel", F.lower("o_orderpriority"))
+    return upsert(target, batch, ["o_orderkey"])
+
+
+CUST_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def _scd_inputs(spark, sf):
+    """Target: every customer current since 2024-01-01, plus a closed older
+    version for some; batch (2024-02-01): every customer with key-derived
+    segment (tracked) and balance (type-1) changes, plus some new keys."""
+    c = table(spark, sf, "customer").select(*CUST_COLS)
+    k = F.col("c_custkey")
+    cur = scd_init(c, F.lit("2024-01-01"))
+    old = (c.filter(k % 19 == 0).withColumn("c_mktsegment", F.lit("OLD"))
+            .withColumns({"_eff_start": F.lit("2023-01-01").cast("date"),
+                          "_eff_end": F.lit("2024-01-01").cast("date"), "_is_current": F.lit(False)}))
+    target = cur.unionByName(old)
+    seg = (F.when((k % 7 == 0) | (k % 11 == 0),
+                  F.when(F.col("c_mktsegment") == "BUILDING", "MACHINERY").otherwise("BUILDING"))
+            .when(k % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")))
+    bal = F.when((k % 5 == 0) | (k % 11 == 0), F.col("c_acctbal") + F.lit(100.0)).otherwise(F.col("c_acctbal"))
+    changed = c.withColumns({"c_mktsegment": seg, "c_acctbal": bal})
+    new = c.filter(k % 17 == 0).withColumn("c_custkey", k + F.lit(1_000_000))
+    batch = scd_init(changed.unionByName(new), F.lit("2024-02-01"))
+    return target, batch
+
+
+def _scd_out(df: DataFrame) -> DataFrame:
+    return df.select(*CUST_COLS, iso("_eff_start").alias("_eff_start"), iso("_eff_end").alias("_eff_end"),
+                     "_is_current")
+
+
+def _scd_sql(new_version: bool, null_safe: bool) -> str:
+    def diff(a, b):
+        return f"({a} IS DISTINCT FROM {b})" if null_safe else f"coalesce({a} <> {b}, false)"
+
+    def same(a, b):
+        return f"({a} IS NOT DISTINCT FROM {b})" if null_safe else f"coalesce({a} = {b}, false)"
+    t2 = f"(hit AND {diff('c_mktsegment', 's_seg')})"
+    t1 = f"(hit AND {same('c_mktsegment', 's_seg')} AND {diff('c_acctbal', 's_bal')})"
+    newv = f"""
+UNION ALL SELECT s_key, s_name, s_nat, s_bal, s_seg, s_start, NULL, true FROM j WHERE {t2}""" \
+        if new_version else ""
+    return f"""
+WITH c AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer),
+tgt AS (SELECT *, DATE '2024-01-01' AS _eff_start, CAST(NULL AS DATE) AS _eff_end, true AS _is_current FROM c
+        UNION ALL
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'OLD', DATE '2023-01-01', DATE '2024-01-01', false
+        FROM c WHERE c_custkey % 19 = 0),
+chg AS (SELECT c_custkey, c_name, c_nationkey,
+          CASE WHEN c_custkey % 5 = 0 OR c_custkey % 11 = 0 THEN c_acctbal + 100.0 ELSE c_acctbal END AS c_acctbal,
+          CASE WHEN c_custkey % 7 = 0 OR c_custkey % 11 = 0 THEN
+                 CASE WHEN c_mktsegment = 'BUILDING' THEN 'MACHINERY' ELSE 'BUILDING' END
+               WHEN c_custkey % 13 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+        FROM c
+        UNION ALL
+        SELECT c_custkey + 1000000, c_name, c_nationkey, c_acctbal, c_mktsegment FROM c WHERE c_custkey % 17 = 0),
+inc AS (SELECT *, DATE '2024-02-01' AS _eff_start, CAST(NULL AS DATE) AS _eff_end, true AS _is_current FROM chg),
+cur AS (SELECT * FROM tgt WHERE _is_current),
+j AS (SELECT t.*, s.c_custkey AS s_key, s.c_name AS s_name, s.c_nationkey AS s_nat, s.c_acctbal AS s_bal,
+             s.c_mktsegment AS s_seg, s._eff_start AS s_start, s.c_custkey IS NOT NULL AS hit
+      FROM cur t LEFT JOIN inc s ON t.c_custkey IS NOT DISTINCT FROM s.c_custkey),
+merged AS (
+  SELECT * FROM tgt WHERE NOT _is_current
+  UNION ALL
+  SELECT c_custkey, c_name, c_nationkey, CASE WHEN {t1} THEN s_bal ELSE c_acctbal END, c_mktsegment,
+         _eff_start, CASE WHEN {t2} THEN s_start ELSE _eff_end END, CASE WHEN {t2} THEN false ELSE _is_current END
+  FROM j{newv}
+  UNION ALL
+  SELECT * FROM inc WHERE NOT EXISTS (SELECT 1 FROM cur WHERE cur.c_custkey IS NOT DISTINCT FROM inc.c_custkey))
+"""
+
+
+_SCD_SELECT = """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+  strftime(_eff_start, '%Y-%m-%d') AS _eff_start, strftime(_eff_end, '%Y-%m-%d') AS _eff_end, _is_current
+FROM merged"""
+
+
+def scd_merged(spark, sf, **opts) -> DataFrame:
+    target, batch = _scd_inputs(spark, sf)
+    return scd_merge(target, batch, ["c_custkey"], tracked=["c_mktsegment"], type1=["c_acctbal"], **opts)
+
+
+@query("q_scd_merge", _scd_sql(True, True) + _SCD_SELECT)
+def q_scd_merge(spark, sf):
+    return _scd_out(scd_merged(spark, sf))
+
+
+@query("q_scd_merge_strict", _scd_sql(False, False) + _SCD_SELECT)
+def q_scd_merge_strict(spark, sf):
+    """The plain-MERGE behaviour: ``!=`` tests, closing without a new version."""
+    return _scd_out(scd_merged(spark, sf, insert_new_version=False, null_safe_changes=False))
+
+
+@query("q_scd_report", _scd_sql(True, True) + """
+, r AS (SELECT count(*) AS total, count_if(_is_current) AS current FROM merged)
+SELECT total, CAST(current AS BIGINT) AS current, CAST(total - current AS BIGINT) AS historical,
+       CASE WHEN total > 0 THEN (total - current) / total * 100 ELSE 0.0 END AS historical_pct FROM r""")
+def q_scd_report(spark, sf):
+    return scd_report(scd_merged(spark, sf))
+
+
+# ------------------------------------------- incremental load
+@query("q_incremental", """
+SELECT * FROM events
+WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-15')""")
+def q_incremental(spark, sf):
+    """First run loads events before 2024-01-15 and stores the mark; the
+    second run reads the mark back and takes only later events."""
+    ev = table(spark, sf, "events")
+    wm_path = shared_dir(spark, "watermarks")
+    first = incremental_batch(ev.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")),
+                              "ts", read_watermark(spark, wm_path, "events"))
+    save_watermark(spark, wm_path, batch_max(first, "ts"), "events")
+    return incremental_batch(ev, "ts", read_watermark(spark, wm_path, "events"))
+
+
+# ------------------------------------- table maintenance
+def _store(spark) -> TableStore:
+    return TableStore(spark, shared_dir(spark, "tables"))
+
+
+@query("q_delete_where", """
+SELECT * FROM events WHERE NOT coalesce(event_type = 'error' AND value > 50, false)""")
+def q_delete_where(spark, sf):
+    st = _store(spark)
+    st.publish(table(spark, sf, "events"), "events")
+    st.delete_where("events", (F.col("event_type") == "error") & (F.col("value") > 50))
+    return st.read("events")
+
+
+@query("q_append_evolve", f"""
+SELECT {ORDER_COLS}, CAST(NULL AS VARCHAR) AS channel FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+UNION ALL
+SELECT {ORDER_COLS}, lower(o_orderpriority) AS channel FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""")
+def q_append_evolve(spark, sf):
+    o = table(spark, sf, "orders")
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    st = _store(spark)
+    st.publish(o.filter(F.col("o_orderdate") < cut), "orders")
+    st.append(o.filter(F.col("o_orderdate") >= cut).withColumn("channel", F.lower("o_orderpriority")), "orders")
+    return st.read("orders").select(*ORDER_COLS.split(", "), "channel")
+
+
+@query("q_history", """
+SELECT * FROM (VALUES (0, 'CREATE'), (1, 'APPEND'), (2, 'DELETE')) v(version, operation)
+JOIN (SELECT 0 AS version, count(*) AS rows FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+      UNION ALL SELECT 1, count(*) FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
+      UNION ALL SELECT 2, count(*) FROM orders WHERE o_orderstatus <> 'P') c USING (version)""")
+def q_history(spark, sf):
+    o = table(spark, sf, "orders")
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    st = _store(spark)
+    st.publish(o.filter(F.col("o_orderdate") < cut), "orders")
+    st.append(o.filter(F.col("o_orderdate") >= cut), "orders")
+    st.delete_where("orders", F.col("o_orderstatus") == "P")
+    h = st.history("orders", 5)
+    return h.select(F.col("version").cast("int").alias("version"), "operation", "rows")
+
+
+LI_ALL = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "
+          "l_tax, l_returnflag, l_linestatus, l_shipdate")
+
+
+@query("q_compact", f"SELECT {LI_ALL} FROM lineitem")
+def q_compact(spark, sf):
+    st = _store(spark)
+    li = table(spark, sf, "lineitem")
+    # many small segments, as a stream of small loads leaves them
+    st.publish(li.filter(F.col("l_returnflag") == "A"), "lineitem")
+    st.append(li.filter(F.col("l_returnflag") != "A"), "lineitem")
+    st.rewrite("lineitem", lambda df: compact(df, rows_per_file=250_000), "OPTIMIZE")
+    return st.read("lineitem")
+
+
+@query("q_cluster", f"SELECT {LI_ALL} FROM lineitem")
+def q_cluster(spark, sf):
+    st = _store(spark)
+    st.publish(table(spark, sf, "lineitem"), "lineitem")
+    st.rewrite("lineitem", lambda df: cluster_by(df, ["l_returnflag", "l_shipdate", "l_partkey"],
+                                                 rows_per_file=100_000), "ZORDER")
+    return st.read("lineitem")
