@@ -904,3 +904,116 @@ def q_cluster(spark, sf):
     st.rewrite("lineitem", lambda df: cluster_by(df, ["l_returnflag", "l_shipdate", "l_partkey"],
                                                  rows_per_file=100_000), "ZORDER")
     return st.read("lineitem")
+
+
+# --------------------------------------- sources, guards, drift
+from ..sources.files import check_not_empty, read_raw, split_corrupt  # noqa: E402
+from ..sources.quarantine import envelope  # noqa: E402
+from ..sources.schema import add_ingest_metadata, detect_drift, fill_missing, normalise_columns  # noqa: E402
+from ..sources.workbooks import read_workbooks, write_workbooks  # noqa: E402
+
+CUST_TYPES = {"c_custkey": "long", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double",
+              "c_mktsegment": "string"}
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast(t).alias(c) for c, t in CUST_TYPES.items()])
+
+
+def _csv_fixture(spark, sf) -> str:
+    """Customers as CSV, plus files of ragged rows derived from some of them
+    (too few fields, too many fields)."""
+    c = table(spark, sf, "customer").select(*CUST_TYPES)
+    d = shared_dir(spark, "sources", "csv")
+    c.write.option("header", "true").csv(f"{d}/good")
+    k = F.col("c_custkey")
+    short = c.filter(k % 50 == 0).select("c_custkey", "c_name", "c_nationkey")
+    short.toDF("c_custkey", "c_name", "c_nationkey").write.option("header", "false").csv(f"{d}/short")
+    long_ = c.filter(k % 70 == 0).withColumn("extra", F.lit("x"))
+    long_.write.option("header", "false").csv(f"{d}/long")
+    return d
+
+
+def _read_csv_fixture(spark, d):
+    # header from the good files; the ragged files carry no header line
+    good_raw = read_raw(spark, f"{d}/good", "csv")
+    names = [c for c in good_raw.columns if c != "_corrupt_record"]
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names] +
+                          [T.StructField("_corrupt_record", T.StringType())])
+    ragged = (spark.read.schema(schema).option("header", "false").option("mode", "PERMISSIVE")
+                  .option("columnNameOfCorruptRecord", "_corrupt_record")
+                  .csv([f"{d}/short", f"{d}/long"]))
+    return good_raw.unionByName(ragged)
+
+
+@query("q_sources_csv", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_sources_csv(spark, sf):
+    raw = _read_csv_fixture(spark, _csv_fixture(spark, sf))
+    good, _ = split_corrupt(check_not_empty(raw, "customer.csv"))
+    return _typed(good)
+
+
+@query("q_quarantine_csv", """
+SELECT 'parse_error' AS reason, c_custkey FROM customer WHERE c_custkey % 50 = 0
+UNION ALL SELECT 'parse_error', c_custkey FROM customer WHERE c_custkey % 70 = 0""")
+def q_quarantine_csv(spark, sf):
+    raw = _read_csv_fixture(spark, _csv_fixture(spark, sf))
+    _, bad = split_corrupt(raw)
+    env = envelope(bad, "bronze", "parse_error", F.lit("customer.csv"))
+    first_field = F.split(F.get_json_object("row_json", "$._corrupt_record"), ",").getItem(0)
+    return env.select("reason", first_field.cast("long").alias("c_custkey"))
+
+
+@query("q_sources_json", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_sources_json(spark, sf):
+    c = table(spark, sf, "customer").select(*CUST_TYPES)
+    d = shared_dir(spark, "sources", "json")
+    c.write.json(f"{d}/good")
+    # truncated records derived from some customers
+    (c.filter(F.col("c_custkey") % 40 == 0)
+      .select(F.concat(F.lit('{"c_custkey": '), F.col("c_custkey").cast("string"), F.lit(', "c_name":')))
+      .write.text(f"{d}/bad"))
+    raw = read_raw(spark, f"{d}/*", "json")
+    good, _ = split_corrupt(raw)
+    return _typed(good)
+
+
+@query("q_sources_orc", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_sources_orc(spark, sf):
+    d = shared_dir(spark, "sources", "orc")
+    table(spark, sf, "customer").select(*CUST_TYPES).write.orc(d)
+    return _typed(check_not_empty(read_raw(spark, d, "orc"), d))
+
+
+@query("q_sources_xlsx", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_sources_xlsx(spark, sf):
+    d = shared_dir(spark, "sources", "xlsx")
+    c = table(spark, sf, "customer").select(*CUST_TYPES)
+    write_workbooks(c.repartition(4), d)
+    return _typed(read_workbooks(spark, d).drop("source_file"))
+
+
+# raw column names of the drift fixture and the expected set it is checked against
+DRIFT_RAW = {"C Custkey": "c_custkey", "C-Name": "c_name", " C Nationkey ": "c_nationkey",
+             "C.Acctbal": "c_acctbal"}
+DRIFT_EXPECTED = ["C Custkey", "C-Name", " C Nationkey ", "C.Acctbal", "C Mktsegment"]
+
+
+@query("q_drift", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal,
+       CASE WHEN c_acctbal < 0 THEN 'none' ELSE 'standard' END AS loyalty_tier,
+       CAST(NULL AS VARCHAR) AS c_mktsegment,
+       'customer_drift.csv' AS source_file, 'csv' AS source_format, 'b1' AS batch_id
+FROM customer""")
+def q_drift(spark, sf):
+    """A source whose columns drifted: names in another style, one expected
+    column missing, one new column - detected, filled and normalised."""
+    c = table(spark, sf, "customer")
+    raw = c.select(*[F.col(v).cast("string").alias(k) for k, v in DRIFT_RAW.items()],
+                   F.when(F.col("c_acctbal") < 0, "none").otherwise("standard").alias("Loyalty Tier"))
+    new, missing = detect_drift(raw, DRIFT_EXPECTED)
+    out = normalise_columns(fill_missing(raw, missing))
+    out = add_ingest_metadata(out, "customer_drift.csv", "csv", "b1")
+    return out.drop("ingested_at", "ingestion_date")

@@ -1,0 +1,190 @@
+"""Excel workbooks (.xlsx) as a Spark source, one workbook per task.
+
+No Excel connector is on the classpath, so a folder of workbooks is read with
+``binaryFile`` (each file one row, packed into tasks by size) and each
+workbook's first sheet is parsed inside ``mapInPandas`` with the standard
+library (an .xlsx file is a zip of XML parts).  The first row is the header;
+every value is read as a string, like a CSV read without inference.
+"""
+from __future__ import annotations
+
+import io
+import re
+import zipfile
+from xml.etree import ElementTree as ET
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
+       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
+       "p": "http://schemas.openxmlformats.org/package/2006/relationships"}
+
+
+def _col_index(ref: str) -> int:
+    letters = re.match(r"[A-Z]+", ref).group(0)
+    n = 0
+    for ch in letters:
+        n = n * 26 + (ord(ch) - 64)
+    return n - 1
+
+
+def _text(node) -> str:
+    return "".join(t.text or "" for t in node.iter(f"{{{_NS['m']}}}t"))
+
+
+def parse_first_sheet(data: bytes) -> list[list[str | None]]:
+    """Rows of the first worksheet as lists of strings (None for empty cells)."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        names = set(z.namelist())
+        shared = []
+        if "xl/sharedStrings.xml" in names:
+            root = ET.fromstring(z.read("xl/sharedStrings.xml"))
+            shared = [_text(si) for si in root.findall("m:si", _NS)]
+        sheet = "xl/worksheets/sheet1.xml"
+        if "xl/workbook.xml" in names and "xl/_rels/workbook.xml.rels" in names:
+            wb = ET.fromstring(z.read("xl/workbook.xml"))
+            first = wb.find("m:sheets/m:sheet", _NS)
+            rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
+            rid = first.get(f"{{{_NS['r']}}}id") if first is not None else None
+            for rel in rels.findall("p:Relationship", _NS):
+                if rel.get("Id") == rid:
+                    target = rel.get("Target").lstrip("/")
+                    sheet = target if target.startswith("xl/") else "xl/" + target
+        root = ET.fromstring(z.read(sheet))
+    rows = []
+    for row in root.iter(f"{{{_NS['m']}}}row"):
+        vals: dict[int, str | None] = {}
+        for i, c in enumerate(row.findall("m:c", _NS)):
+            idx = _col_index(c.get("r")) if c.get("r") else i
+            t = c.get("t")
+            v = c.find("m:v", _NS)
+            if t == "s" and v is not None:
+                vals[idx] = shared[int(v.text)]
+            elif t == "inlineStr":
+                is_ = c.find("m:is", _NS)
+                vals[idx] = _text(is_) if is_ is not None else None
+            elif v is not None:
+                vals[idx] = v.text
+            else:
+                vals[idx] = None
+        width = max(vals) + 1 if vals else 0
+        rows.append([vals.get(i) for i in range(width)])
+    return rows
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
+                 .option("recursiveFileLookup", "true").load(path))
+
+
+def read_workbooks(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """All workbooks under ``path`` as one DataFrame of string columns plus
+    ``source_file``.  ``columns`` defaults to the header of one workbook
+    (a single file is read on the driver for it)."""
+    files = _files(spark, path)
+    if columns is None:
+        first = files.select("content").limit(1).collect()
+        rows = parse_first_sheet(bytes(first[0]["content"])) if first else []
+        columns = [c for c in (rows[0] if rows else []) if c is not None]
+    cols = list(columns)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols] +
+                          [T.StructField("source_file", T.StringType())])
+
+    def parse(batches):
+        for pdf in batches:
+            out = []
+            for p, content in zip(pdf["path"], pdf["content"]):
+                rows = parse_first_sheet(bytes(content))
+                if not rows:
+                    continue
+                pos = {h: i for i, h in enumerate(rows[0]) if h is not None}
+                for r in rows[1:]:
+                    rec = {c: (r[pos[c]] if c in pos and pos[c] < len(r) else None) for c in cols}
+                    rec["source_file"] = p
+                    out.append(rec)
+            yield pd.DataFrame(out, columns=cols + ["source_file"])
+
+    return files.select("path", "content").mapInPandas(parse, schema)
+
+
+def _xml_escape(s: str) -> str:
+    return s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace('"', "&quot;")
+
+
+def workbook_bytes(header: list[str], rows) -> bytes:
+    """A minimal single-sheet workbook with inline strings."""
+    def cell(ref, v):
+        if v is None:
+            return ""
+        return f'<c r="{ref}" t="inlineStr"><is><t>{_xml_escape(str(v))}</t></is></c>'
+
+    def ref(ci, ri):
+        s, n = "", ci + 1
+        while n:
+            n, rem = divmod(n - 1, 26)
+            s = chr(65 + rem) + s
+        return f"{s}{ri}"
+    body = []
+    for ri, r in enumerate([header] + [list(x) for x in rows], start=1):
+        body.append(f'<row r="{ri}">' + "".join(cell(ref(ci, ri), v) for ci, v in enumerate(r)) + "</row>")
+    sheet = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+             f'<worksheet xmlns="{_NS["m"]}"><sheetData>' + "".join(body) + "</sheetData></worksheet>")
+    wb = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+          f'<workbook xmlns="{_NS["m"]}" xmlns:r="{_NS["r"]}"><sheets>'
+          '<sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>')
+    rels = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+            f'<Relationships xmlns="{_NS["p"]}"><Relationship Id="rId1" '
+            'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" '
+            'Target="worksheets/sheet1.xml"/></Relationships>')
+    ctypes = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+              '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
+              '<Default Extension="xml" ContentType="application/xml"/>'
+              '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+              '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+              '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
+              '</Types>')
+    root_rels = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+                 f'<Relationships xmlns="{_NS["p"]}"><Relationship Id="rId1" '
+                 'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" '
+                 'Target="xl/workbook.xml"/></Relationships>')
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("[Content_Types].xml", ctypes)
+        z.writestr("_rels/.rels", root_rels)
+        z.writestr("xl/workbook.xml", wb)
+        z.writestr("xl/_rels/workbook.xml.rels", rels)
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+    return buf.getvalue()
+
+
+def write_workbooks(df: DataFrame, out_dir: str) -> int:
+    """Write each partition as one workbook (all values as text) and return
+    the number written.  Tasks write with plain file IO, so ``out_dir`` must
+    be a path every executor mounts (the shared checkpoint folder in local
+    mode); a retried task rewrites the same file name."""
+    import os
+    import uuid
+    cols = df.columns
+    local = out_dir[len("file:"):] if out_dir.startswith("file:") else out_dir
+    os.makedirs(local, exist_ok=True)
+    run = uuid.uuid4().hex[:8]
+
+    def write(batches):
+        from pyspark import TaskContext
+        part = TaskContext.get().partitionId()
+        rows = []
+        for pdf in batches:
+            rows += pdf.astype(object).where(pdf.notna(), None).values.tolist()
+        if rows:
+            final = os.path.join(local, f"part-{part:05d}-{run}.xlsx")
+            tmp = final + ".tmp"
+            with open(tmp, "wb") as fh:
+                fh.write(workbook_bytes(cols, rows))
+            os.replace(tmp, final)
+        yield pd.DataFrame({"n": [len(rows)]})
+
+    strs = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    return int(strs.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0)
