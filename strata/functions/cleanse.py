@@ -17,9 +17,12 @@ def as_col(c) -> Column:
 
 
 def is_blank(c) -> Column:
-    """Null, or only whitespace once rendered as text."""
-    c = as_col(c)
-    return c.isNull() | (F.trim(c.cast("string")) == F.lit(""))
+    """Null, or only whitespace once rendered as text.
+
+    References ``c`` once: filters do not share subexpressions, and Catalyst
+    inlines a derived column into every predicate that mentions it.
+    """
+    return F.coalesce(F.trim(as_col(c).cast("string")), F.lit("")) == F.lit("")
 
 
 def try_int(c) -> Column:

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from ..functions.keys import hash_key
 from ..functions.money import cents, round_avg_cents
 from ..session import cut_lineage
+from .joins import row_count_at_most
 from .dedup import latest_per_key
 
 _ROW_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row index
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str], name: str, start: int = 0,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, small_rows: int = 100_000) -> DataFrame:
     """Consecutive keys ``start, start+1, ...`` in ``order_cols`` order
     (``row_number() over (order by ...) - 1 + start``) without a
     single-partition window.
@@ -27,6 +28,11 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], name: str, start: int =
     offset; the key is offset + position.  ``order_cols`` must be unique.
     """
     order_cols = list(order_cols)
+    if small_rows and row_count_at_most(df, small_rows):
+        # proven small: one ordered pass, no staging
+        from pyspark.sql import Window
+        w = Window.orderBy(*order_cols)
+        return df.withColumn(name, (F.row_number().over(w) - 1 + F.lit(start)).cast("long"))
     parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     staged = (df.repartitionByRange(parts, *order_cols)
                 .sortWithinPartitions(*order_cols)

@@ -22,6 +22,7 @@ from ..operators.dedup import dedup_rows, latest_per_key
 from ..operators.nulls import split_by_null_ratio, split_critical
 from ..operators.privacy import not_null_view, public_view
 from ..operators.star import attach_keys, build_dimension, group_summary, money_avg, money_sum
+from ..session import spread
 from ..streaming.incremental import slice_filter
 from .dirty import DIRTY_ORDERS_SQL, PRIORITIES, STATUSES, dirty_orders
 
@@ -39,7 +40,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def iso(c) -> F.Column:

@@ -84,3 +84,31 @@ def cut_lineage(df, eager: bool = True):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread(df, min_rows_per_task: int = 20_000):
+    """Spread an under-split input over the cluster's cores.
+
+    A source stored as one file with one row group is read by a single task,
+    so every narrow step after it runs on one core.  When the scan has fewer
+    splits than the default parallelism and enough rows to matter, a
+    round-robin repartition spreads the rows (filters and column pruning
+    still reach the scan below it).  A large input already has many splits,
+    so this never adds a shuffle at scale.
+    """
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    key = (tuple(sorted(df.inputFiles())), target, min_rows_per_task)
+    want = _SPREAD_MEMO.get(key)
+    if want is None:
+        parts = df.rdd.getNumPartitions()
+        want = 0
+        if parts < target:
+            rows = df.count()  # Parquet answers from footers
+            n = min(target, rows // min_rows_per_task)
+            want = n if n > parts else 0
+        _SPREAD_MEMO[key] = want
+    return df.repartition(want) if want else df
+
+
+_SPREAD_MEMO: dict = {}
