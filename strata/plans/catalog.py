@@ -1018,3 +1018,66 @@ def q_drift(spark, sf):
     out = normalise_columns(fill_missing(raw, missing))
     out = add_ingest_metadata(out, "customer_drift.csv", "csv", "b1")
     return out.drop("ingested_at", "ingestion_date")
+
+
+# ------------------------------------------- exactly-once file ingestion
+from ..streaming.file_ingest import ingest_files  # noqa: E402
+
+
+@query("q_stream_ingest", """
+SELECT c_custkey, c_name, c_nationkey,
+       CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1.0 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+FROM customer""")
+def q_stream_ingest(spark, sf):
+    """Customers arrive as CSV files per segment; a later drop re-sends a
+    third of them with a new balance.  Two runs of the same stream: the second
+    ingests only the new files and upserts them."""
+    from pyspark.sql import types as T
+    c = table(spark, sf, "customer").select(*CUST_TYPES)
+    root = shared_dir(spark, "stream")
+    src, ckpt = f"{root}/landing", f"{root}/_checkpoint"
+    c.repartition(5, "c_mktsegment").write.option("header", "true").csv(f"{src}/drop1")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in CUST_TYPES])
+    st = TableStore(spark, f"{root}/tables")
+
+    def typed(df):
+        return df.select(*[F.col(c).cast(t).alias(c) for c, t in CUST_TYPES.items()], "source_file")
+
+    ingest_files(spark, f"{src}/*", schema, st, "customers", ["c_custkey"], ckpt,
+                 max_files_per_trigger=4, transform=typed)
+    (c.filter(F.col("c_custkey") % 3 == 0).withColumn("c_acctbal", F.col("c_acctbal") + F.lit(1.0))
+      .write.option("header", "true").csv(f"{src}/drop2"))
+    ingest_files(spark, f"{src}/*", schema, st, "customers", ["c_custkey"], ckpt,
+                 max_files_per_trigger=4, transform=typed)
+    return st.read("customers").select(*CUST_TYPES)
+
+
+# ------------------------------------------- more table operations
+from ..operators.dedup import dedup_any  # noqa: E402
+from ..sources.tables import create_or_upsert  # noqa: E402
+
+
+@query("q_dedup_any", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+def q_dedup_any(spark, sf):
+    """One survivor per key (which one is unspecified, so only keys are shown)."""
+    return dedup_any(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber")
+
+
+@query("q_create_or_upsert", ORACLE["q_upsert"])
+def q_create_or_upsert(spark, sf):
+    """First load creates the table, the second merges into it."""
+    target, batch = _orders_split(spark, sf)
+    st = _store(spark)
+    create_or_upsert(st, "orders", target, ["o_orderkey"])
+    create_or_upsert(st, "orders", batch, ["o_orderkey"])
+    return st.read("orders").select(*ORDER_COLS.split(", "))
+
+
+@query("q_fact_partitioned", _with(STAR_CTES, "SELECT * FROM fact WHERE admission_year = 1997"))
+def q_fact_partitioned(spark, sf):
+    """Fact published partitioned by year; a year filter reads one folder."""
+    fact = fact_visits(spark, sf)
+    st = _store(spark)
+    st.publish(fact, "fact_visits", partition_by=["admission_year"])
+    return st.read("fact_visits").filter(F.col("admission_year") == 1997).select(*fact.columns)
