@@ -1081,3 +1081,23 @@ def q_fact_partitioned(spark, sf):
     st = _store(spark)
     st.publish(fact, "fact_visits", partition_by=["admission_year"])
     return st.read("fact_visits").filter(F.col("admission_year") == 1997).select(*fact.columns)
+
+
+# ------------------------------------- the source pipeline's own flow, end to end
+def _admissions(spark, sf):
+    from .admissions import run_layers
+    return run_layers(spark, table(spark, sf, "orders"), table(spark, sf, "customer"),
+                      table(spark, sf, "nation"), shared_dir(spark, "admissions"))
+
+
+@query("q_admissions_condition_summary")
+def q_admissions_condition_summary(spark, sf):
+    """bronze -> silver -> gold over admissions derived from orders; the gold
+    condition summary (no SQL twin: covered by the end-to-end test)."""
+    return _admissions(spark, sf)["gold"]["gold_condition_summary"]
+
+
+@query("q_admissions_quality")
+def q_admissions_quality(spark, sf):
+    """The silver quality report (score and grade) of the same run."""
+    return _admissions(spark, sf)["silver"]["report"]
