@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def compact(df: DataFrame, rows_per_file: int = 2_000_000, num_files: int | None = None) -> DataFrame:
-    """Rewrite into evenly sized files (round-robin shuffle, no skew)."""
+def compact(df: DataFrame, rows_per_file: int = 2_000_000, num_files: int | None = None,
+            rows: int | None = None) -> DataFrame:
+    """Rewrite into evenly sized files (round-robin shuffle, no skew).
+    ``rows`` (e.g. from the table's audit) saves counting."""
     if num_files is None:
-        n = df.count()  # Parquet footers answer this without reading data
+        n = rows if rows is not None else df.count()
         num_files = max(1, math.ceil(n / rows_per_file))
     return df.repartition(num_files)
 
@@ -64,12 +66,12 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int | None = None) -> C
 
 
 def cluster_by(df: DataFrame, cols: Sequence[str], num_files: int | None = None,
-               rows_per_file: int = 2_000_000) -> DataFrame:
+               rows_per_file: int = 2_000_000, rows: int | None = None) -> DataFrame:
     """Range-partition and sort by the Z-order key so each output file covers
     a compact box of the clustering columns (tight Parquet min/max stats for
     data skipping).  The key column is not kept."""
     if num_files is None:
-        num_files = max(1, math.ceil(df.count() / rows_per_file))
+        num_files = max(1, math.ceil((rows if rows is not None else df.count()) / rows_per_file))
     z = zorder_key(df, cols)
     return (df.withColumn("__z", z).repartitionByRange(num_files, "__z")
               .sortWithinPartitions("__z").drop("__z"))

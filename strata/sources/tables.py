@@ -2,7 +2,8 @@
 
 Delta is not available, so a table is ``<root>/<name>/seg=<uuid>/`` folders
 and an append-only audit dataset ``<root>/_audit`` with one row per publish:
-``(table, version, operation, segments, rows, batch_id, ts)``.  A version is
+``(table, version, operation, segments, rows, batch_id, table_rows, schema_json,
+ts)`` - ``rows`` is what the operation wrote, ``table_rows`` the version's size.  A version is
 the list of segments it reads: an append adds a segment, an overwrite or a
 rewrite (delete, compaction, clustering) replaces the list.  Readers use the
 highest audited version, so a half-written folder is never visible, and data
@@ -11,11 +12,12 @@ One writer per table is assumed; this is a convention, not a transaction log.
 """
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,31 +28,69 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("segments", T.ArrayType(T.StringType())),
     T.StructField("rows", T.LongType()),
     T.StructField("batch_id", T.StringType()),
+    T.StructField("table_rows", T.LongType()),
+    T.StructField("schema_json", T.StringType()),
 ])
 
 
+def merge_schemas(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """Union by name: old columns keep their place, new ones are appended."""
+    if old is None:
+        return new
+    names = set(old.fieldNames())
+    return T.StructType(list(old.fields) + [f for f in new.fields if f.name not in names])
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # latest audited state per table, kept by this (single) writer
+        self._state: dict[str, tuple] = {}
 
     # ---------------------------------------------------------------- audit
     @property
     def audit_path(self) -> str:
         return f"{self.root}/_audit"
 
-    def audit(self) -> DataFrame:
-        try:
-            return self.spark.read.parquet(self.audit_path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], AUDIT_SCHEMA).withColumn(
-                "ts", F.current_timestamp())
+    def _path_exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(conf).exists(p)
 
-    def _latest(self, name: str):
+    def audit(self) -> DataFrame:
+        if self._path_exists(self.audit_path):
+            try:
+                return self.spark.read.parquet(self.audit_path)
+            except AnalysisException:
+                pass
+        return self.spark.createDataFrame([], AUDIT_SCHEMA).withColumn("ts", F.current_timestamp())
+
+    def _latest_full(self, name: str):
+        """(version, segments, rows, schema) of the latest audited version."""
+        if name in self._state:
+            return self._state[name]
+        if not self._path_exists(self.audit_path):
+            return (None, [], 0, None)
         rows = (self.audit().filter(F.col("table") == name)
-                    .agg(F.max_by(F.struct("version", "segments"), "version").alias("v")).collect())
+                    .agg(F.max_by(F.struct("version", "segments", "table_rows", "schema_json"), "version")
+                         .alias("v")).collect())
         v = rows[0]["v"] if rows else None
-        return (v["version"], list(v["segments"])) if v is not None else (None, [])
+        if v is None:
+            return (None, [], 0, None)
+        state = (v["version"], list(v["segments"]), v["table_rows"],
+                 T.StructType.fromJson(json.loads(v["schema_json"])) if v["schema_json"] else None)
+        self._state[name] = state
+        return state
+
+    def _latest(self, name: str):
+        v, segs, _, _ = self._latest_full(name)
+        return v, segs
+
+    def rows(self, name: str) -> int:
+        """Row count of the latest version (recorded at write time)."""
+        return self._latest_full(name)[2]
 
     def exists(self, name: str) -> bool:
         return self._latest(name)[0] is not None
@@ -67,29 +107,47 @@ class TableStore:
     # ----------------------------------------------------------------- read
     def read(self, name: str, version: int | None = None) -> DataFrame:
         if version is None:
-            v, segs = self._latest(name)
+            v, segs, _, schema = self._latest_full(name)
         else:
             r = (self.audit().filter((F.col("table") == name) & (F.col("version") == version))
-                     .select("segments").collect())
-            v, segs = (version, list(r[0]["segments"])) if r else (None, [])
+                     .select("segments", "schema_json").collect())
+            v, segs, schema = (version, list(r[0]["segments"]),
+                               T.StructType.fromJson(json.loads(r[0]["schema_json"]))) if r else (None, [], None)
         if v is None:
             raise ValueError(f"table {name!r} does not exist in {self.root}")
+        if schema is not None:
+            # the recorded union schema: no inference job, old segments read
+            # columns they lack as null
+            return self.spark.read.schema(schema).parquet(*segs)
         return self.spark.read.option("mergeSchema", "true").parquet(*segs)
 
     # ---------------------------------------------------------------- write
     def _write_segment(self, df: DataFrame, name: str, partition_by: Sequence[str] | None) -> tuple[str, int]:
         seg = f"{self.root}/{name}/seg={uuid.uuid4().hex}"
-        w = df.write.mode("errorifexists")
+        obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+        w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(seg)
-        rows = self.spark.read.parquet(seg).count()  # footer metadata, no data scan
-        return seg, rows
+        return seg, int(obs.get["n"])  # counted by the write itself
 
-    def _record(self, name, version, operation, segments, rows, batch_id):
-        (self.spark.createDataFrame([(name, version, operation, segments, rows, batch_id)], AUDIT_SCHEMA)
+    def _record(self, name, version, operation, segments, rows, batch_id, schema: T.StructType,
+                table_rows: int):
+        (self.spark.createDataFrame(
+            [(name, version, operation, segments, rows, batch_id, table_rows,
+              json.dumps(schema.jsonValue()))], AUDIT_SCHEMA)
              .withColumn("ts", F.current_timestamp())
              .coalesce(1).write.mode("append").parquet(self.audit_path))
+        self._state[name] = (version, list(segments), table_rows, schema)
+
+    @staticmethod
+    def _stored_schema(df: DataFrame, partition_by) -> T.StructType:
+        """Schema as read back: partition columns come last."""
+        if not partition_by:
+            return df.schema
+        rest = [f for f in df.schema.fields if f.name not in partition_by]
+        parts = [df.schema[c] for c in partition_by]
+        return T.StructType(rest + parts)
 
     def publish(self, df: DataFrame, name: str, operation: str = "WRITE", *,
                 partition_by: Sequence[str] | None = None, batch_id: str | None = None) -> int:
@@ -97,16 +155,19 @@ class TableStore:
         v, _ = self._latest(name)
         seg, rows = self._write_segment(df, name, partition_by)
         nv = 0 if v is None else v + 1
-        self._record(name, nv, operation if v is not None else "CREATE", [seg], rows, batch_id)
+        self._record(name, nv, operation if v is not None else "CREATE", [seg], rows, batch_id,
+                     self._stored_schema(df, partition_by), rows)
         return nv
 
     def append(self, df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None,
                batch_id: str | None = None) -> int:
         """Add rows (schema may gain columns; readers merge schemas)."""
-        v, segs = self._latest(name)
+        v, segs, old_rows, old_schema = self._latest_full(name)
         seg, rows = self._write_segment(df, name, partition_by)
         nv = 0 if v is None else v + 1
-        self._record(name, nv, "APPEND" if v is not None else "CREATE", segs + [seg], rows, batch_id)
+        self._record(name, nv, "APPEND" if v is not None else "CREATE", segs + [seg], rows,
+                     batch_id, merge_schemas(old_schema, self._stored_schema(df, partition_by)),
+                     old_rows + rows)
         return nv
 
     def delete_where(self, name: str, predicate: Column, batch_id: str | None = None) -> int:

@@ -25,6 +25,10 @@ WATERMARK_SCHEMA = T.StructType([
 def read_watermark(spark: SparkSession, path: str, scope: str = "all") -> dt.datetime:
     """Latest stored mark for ``scope``; missing table, no rows or a null mark
     all mean "from the beginning" (1900-01-01)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(conf).exists(p):
+        return EPOCH
     try:
         wm = spark.read.parquet(path)
     except AnalysisException:
