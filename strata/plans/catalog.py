@@ -1108,3 +1108,21 @@ def q_admissions_condition_summary(spark, sf):
 def q_admissions_quality(spark, sf):
     """The silver quality report (score and grade) of the same run."""
     return _admissions(spark, sf)["silver"]["report"]
+
+
+from ..sources.tables import merge_into  # noqa: E402
+
+
+@query("q_upsert_partitioned", ORACLE["q_upsert"])
+def q_upsert_partitioned(spark, sf):
+    """The same upsert through a table laid out in 16 key buckets: the merge
+    reads and rewrites only the buckets its batch touches."""
+    target, batch = _orders_split(spark, sf)
+    st = _store(spark)
+    bucket = (F.col("o_orderkey") % 16).cast("int")
+
+    def merge(old, new):
+        return upsert(old, new, ["o_orderkey"])
+    merge_into(st, "orders", target, ["o_orderkey"], merge, partition=bucket)
+    merge_into(st, "orders", batch, ["o_orderkey"], merge, partition=bucket)
+    return st.read("orders").select(*ORDER_COLS.split(", "))

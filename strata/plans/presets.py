@@ -72,6 +72,9 @@ HEALTHCARE_SILVER = SilverSpec(
     scd_start=None,  # load date; the admission date is part of the key
     tracked=["medical_condition"], type1=["insurance_provider"], touch=["silver_ts"],
     slice_col="admission_type",
+    # admission month is part of the key: a batch of recent admissions
+    # rewrites only recent months of the history table
+    partition=lambda: F.coalesce(F.date_format("date_of_admission", "yyyyMM").cast("int"), F.lit(0)),
     gate_not_null=CRITICAL,
     gate_rules={"no_negative_billing": lambda: F.col("billing_amount") < 0,
                 "ages_valid": lambda: (F.col("age") <= 0) | (F.col("age") > 120)},

@@ -103,3 +103,21 @@ def test_watermark_empty_batch_keeps_mark(spark, scratch):
     assert empty.count() == 0
     assert not save_watermark(spark, path, batch_max(empty, "ts"))   # nothing written
     assert read_watermark(spark, path) == mark
+
+
+def test_merge_into_rewrites_only_touched_partitions(spark, scratch):
+    from strata.operators.upsert import upsert
+    from strata.sources.tables import merge_into
+    st = TableStore(spark, scratch + "/merge")
+    part = (F.col("k") % 4).cast("int")
+    base = spark.range(40).select(F.col("id").alias("k"), F.lit("v0").alias("v"))
+    merge_into(st, "t", base, ["k"], lambda old, new: upsert(old, new, ["k"]), partition=part)
+    _, segs0 = st._latest("t")
+    assert len(segs0) == 4
+    batch = spark.createDataFrame([(1, "v1"), (5, "v1"), (101, "new")], "k long, v string")  # all k%4 == 1
+    merge_into(st, "t", batch, ["k"], lambda old, new: upsert(old, new, ["k"]), partition=part)
+    _, segs1 = st._latest("t")
+    assert len(set(segs0) & set(segs1)) == 3            # three partitions carried over untouched
+    got = sorted((r.k, r.v) for r in st.read("t").collect())
+    want = sorted([(k, "v0") for k in range(40) if k not in (1, 5)] + [(1, "v1"), (5, "v1"), (101, "new")])
+    assert got == want and st.rows("t") == 41
