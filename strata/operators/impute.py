@@ -24,16 +24,25 @@ def donor_hash(row_key: Sequence[str], seed) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in row_key]))
 
 
+LOCAL_STATS_ROWS = 100_000
+
+
 def _attach(df: DataFrame, stats: DataFrame, by: Sequence[str],
             max_broadcast_rows: int, materialise: bool) -> DataFrame:
     """Left-join per-group ``stats`` (columns ``__g0..`` + payload) to ``df``.
 
     Group keys compare null-safe: a null group is a group of its own, as in
-    ``partitionBy``.
+    ``partitionBy``.  Statistics proven to hold at most ``LOCAL_STATS_ROWS``
+    groups (reading at most one row more) are broadcast as they are, in one
+    job; more groups are checkpointed and joined by size (broadcast up to
+    ``max_broadcast_rows``, shuffle join beyond).
     """
     if materialise:
-        stats = cut_lineage(stats)
-        stats = bounded_broadcast(stats, max_broadcast_rows)
+        head = stats.limit(LOCAL_STATS_ROWS + 1).collect()
+        if len(head) <= LOCAL_STATS_ROWS:
+            stats = F.broadcast(df.sparkSession.createDataFrame(head, stats.schema))
+        else:
+            stats = bounded_broadcast(cut_lineage(stats), max_broadcast_rows)
     cond = None
     for i, c in enumerate(by):
         t = df[c].eqNullSafe(stats[f"__g{i}"])

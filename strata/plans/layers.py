@@ -177,7 +177,9 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
     # normalise key text before deduplicating, so differently cased copies collide
     clean = clean.withColumns({c: title_case(c) for c in spec.title if c in spec.keys})
     clean = latest_per_key(dedup_rows(clean), list(spec.keys), ["ingested_at"])
-    typed = cleanse(clean, spec)
+    # every imputation rule computes statistics over this frame: materialise
+    # the deduplicated, typed batch once instead of re-running its shuffles
+    typed = cut_lineage(cleanse(clean, spec))
     filled = impute(typed, list(spec.rules), row_key=list(spec.row_key or spec.keys), seed=spec.seed)
     kept, rejected = split_critical(filled, list(spec.critical)) if spec.critical else (filled, None)
     if rejected is not None:

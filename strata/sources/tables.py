@@ -125,6 +125,11 @@ class TableStore:
     def _write_segment(self, df: DataFrame, name: str, partition_by: Sequence[str] | None) -> tuple[str, int]:
         seg = f"{self.root}/{name}/seg={uuid.uuid4().hex}"
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+        if partition_by:
+            # AQE sizes the write tasks per partition value (splitting a hot
+            # value, merging small ones) instead of every task writing a
+            # small file into every partition folder
+            df = df.hint("rebalance", *partition_by)
         w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)

@@ -46,3 +46,11 @@ def test_rule_plan_and_summary(spark):
     out = impute(_df(spark), [Rule("v", ["g"], "mode", "DEF"), Rule("x", ["v"], "median", 0.0)])
     s = null_summary(out, ["v", "x"]).first()
     assert s.v_nulls == 0 and s.x_nulls == 0
+
+
+def test_large_stats_path_same_result(spark, monkeypatch):
+    import strata.operators.impute as I
+    small = sorted(impute_mode(_df(spark), "v", ["g"], "DEF").collect())
+    monkeypatch.setattr(I, "LOCAL_STATS_ROWS", 1)      # force checkpoint + sized join
+    large = sorted(impute_mode(_df(spark), "v", ["g"], "DEF").collect())
+    assert small == large
