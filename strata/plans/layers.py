@@ -44,6 +44,9 @@ class BronzeSpec:
     keys: Sequence[str]                      # normalised business key
     on_seen: str = "upsert"                  # 'upsert' | 'skip' a file loaded before
     table: str = "bronze"
+    # expression of the key: merges rewrite only touched partitions (None:
+    # the whole table is rewritten, as a plain MERGE does)
+    partition: Callable[[], Column] | None = None
 
 
 @dataclass
@@ -130,7 +133,13 @@ def bronze(spark: SparkSession, store: TableStore, path: str, spec: BronzeSpec,
     df = add_ingest_metadata(df, path, ext, batch_id)
     # deterministic survivor per business key (every other column breaks ties)
     df = latest_per_key(df, list(spec.keys), [])
-    version = create_or_upsert(store, spec.table, df, list(spec.keys))
+    if spec.partition is not None:
+        from ..operators.upsert import upsert
+        version = merge_into(store, spec.table, df, list(spec.keys),
+                             lambda old, new: upsert(old, new, list(spec.keys)),
+                             partition=spec.partition(), batch_id=batch_id)
+    else:
+        version = create_or_upsert(store, spec.table, df, list(spec.keys))
     return {"mode": mode, "source_file": path, "version": version, "new_columns": new,
             "missing_columns": missing}
 
