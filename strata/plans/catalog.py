@@ -18,12 +18,25 @@ from pyspark.sql import functions as F
 
 from ..functions import (band, canonical, day_diff, mask, null_out_of_range, parse_date,
                          restricted_flag, title_case, try_double, try_int)
-from ..operators.dedup import dedup_rows, latest_per_key
+from ..operators.dedup import dedup_any, dedup_rows, latest_per_key
+from ..operators.history import scd_init, scd_merge
+from ..operators.impute import Rule, impute, impute_donor, impute_median, impute_mode, null_summary
+from ..operators.layout import cluster_by, compact
 from ..operators.nulls import split_by_null_ratio, split_critical
 from ..operators.privacy import not_null_view, public_view
+from ..operators.quality import (GateRule, dup_report, gate_report, null_report, quality_metrics,
+                                 quality_score, range_report, scd_report)
 from ..operators.star import attach_keys, build_dimension, group_summary, money_avg, money_sum
-from ..session import spread
-from ..streaming.incremental import slice_filter
+from ..operators.upsert import upsert
+from ..session import shared_dir, spread
+from ..sources.files import check_not_empty, read_raw, split_corrupt
+from ..sources.quarantine import envelope
+from ..sources.schema import add_ingest_metadata, detect_drift, fill_missing, normalise_columns
+from ..sources.tables import TableStore, create_or_upsert, merge_into
+from ..sources.workbooks import read_workbooks, write_workbooks
+from ..streaming.file_ingest import ingest_files
+from ..streaming.incremental import (batch_max, incremental_batch, read_watermark, save_watermark,
+                                     slice_filter)
 from .dirty import DIRTY_ORDERS_SQL, PRIORITIES, STATUSES, dirty_orders
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -423,7 +436,6 @@ def q_summary_view(spark, sf):
 
 
 # ------------------------------------------------------- imputation
-from ..operators.impute import Rule, impute, impute_donor, impute_median, impute_mode, null_summary  # noqa: E402
 
 _H_SQL = "md5('42' || '|' || CAST(k AS VARCHAR))"
 
@@ -521,8 +533,6 @@ def q_null_summary(spark, sf):
 
 
 # ------------------------------------------------- quality report (K1-K9)
-from ..operators.quality import (GateRule, dup_report, gate_report, null_report,  # noqa: E402
-                                 quality_metrics, quality_score, range_report)
 
 Q_NULL_COLS = ["price", "priority", "status", "order_date"]
 Q_KEYS = ["o_custkey", "order_date"]
@@ -679,14 +689,6 @@ def q_gate(spark, sf):
 
 
 # ----------------------------------------------- upsert and history
-from ..operators.history import scd_init, scd_merge  # noqa: E402
-from ..operators.layout import cluster_by, compact  # noqa: E402
-from ..operators.quality import scd_report  # noqa: E402
-from ..operators.upsert import upsert  # noqa: E402
-from ..session import shared_dir  # noqa: E402
-from ..sources.tables import TableStore  # noqa: E402
-from ..streaming.incremental import (batch_max, incremental_batch, read_watermark,  # noqa: E402
-                                     save_watermark)
 
 ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
@@ -915,10 +917,6 @@ def q_cluster(spark, sf):
 
 
 # --------------------------------------- sources, guards, drift
-from ..sources.files import check_not_empty, read_raw, split_corrupt  # noqa: E402
-from ..sources.quarantine import envelope  # noqa: E402
-from ..sources.schema import add_ingest_metadata, detect_drift, fill_missing, normalise_columns  # noqa: E402
-from ..sources.workbooks import read_workbooks, write_workbooks  # noqa: E402
 
 CUST_TYPES = {"c_custkey": "long", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double",
               "c_mktsegment": "string"}
@@ -1028,7 +1026,6 @@ def q_drift(spark, sf):
 
 
 # ------------------------------------------- exactly-once file ingestion
-from ..streaming.file_ingest import ingest_files  # noqa: E402
 
 
 @query("q_stream_ingest", """
@@ -1060,8 +1057,6 @@ def q_stream_ingest(spark, sf):
 
 
 # ------------------------------------------- more table operations
-from ..operators.dedup import dedup_any  # noqa: E402
-from ..sources.tables import create_or_upsert  # noqa: E402
 
 
 @query("q_dedup_any", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
@@ -1110,9 +1105,6 @@ def q_admissions_quality(spark, sf):
     return _admissions(spark, sf)["silver"]["report"]
 
 
-from ..sources.tables import merge_into  # noqa: E402
-
-
 @query("q_upsert_partitioned", ORACLE["q_upsert"])
 def q_upsert_partitioned(spark, sf):
     """The same upsert through a table laid out in 16 key buckets: the merge

@@ -26,7 +26,7 @@ from ..operators.impute import Rule, impute
 from ..operators.nulls import split_by_null_ratio, split_critical
 from ..operators.privacy import not_null_view, public_view
 from ..operators.quality import GateRule, enforce_gate, gate_report, quality_metrics, quality_score
-from ..operators.star import build_dimension, group_summary, money_avg, money_sum
+from ..operators.star import build_dimension
 from ..session import cut_lineage
 from ..sources.files import (check_format, check_not_empty, default_batch_id, load_mode, read_raw,
                              split_corrupt)
