@@ -181,8 +181,6 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
         return {"rows": 0, "published": None, "watermark": mark}
     clean, quar = split_by_null_ratio(df, spec.null_threshold, spec.null_cols)
     qenv = envelope(quar, "silver", F.col("quarantine_reason"), F.col("source_file"), batch_id)
-    if qenv.take(1):
-        store.append(qenv, "quarantine")
     # normalise key text before deduplicating, so differently cased copies collide
     clean = clean.withColumns({c: title_case(c) for c in spec.title if c in spec.keys})
     clean = latest_per_key(dedup_rows(clean), list(spec.keys), ["ingested_at"])
@@ -192,9 +190,11 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
     filled = impute(typed, list(spec.rules), row_key=list(spec.row_key or spec.keys), seed=spec.seed)
     kept, rejected = split_critical(filled, list(spec.critical)) if spec.critical else (filled, None)
     if rejected is not None:
-        renv = envelope(rejected, "silver", F.col("quarantine_reason"), F.col("source_file"), batch_id)
-        if renv.take(1):
-            store.append(renv, "quarantine")
+        qenv = qenv.unionByName(
+            envelope(rejected, "silver", F.col("quarantine_reason"), F.col("source_file"), batch_id))
+    # one quarantine write for the run (rows over the null threshold and
+    # rows missing a critical value)
+    store.append(qenv, "quarantine", skip_empty=True)
     out = kept.withColumns({c: f() for c, f in spec.derive.items()})
     out = out.withColumns({m: mask(c) for c, m in spec.masks.items()})
     if spec.restricted:
@@ -210,10 +210,10 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
 
     def check(merged_rows: DataFrame) -> None:
         # the gate sees every row the merge will write (the touched partitions)
-        g = gate_report(merged_rows, rules, current=cur)
-        gates.append(g.collect())  # one row per rule
+        rows = gate_report(merged_rows, rules, current=cur).collect()  # one row per rule
+        gates.append(rows)
         if enforce:
-            enforce_gate(g)
+            enforce_gate(rows)
 
     def history_merge(old: DataFrame, new: DataFrame) -> DataFrame:
         return scd_merge(old, new, list(spec.keys), tracked=list(spec.tracked),

@@ -60,12 +60,13 @@ class TableStore:
         return p.getFileSystem(conf).exists(p)
 
     def audit(self) -> DataFrame:
+        schema = T.StructType(AUDIT_SCHEMA.fields + [T.StructField("ts", T.TimestampType())])
         if self._path_exists(self.audit_path):
             try:
-                return self.spark.read.parquet(self.audit_path)
+                return self.spark.read.schema(schema).json(self.audit_path)
             except AnalysisException:
                 pass
-        return self.spark.createDataFrame([], AUDIT_SCHEMA).withColumn("ts", F.current_timestamp())
+        return self.spark.createDataFrame([], schema)
 
     def _latest_full(self, name: str):
         """(version, segments, rows, schema) of the latest audited version."""
@@ -138,11 +139,23 @@ class TableStore:
 
     def _record(self, name, version, operation, segments, rows, batch_id, schema: T.StructType,
                 table_rows: int):
-        (self.spark.createDataFrame(
-            [(name, version, operation, segments, rows, batch_id, table_rows,
-              json.dumps(schema.jsonValue()))], AUDIT_SCHEMA)
-             .withColumn("ts", F.current_timestamp())
-             .coalesce(1).write.mode("append").parquet(self.audit_path))
+        """Append one audit record: a small JSON file written from the driver
+        through the Hadoop file system (no Spark job for one line).  The file
+        name is unique, so a retried publish never clobbers another record."""
+        import datetime as dt
+        rec = {"table": name, "version": version, "operation": operation, "segments": list(segments),
+               "rows": rows, "batch_id": batch_id, "table_rows": table_rows,
+               "schema_json": json.dumps(schema.jsonValue()),
+               "ts": dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")}
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(
+            f"{self.audit_path}/{name}-v{version:09d}-{uuid.uuid4().hex[:8]}.json")
+        out = path.getFileSystem(conf).create(path, False)
+        try:
+            out.write(bytearray((json.dumps(rec) + "\n").encode("utf-8")))
+        finally:
+            out.close()
         self._state[name] = (version, list(segments), table_rows, schema)
 
     @staticmethod
@@ -165,10 +178,14 @@ class TableStore:
         return nv
 
     def append(self, df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None,
-               batch_id: str | None = None) -> int:
-        """Add rows (schema may gain columns; readers merge schemas)."""
+               batch_id: str | None = None, skip_empty: bool = False):
+        """Add rows (schema may gain columns; readers merge schemas).  With
+        ``skip_empty`` an append that wrote no rows records no version (the
+        count comes from the write itself, no probe job)."""
         v, segs, old_rows, old_schema = self._latest_full(name)
         seg, rows = self._write_segment(df, name, partition_by)
+        if skip_empty and rows == 0:
+            return v
         nv = 0 if v is None else v + 1
         self._record(name, nv, "APPEND" if v is not None else "CREATE", segs + [seg], rows,
                      batch_id, merge_schemas(old_schema, self._stored_schema(df, partition_by)),
