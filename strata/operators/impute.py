@@ -38,7 +38,9 @@ def _attach(df: DataFrame, stats: DataFrame, by: Sequence[str],
     ``max_broadcast_rows``, shuffle join beyond).
     """
     if materialise:
-        head = stats.limit(LOCAL_STATS_ROWS + 1).collect()
+        # coalesce above the limit: one global-limit job instead of take()'s
+        # incremental partition scans
+        head = stats.limit(LOCAL_STATS_ROWS + 1).coalesce(1).collect()
         if len(head) <= LOCAL_STATS_ROWS:
             stats = F.broadcast(df.sparkSession.createDataFrame(head, stats.schema))
         else:
@@ -135,19 +137,42 @@ class Rule:
 _STRATEGIES = {"donor": impute_donor, "mode": impute_mode, "median": impute_median}
 
 
+def rule_waves(rules: Sequence[Rule]) -> list[int]:
+    """Wave of each rule: one more than the latest earlier rule that fills a
+    column this rule groups by or fills itself (0 when there is none)."""
+    waves: list[int] = []
+    for i, r in enumerate(rules):
+        deps = [waves[j] for j, q in enumerate(rules[:i]) if q.col in r.by or q.col == r.col]
+        waves.append(max(deps) + 1 if deps else 0)
+    return waves
+
+
 def impute(df: DataFrame, rules: Sequence[Rule], **common) -> DataFrame:
     """Apply rules in order; a later rule may group by a column an earlier
-    rule filled (fill the condition first, then what depends on it)."""
-    for r in rules:
-        fn = _STRATEGIES[r.strategy]
-        opts = {**common, **r.options}
-        if r.strategy != "donor":
-            opts.pop("row_key", None)
-            opts.pop("seed", None)
-            opts.pop("frame", None)
-        if r.strategy != "median":
-            opts.pop("accuracy", None)
-        df = fn(df, r.col, r.by, r.default, **opts)
+    rule filled (fill the condition first, then what depends on it).
+
+    Rules of one dependency wave take their statistics from the frame as it
+    was before the wave.  No rule of a wave groups by or fills a column another
+    rule of the same wave fills, so the statistics equal those of strictly
+    sequential application - but each statistics job only carries the joins
+    of earlier waves instead of every earlier rule.
+    """
+    waves = rule_waves(rules)
+    for w in sorted(set(waves)):
+        base = df
+        for r, rw in zip(rules, waves):
+            if rw != w:
+                continue
+            fn = _STRATEGIES[r.strategy]
+            opts = {**common, **r.options}
+            if r.strategy != "donor":
+                opts.pop("row_key", None)
+                opts.pop("seed", None)
+                opts.pop("frame", None)
+            if r.strategy != "median":
+                opts.pop("accuracy", None)
+            opts.setdefault("stats_from", base)
+            df = fn(df, r.col, r.by, r.default, **opts)
     return df
 
 

@@ -12,7 +12,7 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 def row_count_at_most(df: DataFrame, n: int) -> bool:
     """True when ``df`` has at most ``n`` rows; reads at most n+1 rows."""
-    return df.limit(n + 1).count() <= n
+    return df.limit(n + 1).count() <= n  # count() of a limit is one job
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -54,3 +54,15 @@ def test_large_stats_path_same_result(spark, monkeypatch):
     monkeypatch.setattr(I, "LOCAL_STATS_ROWS", 1)      # force checkpoint + sized join
     large = sorted(impute_mode(_df(spark), "v", ["g"], "DEF").collect())
     assert small == large
+
+
+def test_waves_equal_sequential(spark):
+    from strata.operators.impute import rule_waves
+    rules = [Rule("v", ["g"], "mode", "DEF"), Rule("x", ["v"], "median", 0.0), Rule("g", ["id"], "mode", "G"),
+             Rule("x", ["g"], "median", 1.0)]
+    assert rule_waves(rules) == [0, 1, 0, 2]
+    got = sorted(impute(_df(spark), rules).collect())
+    seq = _df(spark)
+    for r in rules:
+        seq = impute(seq, [r])
+    assert got == sorted(seq.collect())
