@@ -53,3 +53,15 @@ def test_band_null_gets_unknown_not_last_label(spark):
 def test_is_blank(spark):
     df = spark.createDataFrame([(None,), ("",), ("  ",), ("x",)], "v string")
     assert [r.b for r in df.select(is_blank("v").alias("b")).collect()] == [True, True, True, False]
+
+
+def test_restricted_rows_and_public_view(spark):
+    from strata.functions import mask, restricted_flag
+    from strata.operators.privacy import public_view
+    df = spark.createDataFrame([("a", None), ("b", ""), ("c", "No Insurance"), ("d", "Aetna")],
+                               "name string, ins string")
+    flagged = df.withColumn("_is_restricted", restricted_flag("ins")).withColumn("name_masked", mask("name"))
+    assert [r._is_restricted for r in flagged.orderBy("name").collect()] == [True, True, True, False]
+    pub = public_view(flagged, drop=["name"]).collect()
+    assert len(pub) == 1 and "name" not in pub[0].asDict() and "_is_restricted" not in pub[0].asDict()
+    assert len(pub[0].name_masked) == 64

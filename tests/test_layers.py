@@ -88,3 +88,23 @@ def test_two_batches_end_to_end(spark, scratch):
     summary = spark.sql("SELECT * FROM vw_gold_condition_summary").collect()
     assert sum(r.total_visits for r in summary) == fact.count() - sum(
         1 for r in out["gold_condition_summary"].collect() if r.medical_condition is None)
+
+
+def test_failed_gate_publishes_nothing_and_keeps_the_mark(spark, scratch):
+    import dataclasses
+
+    import pytest
+    from pyspark.sql import functions as F
+    from strata.streaming.incremental import read_watermark
+    store = TableStore(spark, scratch + "/gate")
+    bronze(spark, store, _csv(scratch, "g1.csv", BATCH1), HEALTHCARE_BRONZE, batch_id="b1")
+    strict = dataclasses.replace(HEALTHCARE_SILVER, gate_rules={
+        **HEALTHCARE_SILVER.gate_rules, "always_fails": lambda: F.lit(True)})
+    with pytest.raises(ValueError, match="always_fails"):
+        silver(spark, store, strict, batch_id="b1")
+    assert not store.exists("silver")
+    scope = "admission_type=All"
+    assert read_watermark(spark, f"{store.root}/_watermarks/silver", scope).year == 1900
+    silver(spark, store, HEALTHCARE_SILVER, batch_id="b1")      # the same batch then loads
+    assert store.exists("silver")
+    assert read_watermark(spark, f"{store.root}/_watermarks/silver", scope).year > 2000
