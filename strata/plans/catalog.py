@@ -1047,12 +1047,15 @@ def q_stream_ingest(spark, sf):
     def typed(df):
         return df.select(*[F.col(c).cast(t).alias(c) for c, t in CUST_TYPES.items()], "source_file")
 
+    def buckets():
+        return (F.col("c_custkey") % 8).cast("int")
+
     ingest_files(spark, f"{src}/*", schema, st, "customers", ["c_custkey"], ckpt,
-                 max_files_per_trigger=4, transform=typed)
+                 max_files_per_trigger=4, transform=typed, partition=buckets)
     (c.filter(F.col("c_custkey") % 3 == 0).withColumn("c_acctbal", F.col("c_acctbal") + F.lit(1.0))
       .write.option("header", "true").csv(f"{src}/drop2"))
     ingest_files(spark, f"{src}/*", schema, st, "customers", ["c_custkey"], ckpt,
-                 max_files_per_trigger=4, transform=typed)
+                 max_files_per_trigger=4, transform=typed, partition=buckets)
     return st.read("customers").select(*CUST_TYPES)
 
 

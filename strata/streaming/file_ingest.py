@@ -12,23 +12,27 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import latest_per_key
 from ..sources.files import CORRUPT, split_corrupt
 from ..sources.quarantine import envelope
-from ..sources.tables import TableStore, create_or_upsert
+from ..operators.upsert import upsert
+from ..sources.tables import TableStore, create_or_upsert, merge_into
 
 
 def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, store: TableStore,
                  table: str, keys: Sequence[str], checkpoint: str, *, fmt: str = "csv",
                  max_files_per_trigger: int | None = None,
                  transform: Callable[[DataFrame], DataFrame] | None = None,
-                 options: dict | None = None) -> int:
+                 options: dict | None = None,
+                 partition: Callable[[], Column] | None = None) -> int:
     """Ingest every file not seen before under ``source_dir``; returns the
-    number of micro-batches that carried rows."""
+    number of micro-batches that carried rows.  With ``partition`` (an
+    expression of the key) each micro-batch rewrites only the partitions it
+    touches; without it the table is rewritten per batch."""
     if CORRUPT not in schema.fieldNames() and fmt in ("csv", "json"):
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.readStream.schema(schema).format(fmt)
@@ -53,7 +57,12 @@ def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, sto
             return
         rest = [c for c in good.columns if c not in keys]
         deduped = latest_per_key(good, list(keys), ["source_file"] if "source_file" in rest else [])
-        create_or_upsert(store, table, deduped, list(keys))
+        if partition is not None:
+            merge_into(store, table, deduped, list(keys),
+                       lambda old, new: upsert(old, new, list(keys)), partition=partition(),
+                       batch_id=f"epoch-{epoch_id}")
+        else:
+            create_or_upsert(store, table, deduped, list(keys))
         batches.append(epoch_id)
 
     q = (stream.writeStream.foreachBatch(upsert_batch)

@@ -58,7 +58,14 @@ def incremental_batch(df: DataFrame, ts_col: str, watermark,
                       exclude: dict[str, str] | None = None) -> DataFrame:
     """Rows loaded after the mark (a typed comparison the Parquet scan can push
     down), minus excluded sources."""
-    out = df.filter(F.col(ts_col) > F.lit(watermark).cast(df.schema[ts_col].dataType))
+    dtype = df.schema[ts_col].dataType
+    if isinstance(dtype, T.TimestampNTZType) and isinstance(watermark, dt.datetime):
+        # through ISO text: a naive datetime literal would pass through the
+        # driver's local time zone before the cast
+        mark = F.lit(watermark.replace(tzinfo=None).isoformat(sep=" ")).cast(dtype)
+    else:
+        mark = F.lit(watermark).cast(dtype)
+    out = df.filter(F.col(ts_col) > mark)
     for c, v in (exclude or {}).items():
         out = out.filter(~F.col(c).eqNullSafe(F.lit(v)))
     return out
