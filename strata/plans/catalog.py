@@ -57,8 +57,20 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A driver table (read-only input).  Its schema is inferred once per
+    path and then supplied, so later reads start no inference job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(path)
+    return spread(df)
 
 
 def iso(c) -> F.Column:
@@ -314,17 +326,19 @@ def q_dim_nation(spark, sf):
     return dim_nation(spark, sf)
 
 
-def fact_visits(spark, sf) -> DataFrame:
-    """Visit facts: one row per line item, keys from the three dimensions."""
+def fact_visits(spark, sf, dims: dict | None = None) -> DataFrame:
+    """Visit facts: one row per line item, keys from the three dimensions
+    (pass ``dims`` to reuse dimension frames a caller already built)."""
+    dims = dims or {}
     li = table(spark, sf, "lineitem")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     visits = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
                 .join(c, F.col("o_custkey") == c.c_custkey, "left"))
     keyed = attach_keys(visits, [
-        (dim_customer(spark, sf), ["o_custkey"], ["c_custkey"], "customer_sk"),
-        (dim_supplier(spark, sf), ["l_suppkey"], ["s_suppkey"], "supplier_sk"),
-        (dim_nation(spark, sf), ["c_nationkey"], ["n_nationkey"], "nation_sk"),
+        (dims.get("customer") or dim_customer(spark, sf), ["o_custkey"], ["c_custkey"], "customer_sk"),
+        (dims.get("supplier") or dim_supplier(spark, sf), ["l_suppkey"], ["s_suppkey"], "supplier_sk"),
+        (dims.get("nation") or dim_nation(spark, sf), ["c_nationkey"], ["n_nationkey"], "nation_sk"),
     ])
     adm, dis = F.to_date("o_orderdate"), F.to_date("l_shipdate")
     return keyed.select(
@@ -378,8 +392,9 @@ def q_fact_visits(spark, sf):
 
 
 def condition_summary(spark, sf) -> DataFrame:
-    fact = fact_visits(spark, sf)
-    dim = dim_customer(spark, sf).select("customer_sk", "medical_condition")
+    customers = dim_customer(spark, sf)
+    fact = fact_visits(spark, sf, {"customer": customers})
+    dim = customers.select("customer_sk", "medical_condition")
     joined = fact.join(dim, "customer_sk", "left")
     return group_summary(joined, ["medical_condition", "admission_type"], {
         "total_visits": F.count(F.lit(1)),
