@@ -57,15 +57,18 @@ def admissions_raw(orders: DataFrame, customer: DataFrame, nation: DataFrame) ->
     )
 
 
-def run_layers(spark: SparkSession, orders, customer, nation, root: str) -> dict:
-    """Write the raw file, then bronze -> silver -> gold into a store at ``root``."""
+def run_layers(spark: SparkSession, orders, customer, nation, root: str, upto: str = "gold") -> dict:
+    """Write the raw file, then bronze -> silver -> gold (or stop after
+    ``upto``) into a store at ``root``."""
     from ..sources.tables import TableStore
     from .layers import bronze, gold, silver
     from .presets import HEALTHCARE_BRONZE, HEALTHCARE_GOLD, HEALTHCARE_SILVER
     raw_path = f"{root}/landing/admissions.csv"
     admissions_raw(orders, customer, nation).write.option("header", "true").csv(raw_path)
     store = TableStore(spark, f"{root}/lake")
-    b = bronze(spark, store, raw_path, HEALTHCARE_BRONZE, batch_id="b1")
-    s = silver(spark, store, HEALTHCARE_SILVER, batch_id="b1", enforce=False)
-    g = gold(spark, store, HEALTHCARE_GOLD)
-    return {"store": store, "bronze": b, "silver": s, "gold": g}
+    out = {"store": store, "bronze": bronze(spark, store, raw_path, HEALTHCARE_BRONZE, batch_id="b1")}
+    if upto in ("silver", "gold"):
+        out["silver"] = silver(spark, store, HEALTHCARE_SILVER, batch_id="b1", enforce=False)
+    if upto == "gold":
+        out["gold"] = gold(spark, store, HEALTHCARE_GOLD)
+    return out

@@ -1104,10 +1104,10 @@ def q_fact_partitioned(spark, sf):
 
 
 # ------------------------------------- the source pipeline's own flow, end to end
-def _admissions(spark, sf):
+def _admissions(spark, sf, upto: str = "gold"):
     from .admissions import run_layers
     return run_layers(spark, table(spark, sf, "orders"), table(spark, sf, "customer"),
-                      table(spark, sf, "nation"), shared_dir(spark, "admissions"))
+                      table(spark, sf, "nation"), shared_dir(spark, "admissions"), upto=upto)
 
 
 @query("q_admissions_condition_summary")
@@ -1120,7 +1120,7 @@ def q_admissions_condition_summary(spark, sf):
 @query("q_admissions_quality")
 def q_admissions_quality(spark, sf):
     """The silver quality report (score and grade) of the same run."""
-    return _admissions(spark, sf)["silver"]["report"]
+    return _admissions(spark, sf, upto="silver")["silver"]["report"]
 
 
 @query("q_upsert_partitioned", ORACLE["q_upsert"])
