@@ -108,3 +108,20 @@ def test_failed_gate_publishes_nothing_and_keeps_the_mark(spark, scratch):
     silver(spark, store, HEALTHCARE_SILVER, batch_id="b1")      # the same batch then loads
     assert store.exists("silver")
     assert read_watermark(spark, f"{store.root}/_watermarks/silver", scope).year > 2000
+
+
+def test_reloading_the_same_file_changes_no_silver_rows(spark, scratch):
+    store = TableStore(spark, scratch + "/again")
+    p = _csv(scratch, "same.csv", BATCH1)
+    bronze(spark, store, p, HEALTHCARE_BRONZE, batch_id="b1")
+    silver(spark, store, HEALTHCARE_SILVER, batch_id="b1")
+    volatile = {"ingested_at", "ingestion_date", "batch_id", "silver_ts", "_eff_start", "_eff_end"}
+    cols = [c for c in store.read("silver").columns if c not in volatile]
+    before = sorted(map(tuple, store.read("silver").select(cols).collect()), key=str)
+    v = store.version("silver")
+    s = bronze(spark, store, p, HEALTHCARE_BRONZE, batch_id="b2")
+    assert s["mode"] == "update"                       # the file was seen before
+    assert store.read("bronze").count() == 6           # upsert, not append
+    silver(spark, store, HEALTHCARE_SILVER, batch_id="b2")
+    after = sorted(map(tuple, store.read("silver").select(cols).collect()), key=str)
+    assert store.version("silver") == v + 1 and before == after
