@@ -121,3 +121,26 @@ def test_merge_into_rewrites_only_touched_partitions(spark, scratch):
     got = sorted((r.k, r.v) for r in st.read("t").collect())
     want = sorted([(k, "v0") for k in range(40) if k not in (1, 5)] + [(1, "v1"), (5, "v1"), (101, "new")])
     assert got == want and st.rows("t") == 41
+
+
+def test_workbook_with_shared_strings(spark, scratch):
+    import io
+    import zipfile
+    m = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    sst = (f'<sst xmlns="{m}"><si><t>Name</t></si><si><t>Age</t></si>'
+           f'<si><r><t>Ann </t></r><r><t>Lee</t></r></si></sst>')
+    sheet = (f'<worksheet xmlns="{m}"><sheetData>'
+             '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c></row>'
+             '<row r="2"><c r="A2" t="s"><v>2</v></c><c r="B2"><v>42</v></c></row>'
+             '<row r="3"><c r="B3"><v>7</v></c></row>'
+             '</sheetData></worksheet>')
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/sharedStrings.xml", sst)
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+    d = _local(scratch + "/wb_shared")
+    with open(os.path.join(d, "s.xlsx"), "wb") as fh:
+        fh.write(buf.getvalue())
+    out = read_workbooks(spark, d).drop("source_file")          # header read from the file
+    assert out.columns == ["Name", "Age"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([("Ann Lee", "42"), (None, "7")], key=str)
