@@ -234,11 +234,12 @@ def merge_into(store: TableStore, name: str, batch: DataFrame, keys: Sequence[st
     read, merged with ``merge(old_rows, batch)`` and written again; the
     other partition folders carry over unchanged into the new version.  The
     list of touched partitions is bounded by the partition count.  ``check``
-    (optional) sees the merged rows of the touched partitions before anything
-    is written and may raise to abort the merge.  Partition values should be
-    integers or plain text (they become folder names).
+    (optional) sees the merged rows of the touched partitions once they are
+    written but before the new version is recorded: raising leaves the new
+    folders unreferenced, so readers never see them (write -> check ->
+    publish).  Partition values should be integers or plain text (they
+    become folder names).
     """
-    from ..session import cut_lineage
     part = partition if partition is not None else key_buckets(keys)
     keyed = batch.withColumn(PART, part)
     v, segs, old_rows, schema = store._latest_full(name)
@@ -246,12 +247,12 @@ def merge_into(store: TableStore, name: str, batch: DataFrame, keys: Sequence[st
         # first load, or a table not yet laid out by partition: full rewrite
         base = store.read(name) if v is not None else None
         merged = merge(base, batch) if base is not None else batch
-        if check is not None:
-            merged = cut_lineage(merged)
-            check(merged)
         out = merged.withColumn(PART, part)
         seg, rows = store._write_segment(out, name, [PART])
         leaves = _leaf_dirs(store.spark, seg)
+        if check is not None:
+            check(store.spark.read.schema(merged.schema).parquet(*leaves) if leaves
+                  else store.spark.createDataFrame([], merged.schema))
         store._record(name, 0 if v is None else v + 1, "CREATE" if v is None else operation, leaves,
                       rows, batch_id, merged.schema, rows)
         return store.version(name)
@@ -263,12 +264,13 @@ def merge_into(store: TableStore, name: str, batch: DataFrame, keys: Sequence[st
         store.spark.createDataFrame([], schema)
     old_n = store.spark.read.schema(schema).parquet(*hit).count() if hit else 0
     merged = merge(old, batch)
-    if check is not None:
-        merged = cut_lineage(merged)
-        check(merged)
     seg, rows = store._write_segment(merged.withColumn(PART, part), name, [PART])
+    new_leaves = _leaf_dirs(store.spark, seg)
+    if check is not None:
+        check(store.spark.read.schema(merged.schema).parquet(*new_leaves) if new_leaves
+              else store.spark.createDataFrame([], merged.schema))
     new_schema = merge_schemas(schema, merged.schema)
-    store._record(name, v + 1, operation, keep + _leaf_dirs(store.spark, seg), rows, batch_id,
+    store._record(name, v + 1, operation, keep + new_leaves, rows, batch_id,
                   new_schema, old_rows - old_n + rows)
     return v + 1
 
