@@ -112,3 +112,32 @@ def spread(df, min_rows_per_task: int = 20_000):
 
 
 _SPREAD_MEMO: dict = {}
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark) -> None:
+    """Make ``strata`` importable on executors (needed wherever Python runs
+    inside tasks, e.g. ``mapInPandas``): zip the package once per
+    SparkContext and add it with ``addPyFile``, the programmatic form of
+    ``--py-files``.  A no-op when the package is already shipped."""
+    import os
+    import tempfile
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="strata-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

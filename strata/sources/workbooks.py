@@ -84,6 +84,8 @@ def read_workbooks(spark: SparkSession, path: str, columns: list[str] | None = N
     """All workbooks under ``path`` as one DataFrame of string columns plus
     ``source_file``.  ``columns`` defaults to the header of one workbook
     (a single file is read on the driver for it)."""
+    from ..session import ship_package
+    ship_package(spark)  # the parser below runs in Python workers
     files = _files(spark, path)
     if columns is None:
         first = files.select("content").limit(1).collect()
@@ -167,6 +169,8 @@ def write_workbooks(df: DataFrame, out_dir: str) -> int:
     mode); a retried task rewrites the same file name."""
     import os
     import uuid
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     cols = df.columns
     local = out_dir[len("file:"):] if out_dir.startswith("file:") else out_dir
     os.makedirs(local, exist_ok=True)
