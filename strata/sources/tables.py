@@ -8,7 +8,9 @@ the list of segments it reads: an append adds a segment, an overwrite or a
 rewrite (delete, compaction, clustering) replaces the list.  Readers use the
 highest audited version, so a half-written folder is never visible, and data
 is never overwritten in place (Spark cannot overwrite a path it is reading).
-One writer per table is assumed; this is a convention, not a transaction log.
+Two writers that both try to record the same version are detected (the second
+fails before its version is visible); this is a convention, not a transaction
+log with full isolation.
 """
 from __future__ import annotations
 
@@ -149,9 +151,16 @@ class TableStore:
                "ts": dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")}
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(
-            f"{self.audit_path}/{name}-v{version:09d}-{uuid.uuid4().hex[:8]}.json")
-        out = path.getFileSystem(conf).create(path, False)
+        prefix = f"{self.audit_path}/{name}-v{version:09d}-"
+        fs = jvm.org.apache.hadoop.fs.Path(self.audit_path).getFileSystem(conf)
+        taken = fs.globStatus(jvm.org.apache.hadoop.fs.Path(prefix + "*.json"))
+        if taken is not None and len(taken) > 0:
+            # optimistic check: another writer recorded this version first;
+            # our written folders stay unreferenced
+            self._state.pop(name, None)
+            raise RuntimeError(f"table {name!r}: version {version} was recorded by another writer")
+        path = jvm.org.apache.hadoop.fs.Path(prefix + f"{uuid.uuid4().hex[:8]}.json")
+        out = fs.create(path, False)
         try:
             out.write(bytearray((json.dumps(rec) + "\n").encode("utf-8")))
         finally:

@@ -144,3 +144,15 @@ def test_workbook_with_shared_strings(spark, scratch):
     out = read_workbooks(spark, d).drop("source_file")          # header read from the file
     assert out.columns == ["Name", "Age"]
     assert sorted(map(tuple, out.collect()), key=str) == sorted([("Ann Lee", "42"), (None, "7")], key=str)
+
+
+def test_second_writer_of_a_version_is_refused(spark, scratch):
+    import pytest
+    root = scratch + "/conc"
+    a, b = TableStore(spark, root), TableStore(spark, root)
+    a.publish(spark.range(3), "t")
+    b.read("t")                                   # b now believes version 0 is latest
+    a.append(spark.range(2), "t")                 # a records version 1
+    with pytest.raises(RuntimeError, match="another writer"):
+        b.append(spark.range(5), "t")             # b would also record version 1
+    assert TableStore(spark, root).read("t").count() == 5
