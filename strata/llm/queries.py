@@ -1,11 +1,12 @@
 """Registered queries of this subpackage and their DuckDB SQL, where it exists."""
 from __future__ import annotations
 
-from strata.llm import host_reputation, mixing
+from strata.llm import host_reputation, mixing, piece_codec
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op7_host_reputation": host_reputation.op7_host_reputation,
+    "op8_piece_codec": piece_codec.op8_piece_codec,
 }
 
 ORACLE = {
