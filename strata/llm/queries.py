@@ -1,10 +1,11 @@
 """Registered queries of this subpackage and their DuckDB SQL, where it exists."""
 from __future__ import annotations
 
-from strata.llm import host_reputation, mixing, piece_codec
+from strata.llm import host_reputation, mixing, piece_codec, secret_scan
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_secret_scan": secret_scan.op3_secret_scan,
     "op7_host_reputation": host_reputation.op7_host_reputation,
     "op8_piece_codec": piece_codec.op8_piece_codec,
 }
