@@ -1,12 +1,13 @@
 """Registered queries of this subpackage and their DuckDB SQL, where it exists."""
 from __future__ import annotations
 
-from strata.llm import divergence, host_reputation, mixing, piece_codec, secret_scan
+from strata.llm import divergence, host_reputation, mixing, ngram_join, piece_codec, secret_scan
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_divergence": divergence.op2_divergence,
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_host_reputation": host_reputation.op7_host_reputation,
     "op8_piece_codec": piece_codec.op8_piece_codec,
 }
