@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, mix64, span_hash, staged, table,
                                text_bytes, text_groups, word_spans)
+from strata.llm.bitmap import bitmap, holds
 from strata.llm.components import components
 
 WIDTH = 5
@@ -212,23 +213,11 @@ def _enough(edges: DataFrame, sizes: DataFrame) -> DataFrame:
     return got.join(sizes, "cls").filter(F.col("shared") >= need).select("cls")
 
 
-def bitmap(keys: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
-    """A filter of fixed size over ``k``: no key of the table is missed."""
-    pos = F.pmod("k", F.lit(bits))
-    words = (keys.select(F.shiftright(pos, 5).alias("w"), F.pmod(pos, F.lit(32)).cast("int").alias("b"))
-             .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1, b)")).alias("m")).collect())     # at most bits / 32 rows
-    out = np.zeros(bits // 32, np.uint32)
-    for r in words:
-        out[r["w"]] = r["m"] & 0xFFFFFFFF
-    return out
-
-
 def _candidate_sets(found: np.ndarray):
     def run(batches):
         seen = set()
         for b in batches:
-            k = b.column("k").to_numpy() % BITMAP_BITS
-            hit = np.flatnonzero(found[k >> 5] >> (k & 31).astype(np.uint32) & 1)
+            hit = np.flatnonzero(holds(found, b.column("k").to_numpy()))
             for a in range(0, len(hit), 256):
                 part = b.take(pa.array(hit[a:a + 256]))
                 new = {class_id(s): s for s in _sets_of(part)}
@@ -451,7 +440,7 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
     alive = cut_lineage(_enough(edges, sizes))
     key = F.xxhash64("doc_id", "th")
     reps = alive.join(classes, "cls").select(F.xxhash64(F.col("rep.doc_id"), F.col("rep.th")).alias("k"))
-    sets = docs.select(key.alias("k"), "text").mapInArrow(_candidate_sets(bitmap(reps)), "cls bigint, tokens array<bigint>")
+    sets = docs.select(key.alias("k"), "text").mapInArrow(_candidate_sets(bitmap(reps, BITMAP_BITS)), "cls bigint, tokens array<bigint>")
     sets = staged(sets, "candidates")
     edges = edges.join(alive, "cls", "left_semi").filter("cls <> pivot")
     one = components(edges, "cls", "pivot").toDF("cls", "one")
