@@ -1,7 +1,7 @@
 """Registered queries of this subpackage and their DuckDB SQL, where it exists."""
 from __future__ import annotations
 
-from strata.llm import divergence, host_reputation, mixing, ngram_join, piece_codec, secret_scan, toxicity
+from strata.llm import divergence, host_reputation, line_crf, mixing, ngram_join, piece_codec, secret_scan, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_host_reputation": host_reputation.op7_host_reputation,
     "op8_piece_codec": piece_codec.op8_piece_codec,
+    "op9_line_crf": line_crf.op9_line_crf,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
