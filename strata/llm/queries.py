@@ -1,12 +1,13 @@
 """Registered queries of this subpackage and their DuckDB SQL, where it exists."""
 from __future__ import annotations
 
-from strata.llm import divergence, host_reputation, line_crf, mixing, multi_index, ngram_join, piece_codec, secret_scan, toxicity
+from strata.llm import divergence, host_reputation, line_crf, mixing, multi_index, ngram_join, piece_codec, secret_scan, template_slots, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_divergence": divergence.op2_divergence,
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op4_template_slots": template_slots.op4_template_slots,
     "op5_multi_index": multi_index.op5_multi_index,
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_host_reputation": host_reputation.op7_host_reputation,
