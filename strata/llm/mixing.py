@@ -95,30 +95,51 @@ def mix(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, share: float = SHAR
     return row.select("doc_id", "source", "size", "key", "source_size", "target", taken.cast("long").alias("taken"))
 
 
+def cuts(docs: DataFrame, seed: str = "mix") -> DataFrame:
+    """Where each source's last, partial epoch ends: s_source, whole (full
+    epochs), at (key, id and size of the row it ends in), words (that each of
+    the rows equal to ``at`` still gives).  One row per source."""
+    row = mix(docs, seed)
+    whole = F.expr("floor(target) div source_size")
+    row = (row.filter("source_size > 0").withColumn("whole", whole)
+           .withColumn("at", F.struct("key", "doc_id", "size")))
+    part = F.col("taken") - F.col("whole") * F.col("size")
+    # the rows of the last epoch give all, then one gives a part, then none; equal rows share
+    same = row.groupBy("source", "whole", "at").agg(F.sum(part).alias("words"), F.count(F.lit(1)).alias("m"), F.max("size").alias("size"))
+    open_ = same.filter(F.col("words") < F.col("m") * F.col("size"))
+    return (open_.groupBy(F.col("source").alias("s_source"), "whole")
+            .agg(F.min_by(F.struct("at", F.expr("words div m").alias("words")), "at").alias("cut"))
+            .select("s_source", "whole", F.col("cut.at").alias("at"), F.col("cut.words").alias("words")))
+
+
 def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The mix itself: a row per epoch of each document, with the columns of
-    ``docs``.  The one document that a source's budget ends in is cut after
-    the word where it ends."""
+    ``docs``.  The document that a source's budget ends in is cut after the word
+    where it ends.
+
+    Which rows are taken follows from each row's own key and its source's cut,
+    so the texts are never shuffled."""
     cols = docs.columns
-    sized = docs.withColumn("size", word_count(F.col("text")))
-    want = mix(sized, seed).filter("taken > 0")
-    # equal (id, source, size) rows differ at most in which copy is taken
-    number = Window.partitionBy("doc_id", "source", "size").orderBy("taken")
-    want = want.withColumn("copy", F.row_number().over(number)).select("doc_id", "source", "size", "copy", "taken")
-    number = Window.partitionBy("doc_id", "source", "size").orderBy(F.xxhash64("text"), "text")
-    sized = sized.withColumn("copy", F.row_number().over(number))
-    same = [sized[c].eqNullSafe(want[c]) for c in ("doc_id", "source", "size", "copy")]
-    on = same[0] & same[1] & same[2] & same[3]
-    out = sized.join(want, on).select(*[sized[c] for c in cols], sized["size"].alias("_size"), want["taken"].alias("_taken"))
-    out = out.withColumn("_epoch", F.explode(F.expr("sequence(1, cast(ceil(_taken / _size) as int))")))
+    sized = docs.withColumn("_size", word_count(F.col("text")))
+    cut = cut_lineage(cuts(sized.select("doc_id", "source", F.col("_size").alias("size")), seed))
+    row = sized.join(cut, F.col("source").eqNullSafe(F.col("s_source")))
+    here = F.struct(random_key(F.col("doc_id"), F.col("_size"), seed).alias("key"), F.col("doc_id"), F.col("_size").alias("size"))
+    last = F.when(here < F.col("at"), F.col("_size")).when(here == F.col("at"), F.col("words")).otherwise(F.lit(0))
+    row = row.withColumn("_taken", F.col("whole") * F.col("_size") + last).filter("_taken > 0")
+    row = row.withColumn("_epoch", F.explode(F.expr("sequence(1, cast(ceil(_taken / _size) as int))")))
     left = F.col("_taken") - (F.col("_epoch") - 1) * F.col("_size")
-    part = F.concat(F.lit(r"^([\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){"), (left - 1).cast("string"),
-                    F.lit(r"}[^\x20\x09-\x0D]+)"))
-    text = F.when(left >= F.col("_size"), F.col("text")).otherwise(F.regexp_extract(F.col("text"), part, 1))
-    out = out.withColumn("text", text)
+    whole = left >= F.col("_size")
+    # the first words of a text: split at white space once, keep what stands before the rest
+    row = row.withColumn("text", F.when(whole, F.col("text")).otherwise(first_words(F.col("text"), left)))
     if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.when(left >= F.col("_size"), F.col("n_chars")).otherwise(F.length("text")))
-    return out.select(*cols)
+        row = row.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
+    return row.select(*[docs[c] if c not in ("text", "n_chars") else F.col(c) for c in cols])
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its ``n``-th word (fewer than it has)."""
+    parts = F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
+    return F.array_join(F.slice(parts, F.lit(1), n.cast("int")), "")
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
