@@ -119,21 +119,20 @@ def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
 
     Which rows are taken follows from each row's own key and its source's cut,
     so the texts are never shuffled."""
-    cols = docs.columns
-    sized = docs.withColumn("_size", word_count(F.col("text")))
-    cut = cut_lineage(cuts(sized.select("doc_id", "source", F.col("_size").alias("size")), seed))
-    row = sized.join(cut, F.col("source").eqNullSafe(F.col("s_source")))
-    here = F.struct(random_key(F.col("doc_id"), F.col("_size"), seed).alias("key"), F.col("doc_id"), F.col("_size").alias("size"))
-    last = F.when(here < F.col("at"), F.col("_size")).when(here == F.col("at"), F.col("words")).otherwise(F.lit(0))
-    row = row.withColumn("_taken", F.col("whole") * F.col("_size") + last).filter("_taken > 0")
-    row = row.withColumn("_epoch", F.explode(F.expr("sequence(1, cast(ceil(_taken / _size) as int))")))
-    left = F.col("_taken") - (F.col("_epoch") - 1) * F.col("_size")
-    whole = left >= F.col("_size")
-    # the first words of a text: split at white space once, keep what stands before the rest
-    row = row.withColumn("text", F.when(whole, F.col("text")).otherwise(first_words(F.col("text"), left)))
-    if "n_chars" in cols:
-        row = row.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
-    return row.select(*[docs[c] if c not in ("text", "n_chars") else F.col(c) for c in cols])
+    doc = docs.select(F.struct(*docs.columns).alias("doc"), word_count(F.col("text")).alias("size"))    # no name can clash
+    cut = cut_lineage(cuts(doc.select("doc.doc_id", "doc.source", "size"), seed))
+    row = doc.join(cut, F.col("doc.source").eqNullSafe(F.col("s_source")))
+    here = F.struct(random_key(F.col("doc.doc_id"), F.col("size"), seed).alias("key"), F.col("doc.doc_id"), F.col("size"))
+    last = F.when(here < F.col("at"), F.col("size")).when(here == F.col("at"), F.col("words")).otherwise(F.lit(0))
+    row = row.withColumn("taken", F.col("whole") * F.col("size") + last).filter("taken > 0")
+    row = row.withColumn("epoch", F.explode(F.expr("sequence(1, cast(ceil(taken / size) as int))")))
+    row = row.withColumn("left", F.col("taken") - (F.col("epoch") - 1) * F.col("size"))
+    full = F.col("left") >= F.col("size")
+    text = F.when(full, F.col("doc.text")).otherwise(first_words(F.col("doc.text"), F.col("left")))
+    row = row.select("doc", full.alias("full"), text.alias("text"))
+    chars = F.when(F.col("full"), F.col("doc.n_chars")).otherwise(F.length("text").cast("bigint")) if "n_chars" in docs.columns else None
+    made = {"text": F.col("text"), "n_chars": chars}
+    return row.select(*[made.get(c, F.col(f"doc.{c}")).alias(c) for c in docs.columns])
 
 
 def first_words(text: Column, n: Column) -> Column:

@@ -230,11 +230,11 @@ class PieceCodec:
         size = self.part_off[ids + 1] - self.part_off[ids]
         ends = np.concatenate([[0], np.cumsum(size)])
         data = self.part_data[np.arange(ends[-1]) + np.repeat(self.part_off[ids] - ends[:-1], size)].tobytes()
-        out = []
+        out, split = [], np.concatenate([[0], np.cumsum(self.silent[ids])])
         for k in range(len(off) - 1):
             raw = data[ends[off[k]]:ends[off[k + 1]]]
-            try:
-                text = raw.decode()
+            try:        # bytes on both sides of a control piece don't join
+                text = raw.decode() if split[off[k]] == split[off[k + 1]] else self._decode_broken(ids[off[k]:off[k + 1]])
             except UnicodeDecodeError:
                 text = self._decode_broken(ids[off[k]:off[k + 1]])
             seen = off[k]
