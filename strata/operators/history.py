@@ -1,11 +1,9 @@
 """Change history: type-1 (overwrite) and type-2 (versioned) merge.
 
 The target holds every version of every key with ``_eff_start``,
-``_eff_end`` and ``_is_current``.  Closed rows never take part in the merge:
-they bypass the join and are unioned back.  Current rows are left-joined to
-the incoming batch (broadcast when it is proven small, so the history table
-is scanned, not shuffled) and each joined row is mapped, in one pass, to one
-or two output rows:
+``_eff_end`` and ``_is_current``.  One full outer join of the target with the
+incoming batch, on the keys and only for current rows, reads both once; closed
+rows match nothing and pass through.  Each joined row becomes one or two:
 
 =====================================  =======================================
 incoming vs current row                result
@@ -19,7 +17,7 @@ tracked differs                        current row closed (``_eff_end`` =
 =====================================  =======================================
 
 Incoming keys with no current row (new, or only closed versions) are
-inserted.  Comparisons are null-safe by default (null -> value is a change);
+inserted.  Columns new in the batch are added to the table (null in old rows).  Comparisons are null-safe by default (null -> value is a change);
 ``null_safe_changes=False`` and ``insert_new_version=False`` reproduce a
 plain SQL ``MERGE`` with ``!=`` tests that only closes rows.
 """
@@ -30,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from .joins import keys_match, require_unique
 
 EFF_START, EFF_END, CURRENT = "_eff_start", "_eff_end", "_is_current"
 
@@ -60,28 +58,26 @@ def _equal(a: Column, b: Column, null_safe: bool) -> Column:
 def scd_merge(target: DataFrame, incoming: DataFrame, keys: Sequence[str], *,
               tracked: Sequence[str], type1: Sequence[str] = (), touch: Sequence[str] = (),
               insert_new_version: bool = True, null_safe_changes: bool = True,
-              null_safe_keys: bool = True, incoming_is_small: bool | None = None,
-              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Merge ``incoming`` (one row per key, history columns set by
-    :func:`scd_init`) into ``target``; returns the full new table."""
+              null_safe_keys: bool = True) -> DataFrame:
+    """Merge ``incoming`` (one row per key, else ``ValueError``; history columns
+    set by :func:`scd_init`) into ``target``; returns the full new table."""
     keys, tracked, type1, touch = list(keys), list(tracked), list(type1), list(touch)
-    cols = target.columns
-    inc = incoming.select(*[(F.col(c) if c in incoming.columns else F.lit(None).cast(
-        target.schema[c].dataType)).alias(c) for c in cols])
-    if incoming_is_small is None:
-        incoming_is_small = row_count_at_most(inc, max_broadcast_rows)
-    s = inc.select(*[F.col(c).alias(f"__s_{c}") for c in cols], F.lit(True).alias("__hit"))
-    if incoming_is_small:
-        s = F.broadcast(s)
-    hist = target.filter(~F.coalesce(F.col(CURRENT), F.lit(False)))
-    cur = target.filter(F.coalesce(F.col(CURRENT), F.lit(False)))
-    cond = None
-    for k in keys:
-        t = cur[k].eqNullSafe(s[f"__s_{k}"]) if null_safe_keys else cur[k] == s[f"__s_{k}"]
-        cond = t if cond is None else cond & t
-    j = cur.join(s, cond, "left")
-    hit = F.coalesce(F.col("__hit"), F.lit(False))
-    sc = {c: F.col(f"__s_{c}") for c in cols}
+    require_unique(incoming if null_safe_keys else incoming.dropna(subset=keys), keys, "incoming batch")
+    added = [c for c in incoming.columns if c not in target.columns]
+    cols = target.columns + added
+    kind = {c: (target if c in target.columns else incoming).schema[c].dataType for c in cols}
+
+    def side(df, name):
+        row = [(F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(kind[c])).alias(c) for c in cols]
+        return df.select(F.struct(*row).alias(name))
+
+    t, s = side(target, "__t"), side(incoming, "__s")
+    tc = {c: F.col(f"__t.`{c}`") for c in cols}
+    sc = {c: F.col(f"__s.`{c}`") for c in cols}
+    on = keys_match([tc[k] for k in keys], [sc[k] for k in keys], null_safe_keys)
+    j = t.join(s, on & F.coalesce(tc[CURRENT], F.lit(False)), "full_outer")
+    old, new = F.col("__t").isNotNull(), F.col("__s").isNotNull()
+    hit = old & new
 
     def any_of(preds):
         out = F.lit(False)
@@ -95,36 +91,20 @@ def scd_merge(target: DataFrame, incoming: DataFrame, keys: Sequence[str], *,
             out = out & p
         return out
 
-    t2 = hit & any_of([_differs(F.col(c), sc[c], null_safe_changes) for c in tracked])
-    same_tracked = all_of([_equal(F.col(c), sc[c], null_safe_changes) for c in tracked])
-    t1 = hit & same_tracked & any_of([_differs(F.col(c), sc[c], null_safe_changes) for c in type1]) \
-        if type1 else F.lit(False)
+    t2 = hit & any_of([_differs(tc[c], sc[c], null_safe_changes) for c in tracked])
+    same_tracked = all_of([_equal(tc[c], sc[c], null_safe_changes) for c in tracked])
+    t1 = hit & same_tracked & any_of([_differs(tc[c], sc[c], null_safe_changes) for c in type1])
     updated = {}
     for c in cols:
         if c == EFF_END:
-            updated[c] = F.when(t2, sc[EFF_START]).otherwise(F.col(c))
+            updated[c] = F.when(t2, sc[EFF_START]).otherwise(tc[c])
         elif c == CURRENT:
-            updated[c] = F.when(t2, F.lit(False)).otherwise(F.col(c))
+            updated[c] = F.when(t2, F.lit(False)).otherwise(tc[c])
         elif c in type1 or c in touch:
-            updated[c] = F.when(t1, sc[c]).otherwise(F.col(c))
+            updated[c] = F.when(t1, sc[c]).otherwise(tc[c])
         else:
-            updated[c] = F.col(c)
-    old_row = F.struct(*[updated[c].alias(c) for c in cols])
-    new_row = F.struct(*[sc[c].alias(c) for c in cols])
-    rows = [old_row]
-    if insert_new_version:
-        rows.append(F.when(t2, new_row))
-    merged = j.select(F.explode(F.array_compact(F.array(*rows))).alias("__r")).select("__r.*")
-    ck = [f"__c{i}" for i in range(len(keys))]
-    if incoming_is_small:
-        # keys of the batch that met a current row: bounded by the batch size
-        cur_keys = F.broadcast(j.filter(hit).select(
-            *[F.col(f"__s_{k}").alias(c) for k, c in zip(keys, ck)]))
-    else:
-        cur_keys = cur.select(*[F.col(k).alias(c) for k, c in zip(keys, ck)])
-    icond = None
-    for k, c in zip(keys, ck):
-        t = inc[k].eqNullSafe(cur_keys[c]) if null_safe_keys else inc[k] == cur_keys[c]
-        icond = t if icond is None else icond & t
-    inserts = inc.join(cur_keys, icond, "left_anti")
-    return hist.unionByName(merged).unionByName(inserts.select(*cols))
+            updated[c] = tc[c]
+    kept = F.when(old, F.struct(*[updated[c].alias(c) for c in cols]))
+    fresh = F.when(~old | t2, F.col("__s")) if insert_new_version else F.when(~old, F.col("__s"))
+    rows = F.explode(F.array_compact(F.array(kept, fresh)))
+    return j.select(rows.alias("__r")).select("__r.*")

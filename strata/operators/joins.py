@@ -1,4 +1,8 @@
-"""Join helpers with an explicit, proven size bound for broadcasting."""
+"""Key conditions and the unique-key guard of merges.
+
+Join strategies are left to the optimiser: it broadcasts a side by its measured
+bytes and splits skewed partitions, at every size by the same plan.
+"""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -6,38 +10,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast only sides proven (by an actual count) to be at most this many rows.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def row_count_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; reads at most n+1 rows."""
-    return df.limit(n + 1).count() <= n  # count() of a limit is one job
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven small, else ``df`` as is.
-
-    Beyond the bound the join stays a shuffle join, where AQE can still pick a
-    broadcast from runtime sizes and splits skewed partitions.  Call this on
-    materialised (checkpointed or aggregated-and-small) frames so the count is
-    cheap.
-    """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
 
-def null_safe_on(left: DataFrame, right: DataFrame, lkeys: Sequence[str],
-                 rkeys: Sequence[str] | None = None, null_safe: bool = True) -> Column:
-    rkeys = list(rkeys or lkeys)
-    conds = [(left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b])
-             for a, b in zip(lkeys, rkeys)]
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
+def keys_match(left: Sequence[Column], right: Sequence[Column], null_safe: bool = True) -> Column:
+    """All key pairs equal; null keys match each other only if ``null_safe``."""
+    out = None
+    for a, b in zip(left, right, strict=True):
+        same = a.eqNullSafe(b) if null_safe else a == b
+        out = same if out is None else out & same
     return out
 
 
-def prefixed(df: DataFrame, prefix: str, cols: Sequence[str] | None = None) -> DataFrame:
-    """Rename ``cols`` (default all) with a prefix to keep join sides apart."""
-    cols = list(cols or df.columns)
-    return df.select(*[F.col(c).alias(prefix + c) if c in cols else F.col(c) for c in df.columns])
+def require_unique(batch: DataFrame, keys: Sequence[str], what: str = "batch") -> None:
+    """Raise if a key occurs twice: which row wins would be open."""
+    twice = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    row = twice.first()
+    if row is not None:
+        raise ValueError(f"the {what} holds key {[row[k] for k in keys]} {row['n']} times; deduplicate it first")

@@ -1,10 +1,9 @@
 """Key-based upsert (update-all / insert-all merge) without a table format.
 
-``target LEFT ANTI source`` keeps the target rows no incoming row replaces;
-the incoming rows are then added as they are.  When the incoming batch is
-proven small it is broadcast, so the (large) target is only scanned, never
-shuffled.  Schema evolves both ways: columns new in the source appear (null in
-kept target rows); target-only columns keep their old value on updated rows.
+One full outer join on the keys reads the target and the batch once each; the
+optimiser picks the strategy from their sizes.  Schema evolves both ways:
+columns new in the source appear (null in kept target rows); target-only columns
+keep their old value on updated rows.
 """
 from __future__ import annotations
 
@@ -13,46 +12,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from .joins import keys_match, require_unique
 
 
-def _key_cond(left: DataFrame, right: DataFrame, keys, rkeys, null_safe):
-    cond = None
-    for a, b in zip(keys, rkeys):
-        t = left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b]
-        cond = t if cond is None else cond & t
-    return cond
-
-
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
-           null_safe_keys: bool = True, source_is_small: bool | None = None,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, null_safe_keys: bool = True) -> DataFrame:
     """Rows of ``source`` replace target rows with equal ``keys``; other
     source rows are inserted; other target rows are kept.
 
-    ``source`` must hold each key once (deduplicate it first).  Null keys
-    match each other when ``null_safe_keys`` (re-running a load never
-    duplicates them); with ``False`` they never match, like SQL ``=``.
+    ``source`` must hold each key once, else ``ValueError``.  Null keys match
+    each other when ``null_safe_keys`` (re-running a load never duplicates
+    them); with ``False`` they never match, like SQL ``=``.
     """
     keys = list(keys)
-    if source_is_small is None:
-        source_is_small = row_count_at_most(source, max_broadcast_rows)
-    rk = [f"__k{i}" for i in range(len(keys))]
-    skeys = source.select(*[F.col(k).alias(r) for k, r in zip(keys, rk)])
-    if source_is_small:
-        skeys = F.broadcast(skeys)
-    kept = target.join(skeys, _key_cond(target, skeys, keys, rk, null_safe_keys), "left_anti")
-    extra = [c for c in target.columns if c not in source.columns]
-    updated = source
-    if extra:
-        tx = target.select(*[F.col(k).alias(r) for k, r in zip(keys, rk)],
-                           *[F.col(c).alias(f"__x_{c}") for c in extra])
-        if source_is_small:
-            # only target rows the batch touches: at most one per source row
-            tx = F.broadcast(tx.join(skeys, [tx[r].eqNullSafe(skeys[r]) if null_safe_keys
-                                             else tx[r] == skeys[r] for r in rk], "left_semi"))
-        updated = (source.join(tx, _key_cond(source, tx, keys, rk, null_safe_keys), "left")
-                         .select(*[source[c] for c in source.columns],
-                                 *[F.col(f"__x_{c}").alias(c) for c in extra]))
+    unique = source if null_safe_keys else source.dropna(subset=keys)
+    require_unique(unique, keys, "source")
+    t = target.select(F.struct(*target.columns).alias("__t"))
+    s = source.select(F.struct(*source.columns).alias("__s"))
+    on = keys_match([F.col(f"__t.`{k}`") for k in keys], [F.col(f"__s.`{k}`") for k in keys], null_safe_keys)
+    both = t.join(s, on, "full_outer")
+    hit = F.col("__s").isNotNull()
     cols = target.columns + [c for c in source.columns if c not in target.columns]
-    return kept.unionByName(updated, allowMissingColumns=True).select(*cols)
+
+    def value(c):
+        if c not in source.columns:
+            return F.col(f"__t.`{c}`")
+        if c not in target.columns:
+            return F.col(f"__s.`{c}`")
+        return F.when(hit, F.col(f"__s.`{c}`")).otherwise(F.col(f"__t.`{c}`"))
+    return both.select(*[value(c).alias(c) for c in cols])

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from hypothesis import given, settings
@@ -32,8 +33,8 @@ def test_schema_evolves_both_ways(spark):
 def test_upsert_idempotent(spark, target_rows, src):
     t = spark.createDataFrame(list({k: v for k, v in target_rows}.items()) or [(0, 0)], "k int, v int")
     s = spark.createDataFrame(list(src.items()) or [(0, 0)], "k int, v int")
-    once = upsert(t, s, ["k"], source_is_small=True)
-    twice = upsert(once, s, ["k"], source_is_small=False)
+    once = upsert(t, s, ["k"])
+    twice = upsert(once, s, ["k"])
     assert sorted(once.collect()) == sorted(twice.collect())
 
 
@@ -88,3 +89,26 @@ def test_scd_history_rows_bypass(spark):
     first = scd_merge(t, _incoming(spark), ["k"], tracked=["cond"], type1=["ins"])
     second = scd_merge(first, _incoming(spark), ["k"], tracked=["cond"], type1=["ins"])
     assert sorted(map(str, first.collect())) == sorted(map(str, second.collect()))
+
+
+def test_repeated_source_keys_are_refused(spark):
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    s = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    with pytest.raises(ValueError, match="2 times"):
+        upsert(t, s, ["k"])
+    with pytest.raises(ValueError, match="2 times"):
+        scd_merge(_target(spark), _incoming(spark).union(_incoming(spark).filter("k = 'p1'")), ["k"], tracked=["cond"])
+
+
+def test_history_takes_new_columns(spark):
+    out = scd_merge(_target(spark), _incoming(spark).withColumn("ward", F.lit("W")), ["k"], tracked=["cond"], type1=["ins"])
+    rows = out.collect()
+    assert {r.k for r in rows if r.ward == "W"} == {"p2", "p3", "p4", "p6"}     # new versions and new keys
+    assert {r.k for r in rows if r.ward is None} == {"p1", "p2", "p3", "p4", "p5"}
+
+
+def test_merges_read_the_target_once(spark, scratch):
+    _target(spark).write.parquet(scratch)
+    target = spark.read.parquet(scratch)
+    for out in (scd_merge(target, _incoming(spark), ["k"], tracked=["cond"]), upsert(target, _incoming(spark), ["k"])):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
