@@ -46,8 +46,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (tests, a laptop) do we create one of our own.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master
+    (tests, a laptop) gets a temporary folder if it is unset.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
@@ -86,32 +88,10 @@ def cut_lineage(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
-def spread(df, min_rows_per_task: int = 20_000):
-    """Spread an under-split input over the cluster's cores.
-
-    A source stored as one file with one row group is read by a single task,
-    so every narrow step after it runs on one core.  When the scan has fewer
-    splits than the default parallelism and enough rows to matter, a
-    round-robin repartition spreads the rows (filters and column pruning
-    still reach the scan below it).  A large input already has many splits,
-    so this never adds a shuffle at scale.
-    """
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    key = (tuple(sorted(df.inputFiles())), target, min_rows_per_task)
-    want = _SPREAD_MEMO.get(key)
-    if want is None:
-        parts = df.rdd.getNumPartitions()
-        want = 0
-        if parts < target:
-            rows = df.count()  # Parquet answers from footers
-            n = min(target, rows // min_rows_per_task)
-            want = n if n > parts else 0
-        _SPREAD_MEMO[key] = want
-    return df.repartition(want) if want else df
-
-
-_SPREAD_MEMO: dict = {}
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 _SHIPPED: set = set()

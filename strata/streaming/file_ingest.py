@@ -6,7 +6,8 @@ ingested exactly once, with no bookkeeping of our own.  ``availableNow``
 processes everything pending in bounded micro-batches and stops, which suits
 scheduled batch jobs.  Each micro-batch is split into good and corrupt rows,
 deduplicated on the business key and upserted into the table; replaying a
-batch after a failure upserts the same rows again, so the result is the same.
+batch after a failure upserts the same rows again and replaces its own rejected
+rows, so the result is the same.
 """
 from __future__ import annotations
 
@@ -18,9 +19,8 @@ from pyspark.sql import types as T
 
 from ..operators.dedup import latest_per_key
 from ..sources.files import CORRUPT, split_corrupt
-from ..sources.quarantine import envelope
-from ..operators.upsert import upsert
-from ..sources.tables import TableStore, create_or_upsert, merge_into
+from ..sources.quarantine import envelope, quarantine
+from ..sources.tables import TableStore, create_or_upsert
 
 
 def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, store: TableStore,
@@ -48,21 +48,15 @@ def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, sto
 
     def upsert_batch(df: DataFrame, epoch_id: int) -> None:
         good, bad = split_corrupt(df)
-        env = envelope(bad, "bronze", "parse_error", F.col("source_file"), f"epoch-{epoch_id}")
-        if env.take(1):
-            store.append(env, "quarantine")
+        batch = f"{table}-epoch-{epoch_id}"
+        quarantine(envelope(bad, "bronze", "parse_error", F.col("source_file"), batch), store.root, batch, "parse")
         if transform is not None:
             good = transform(good)
         if not good.take(1):
             return
         rest = [c for c in good.columns if c not in keys]
         deduped = latest_per_key(good, list(keys), ["source_file"] if "source_file" in rest else [])
-        if partition is not None:
-            merge_into(store, table, deduped, list(keys),
-                       lambda old, new: upsert(old, new, list(keys)), partition=partition(),
-                       batch_id=f"epoch-{epoch_id}")
-        else:
-            create_or_upsert(store, table, deduped, list(keys))
+        create_or_upsert(store, table, deduped, list(keys), partition() if partition is not None else None)
         batches.append(epoch_id)
 
     q = (stream.writeStream.foreachBatch(upsert_batch)

@@ -1,71 +1,42 @@
 """High-water-mark incremental loads (batch CDC by load time).
 
-The mark is a typed timestamp kept in an append-only Parquet dataset with one
-row per successful load: ``(scope, max_ingested_at, processed_at)``.  Reading
-takes the mark of the latest load of the scope; an empty batch writes nothing,
-so the mark never regresses to a null or text value.
+The mark is kept in an append-only Parquet dataset with one row per successful
+load: ``(scope, mark, processed_at)``.  The mark has the load column's own type
+and goes from the batch to the dataset and from there into the next load's
+filter inside Spark plans: no Python value, so no driver time zone, touches it.
+An empty batch leaves the mark as it is.
 """
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-EPOCH = dt.datetime(1900, 1, 1)
-
-WATERMARK_SCHEMA = T.StructType([
-    T.StructField("scope", T.StringType()),
-    T.StructField("max_ingested_at", T.TimestampNTZType()),
-])
-
 
-def read_watermark(spark: SparkSession, path: str, scope: str = "all") -> dt.datetime:
-    """Latest stored mark for ``scope``; missing table, no rows or a null mark
-    all mean "from the beginning" (1900-01-01)."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(conf).exists(p):
-        return EPOCH
-    try:
-        wm = spark.read.parquet(path)
-    except AnalysisException:
-        return EPOCH
-    row = (wm.filter(F.col("scope") == F.lit(scope))
-             .agg(F.max_by("max_ingested_at", "processed_at").alias("m")).first())
-    return row["m"] if row is not None and row["m"] is not None else EPOCH
+from ..session import path_exists
 
 
-def batch_max(df: DataFrame, ts_col: str):
-    return df.agg(F.max(ts_col).alias("m")).first()["m"]
+def read_watermark(spark: SparkSession, path: str, scope: str = "all") -> DataFrame | None:
+    """One row ``mark`` of the latest load of ``scope`` (null if it has none);
+    ``None`` if nothing was ever saved at ``path``."""
+    if not path_exists(spark, path):
+        return None
+    marks = spark.read.parquet(path).filter(F.col("scope") == F.lit(scope))
+    return marks.agg(F.max_by("mark", "processed_at").alias("mark"))
 
 
-def save_watermark(spark: SparkSession, path: str, mark, scope: str = "all") -> bool:
-    """Append a new mark; ``None`` (empty batch) appends nothing."""
-    if mark is None:
-        return False
-    if isinstance(mark, dt.datetime) and mark.tzinfo is not None:
-        mark = mark.astimezone(dt.timezone.utc).replace(tzinfo=None)
-    (spark.createDataFrame([(scope, mark)], WATERMARK_SCHEMA)
-          .withColumn("processed_at", F.current_timestamp())
+def save_watermark(batch: DataFrame, ts_col: str, path: str, scope: str = "all") -> None:
+    """Append the greatest ``ts_col`` of ``batch``; an empty batch appends no row."""
+    (batch.agg(F.max(ts_col).alias("mark")).filter("mark is not null")
+          .select(F.lit(scope).alias("scope"), "mark", F.current_timestamp().alias("processed_at"))
           .write.mode("append").parquet(path))
-    return True
 
 
-def incremental_batch(df: DataFrame, ts_col: str, watermark,
+def incremental_batch(df: DataFrame, ts_col: str, mark: DataFrame | None,
                       exclude: dict[str, str] | None = None) -> DataFrame:
-    """Rows loaded after the mark (a typed comparison the Parquet scan can push
-    down), minus excluded sources."""
-    dtype = df.schema[ts_col].dataType
-    if isinstance(dtype, T.TimestampNTZType) and isinstance(watermark, dt.datetime):
-        # through ISO text: a naive datetime literal would pass through the
-        # driver's local time zone before the cast
-        mark = F.lit(watermark.replace(tzinfo=None).isoformat(sep=" ")).cast(dtype)
-    else:
-        mark = F.lit(watermark).cast(dtype)
-    out = df.filter(F.col(ts_col) > mark)
+    """Rows loaded after the mark (all, without one), minus excluded sources."""
+    out = df
+    if mark is not None:
+        last = mark.select("mark").scalar()
+        out = out.filter(last.isNull() | (F.col(ts_col) > last))
     for c, v in (exclude or {}).items():
         out = out.filter(~F.col(c).eqNullSafe(F.lit(v)))
     return out
