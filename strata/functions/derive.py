@@ -35,8 +35,3 @@ def band(c, bounds: Sequence, labels: Sequence[str], null_label=_UNSET) -> Colum
     for b, lab in zip(bounds, labels):
         expr = F.when(c < F.lit(b), F.lit(lab)) if expr is None else expr.when(c < F.lit(b), F.lit(lab))
     return expr.otherwise(F.lit(labels[-1]))
-
-
-def calendar_parts(c) -> dict[str, Column]:
-    c = as_col(c)
-    return {"year": F.year(c), "month": F.month(c)}

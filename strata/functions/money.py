@@ -27,7 +27,3 @@ def _half_up_div(s: Column, n: Column) -> Column:
 def round_avg_cents(sum_cents: Column, n: Column) -> Column:
     """Average of cents rounded half-up to a cent, returned in currency units."""
     return _half_up_div(sum_cents, n) / F.lit(100)
-
-
-def round_cents(sum_cents: Column) -> Column:
-    return sum_cents / F.lit(100)

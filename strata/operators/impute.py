@@ -2,8 +2,8 @@
 
 Each strategy computes one statistic per group with a ``groupBy`` (partial
 aggregation map-side, so a hot group costs one row per map task, not one
-giant task), materialises that small table, proves its size and joins it back
-- broadcast when bounded, shuffle join otherwise.  The equivalent window form
+giant task), checkpoints that table and joins it back; the optimiser picks the
+join from its bytes.  The equivalent window form
 (``first(...) over (partition by group)``) would send every row of a group to
 one task, which for low-cardinality groups is most of the table.
 """
@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 
 def donor_hash(row_key: Sequence[str], seed) -> Column:
@@ -24,27 +23,16 @@ def donor_hash(row_key: Sequence[str], seed) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in row_key]))
 
 
-LOCAL_STATS_ROWS = 100_000
-
-
 def _attach(df: DataFrame, stats: DataFrame, by: Sequence[str],
-            max_broadcast_rows: int, materialise: bool) -> DataFrame:
+            materialise: bool) -> DataFrame:
     """Left-join per-group ``stats`` (columns ``__g0..`` + payload) to ``df``.
 
     Group keys compare null-safe: a null group is a group of its own, as in
-    ``partitionBy``.  Statistics proven to hold at most ``LOCAL_STATS_ROWS``
-    groups (reading at most one row more) are broadcast as they are, in one
-    job; more groups are checkpointed and joined by size (broadcast up to
-    ``max_broadcast_rows``, shuffle join beyond).
+    ``partitionBy``.  ``materialise`` checkpoints the statistics, so later
+    steps re-read them and the optimiser knows their bytes.
     """
     if materialise:
-        # coalesce above the limit: one global-limit job instead of take()'s
-        # incremental partition scans
-        head = stats.limit(LOCAL_STATS_ROWS + 1).coalesce(1).collect()
-        if len(head) <= LOCAL_STATS_ROWS:
-            stats = F.broadcast(df.sparkSession.createDataFrame(head, stats.schema))
-        else:
-            stats = bounded_broadcast(cut_lineage(stats), max_broadcast_rows)
+        stats = cut_lineage(stats)
     cond = None
     for i, c in enumerate(by):
         t = df[c].eqNullSafe(stats[f"__g{i}"])
@@ -60,7 +48,6 @@ def _group_cols(by: Sequence[str]) -> list[Column]:
 def impute_donor(df: DataFrame, col: str, by: Sequence[str], default=None, *,
                  row_key: Sequence[str], seed=42, frame: str = "full",
                  stats_from: DataFrame | None = None,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                  materialise: bool = True) -> DataFrame:
     """Fill nulls in ``col`` from a donor row of the same group, then ``default``.
 
@@ -76,7 +63,7 @@ def impute_donor(df: DataFrame, col: str, by: Sequence[str], default=None, *,
     stats = (src.filter(F.col(col).isNotNull())
                 .groupBy(*_group_cols(by))
                 .agg(F.min(F.struct(h.alias("h"), F.col(col).alias("v"))).alias("__donor")))
-    out = _attach(df, stats, by, max_broadcast_rows, materialise)
+    out = _attach(df, stats, by, materialise)
     donor = F.col("__donor").getField("v")
     if frame == "running":
         donor = F.when(F.col("__donor").getField("h") <= h, donor)
@@ -89,7 +76,6 @@ def impute_donor(df: DataFrame, col: str, by: Sequence[str], default=None, *,
 
 def impute_mode(df: DataFrame, col: str, by: Sequence[str], default=None, *,
                 stats_from: DataFrame | None = None,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                 materialise: bool = True) -> DataFrame:
     """Fill nulls with the most frequent value of the group; ties go to the
     smallest value.  Two aggregations: counts per (group, value) - spread over
@@ -100,7 +86,7 @@ def impute_mode(df: DataFrame, col: str, by: Sequence[str], default=None, *,
     gcols = [f"__g{i}" for i in range(len(by))]
     stats = counts.groupBy(*gcols).agg(
         F.min(F.struct((-F.col("count")).alias("n"), F.col("__v").alias("v"))).getField("v").alias("__mode"))
-    out = _attach(df, stats, by, max_broadcast_rows, materialise)
+    out = _attach(df, stats, by, materialise)
     fill = F.coalesce(F.col(col), F.col("__mode"), F.lit(default)) if default is not None \
         else F.coalesce(F.col(col), F.col("__mode"))
     return out.withColumn(col, fill.cast(df.schema[col].dataType)).drop("__mode").select(*df.columns)
@@ -108,8 +94,7 @@ def impute_mode(df: DataFrame, col: str, by: Sequence[str], default=None, *,
 
 def impute_median(df: DataFrame, col: str, by: Sequence[str], default=None, *,
                   accuracy: int = 1_000_000, stats_from: DataFrame | None = None,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                  materialise: bool = True) -> DataFrame:
+                   materialise: bool = True) -> DataFrame:
     """Fill nulls with the group median (``percentile_approx``: exact lower
     median while a group has fewer values than ``accuracy``), cast back to the
     column's type, then ``default``."""
@@ -117,7 +102,7 @@ def impute_median(df: DataFrame, col: str, by: Sequence[str], default=None, *,
     stats = (src.filter(F.col(col).isNotNull())
                 .groupBy(*_group_cols(by))
                 .agg(F.percentile_approx(F.col(col), 0.5, accuracy).alias("__med")))
-    out = _attach(df, stats, by, max_broadcast_rows, materialise)
+    out = _attach(df, stats, by, materialise)
     typ = df.schema[col].dataType
     fill = F.coalesce(F.col(col), F.col("__med").cast(typ), F.lit(default).cast(typ)) \
         if default is not None else F.coalesce(F.col(col), F.col("__med").cast(typ))

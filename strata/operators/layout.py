@@ -6,72 +6,58 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+FILE_BYTES = 128 << 20      # aimed size of a file
+SAMPLE_ROWS = 4096          # rows (a uniform sample) that range bounds are taken from
 
-def compact(df: DataFrame, rows_per_file: int = 2_000_000, num_files: int | None = None,
-            rows: int | None = None) -> DataFrame:
-    """Rewrite into evenly sized files (round-robin shuffle, no skew).
-    ``rows`` (e.g. from the table's audit) saves counting."""
-    if num_files is None:
-        n = rows if rows is not None else df.count()
-        num_files = max(1, math.ceil(n / rows_per_file))
-    return df.repartition(num_files)
+
+def files_for(size: int, file_bytes: int = FILE_BYTES) -> int:
+    return max(1, math.ceil(size / file_bytes))
 
 
-def _bucket(df_stats, c: str, dtype, bits: int) -> Column:
-    """Order-preserving integer in [0, 2^bits) for one column."""
-    top = (1 << bits) - 1
-    if isinstance(dtype, T.StringType):
-        # the first two UTF-8 bytes, zero padded, keep lexicographic order
-        prefix = F.rpad(F.substring(F.hex(F.col(c)), 1, 4), 4, "0")
-        b = F.coalesce(F.conv(prefix, 16, 10).cast("long"), F.lit(0))
-        return F.shiftleft(b, bits - 16) if bits >= 16 else F.shiftright(b, 16 - bits)
-    x = F.col(c)
-    if isinstance(dtype, (T.DateType,)):
-        x = F.unix_date(x)
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        x = F.unix_micros(x.cast("timestamp"))
-    lo, hi = df_stats[f"{c}__lo"], df_stats[f"{c}__hi"]
-    if lo is None or hi is None or hi == lo:
-        return F.lit(0).cast("long")
-    scaled = (x.cast("double") - F.lit(float(lo))) / F.lit(float(hi - lo)) * F.lit(top)
-    return F.coalesce(F.least(F.greatest(scaled.cast("long"), F.lit(0)), F.lit(top)), F.lit(0))
+def compact(df: DataFrame, num_files: int) -> DataFrame:
+    """Rewrite into evenly sized files (round-robin shuffle, no skew)."""
+    return df.repartition(num_files)
 
 
-def zorder_key(df: DataFrame, cols: Sequence[str], bits: int | None = None) -> Column:
-    """Interleave the bits of per-column buckets (Morton order).  Column
-    ranges come from one aggregate (a single row to the driver)."""
-    cols = list(cols)
-    bits = bits or max(1, 62 // len(cols))
-    aggs = []
-    for c in cols:
-        dt = df.schema[c].dataType
-        if isinstance(dt, T.StringType):
-            continue
-        x = F.col(c)
-        if isinstance(dt, T.DateType):
-            x = F.unix_date(x)
-        elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-            x = F.unix_micros(x.cast("timestamp"))
-        aggs += [F.min(x).alias(f"{c}__lo"), F.max(x).alias(f"{c}__hi")]
-    stats = df.agg(*aggs).first().asDict() if aggs else {}
-    buckets = [_bucket(stats, c, df.schema[c].dataType, bits) for c in cols]
+def range_ids(df: DataFrame, cols: Sequence[str], bits: int) -> list[Column]:
+    """Order-preserving integers in [0, 2^bits) for columns of any type: each
+    value's place among bounds that cut a uniform sample evenly, so outliers and
+    common prefixes don't matter.  Nulls come first."""
+    rows = df.select(*cols).orderBy(F.rand(seed=42)).limit(SAMPLE_ROWS).collect()
+    out = []
+    for i, c in enumerate(cols):
+        seen = sorted(r[i] for r in rows if r[i] is not None)
+        n = 1 << bits
+        bounds = sorted({seen[len(seen) * k // n] for k in range(1, n)}) if seen else []
+        kind = df.schema[c].dataType
+
+        def place(lo: int, hi: int):
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            at = F.lit(bounds[mid]).cast(kind)
+            return F.when(F.col(c) < at, place(lo, mid)).otherwise(place(mid + 1, hi))
+        out.append(F.when(F.col(c).isNull(), F.lit(0)).otherwise(place(0, len(bounds))).cast("long"))
+    return out
+
+
+def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 6) -> Column:
+    """Interleave the bits of the columns' range ids (Morton order)."""
+    ids = range_ids(df, list(cols), bits)
     z = F.lit(0).cast("long")
     for b in range(bits):
-        for i, bk in enumerate(buckets):
-            bit = F.shiftright(bk, b).bitwiseAND(F.lit(1))
-            z = z.bitwiseOR(F.shiftleft(bit, b * len(cols) + i))
+        for i, x in enumerate(ids):
+            bit = F.shiftright(x, b).bitwiseAND(F.lit(1))
+            z = z.bitwiseOR(F.shiftleft(bit, b * len(ids) + i))
     return z
 
 
-def cluster_by(df: DataFrame, cols: Sequence[str], num_files: int | None = None,
-               rows_per_file: int = 2_000_000, rows: int | None = None) -> DataFrame:
+def cluster_by(df: DataFrame, cols: Sequence[str], num_files: int) -> DataFrame:
     """Range-partition and sort by the Z-order key so each output file covers
     a compact box of the clustering columns (tight Parquet min/max stats for
-    data skipping).  The key column is not kept."""
-    if num_files is None:
-        num_files = max(1, math.ceil((rows if rows is not None else df.count()) / rows_per_file))
-    z = zorder_key(df, cols)
-    return (df.withColumn("__z", z).repartitionByRange(num_files, "__z")
-              .sortWithinPartitions("__z").drop("__z"))
+    data skipping).  A row hash as second range column splits rows that share
+    one key over files.  Neither helper column is kept."""
+    keyed = df.withColumn("__z", zorder_key(df, cols)).withColumn("__h", F.xxhash64(*df.columns))
+    return (keyed.repartitionByRange(num_files, "__z", "__h")
+                 .sortWithinPartitions("__z", *cols).drop("__z", "__h"))

@@ -54,7 +54,3 @@ def split_critical(df: DataFrame, cols: Sequence[str],
     kept = df.filter(~any_null)
     rejected = df.filter(any_null).withColumn("quarantine_reason", F.lit(reason))
     return kept, rejected
-
-
-def critical_filter(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(cols))

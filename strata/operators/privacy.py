@@ -1,4 +1,4 @@
-"""Masking and restricted-row views."""
+"""Views for readers without access to restricted rows."""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -6,19 +6,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.privacy import mask, restricted_flag
-
-
-def mask_columns(df: DataFrame, cols: Sequence[str], suffix: str = "_masked",
-                 salt: str | None = None, drop_raw: bool = False) -> DataFrame:
-    out = df.withColumns({f"{c}{suffix}": mask(c, salt) for c in cols})
-    return out.drop(*cols) if drop_raw else out
-
-
-def flag_restricted(df: DataFrame, col: str, values=("No Insurance",),
-                    flag: str = "_is_restricted") -> DataFrame:
-    return df.withColumn(flag, restricted_flag(col, values))
-
 
 def public_view(df: DataFrame, flag: str = "_is_restricted",
                 drop: Sequence[str] = ()) -> DataFrame:

@@ -163,8 +163,9 @@ def quality_score(metrics: DataFrame, terms=SCORE_TERMS, rename: dict[str, str]
     score = F.lit(100.0)
     for name, per, cap in terms:
         col = rename.get(name, name)
-        if col in metrics.columns:
-            score = score - F.least(F.col(col) * F.lit(per), F.lit(float(cap)))
+        if col not in metrics.columns:
+            raise ValueError(f"the score needs column {col!r}, which the metrics don't have")
+        score = score - F.least(F.col(col) * F.lit(per), F.lit(float(cap)))
     out = metrics.withColumn("score", F.greatest(score, F.lit(0.0)))
     return out.withColumn("grade", grade(F.col("score")))
 
@@ -225,5 +226,4 @@ def enforce_gate(report) -> None:
     rows = report if isinstance(report, list) else report.collect()
     failed = [(r["rule"], r["failures"]) for r in rows if not r["passed"]]
     if failed:
-        raise ValueError("DATA QUALITY GATE FAILED:\n" +
-                         "\n".join(f"FAIL: {n} - {f} failing rows" for n, f in failed))
+        raise ValueError("quality gate closed: " + "; ".join(f"{n} has {f} bad rows" for n, f in failed))

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from ..functions.keys import hash_key
 from ..functions.money import cents, round_avg_cents
 from ..session import cut_lineage
-from .joins import row_count_at_most
 from .dedup import latest_per_key
+from .joins import keys_match
 
 _ROW_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row index
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str], name: str, start: int = 0,
-              num_partitions: int | None = None, small_rows: int = 100_000) -> DataFrame:
+              num_partitions: int | None = None) -> DataFrame:
     """Consecutive keys ``start, start+1, ...`` in ``order_cols`` order
     (``row_number() over (order by ...) - 1 + start``) without a
     single-partition window.
@@ -28,11 +28,6 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], name: str, start: int =
     offset; the key is offset + position.  ``order_cols`` must be unique.
     """
     order_cols = list(order_cols)
-    if small_rows and row_count_at_most(df, small_rows):
-        # proven small: one ordered pass, no staging
-        from pyspark.sql import Window
-        w = Window.orderBy(*order_cols)
-        return df.withColumn(name, (F.row_number().over(w) - 1 + F.lit(start)).cast("long"))
     parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     staged = (df.repartitionByRange(parts, *order_cols)
                 .sortWithinPartitions(*order_cols)
@@ -81,6 +76,26 @@ def build_dimension(df: DataFrame, natural_key: Sequence[str], attrs: Sequence[s
     return out
 
 
+def extend_dimension(old: DataFrame, now: DataFrame, natural_key: Sequence[str], sk: str) -> DataFrame:
+    """The dimension after another load: rows of ``now`` (natural key and
+    attributes, one row per key) keep the key they have in ``old``; keys new in
+    ``now`` continue from the greatest, in natural-key order; rows gone from
+    ``now`` stay as they were."""
+    natural_key = list(natural_key)
+    attrs = [c for c in old.columns if c not in natural_key and c != sk]
+    o, n = old.select(F.struct(*old.columns).alias("__o")), now.select(F.struct(*natural_key, *attrs).alias("__n"))
+    on = keys_match([F.col(f"__o.`{k}`") for k in natural_key], [F.col(f"__n.`{k}`") for k in natural_key])
+    both = o.join(n, on, "full_outer")
+    known = both.filter("__o is not null").select(
+        *[F.col(f"__o.`{k}`").alias(k) for k in natural_key],
+        *[F.when(F.col("__n").isNotNull(), F.col(f"__n.`{c}`")).otherwise(F.col(f"__o.`{c}`")).alias(c) for c in attrs],
+        F.col(f"__o.`{sk}`").alias(sk))
+    fresh = both.filter("__o is null").select("__n.*")
+    top = old.agg(F.max(sk).alias("m")).first()["m"]
+    fresh = dense_key(fresh, natural_key, sk, start=0 if top is None else top + 1)
+    return known.unionByName(fresh)
+
+
 def attach_keys(fact: DataFrame, dims: Sequence[tuple], *, check_fanout: bool = False) -> DataFrame:
     """Left-join the fact to each dimension to pick up its surrogate key.
 

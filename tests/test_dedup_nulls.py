@@ -41,15 +41,3 @@ def test_split_conservation(spark, ):
     kept, rej = split_critical(df, ["a", "b"])
     assert kept.count() + rej.count() == 100
     assert rej.filter("quarantine_reason = 'critical_null'").count() == rej.count()
-
-
-def test_spread_only_fires_on_under_split_input(spark, scratch):
-    from strata.session import spread
-    many = scratch + "/many"
-    spark.range(200_000).repartition(8).write.parquet(many)
-    one = scratch + "/one"
-    spark.range(200_000).coalesce(1).write.parquet(one)
-    wide = spread(spark.read.parquet(many))
-    assert "RoundRobinPartitioning" not in wide._jdf.queryExecution().executedPlan().toString()
-    narrow = spread(spark.read.parquet(one))
-    assert narrow.rdd.getNumPartitions() > 1 and narrow.count() == 200_000
