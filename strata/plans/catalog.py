@@ -21,22 +21,21 @@ from ..functions import (band, canonical, day_diff, mask, null_out_of_range, par
 from ..operators.dedup import dedup_any, dedup_rows, latest_per_key
 from ..operators.history import scd_init, scd_merge
 from ..operators.impute import Rule, impute, impute_donor, impute_median, impute_mode, null_summary
-from ..operators.layout import cluster_by, compact
+from ..operators.layout import cluster_by
 from ..operators.nulls import split_by_null_ratio, split_critical
 from ..operators.privacy import not_null_view, public_view
 from ..operators.quality import (GateRule, dup_report, gate_report, null_report, quality_metrics,
                                  quality_score, range_report, scd_report)
-from ..operators.star import attach_keys, build_dimension, group_summary, money_avg, money_sum
+from ..operators.star import (attach_keys, build_dimension, extend_dimension, group_summary, money_avg,
+                              money_sum)
 from ..operators.upsert import upsert
-from ..session import shared_dir, spread
-from ..sources.files import check_not_empty, read_raw, split_corrupt
-from ..sources.quarantine import envelope
+from ..session import shared_dir
+from ..sources.files import check_format, check_not_empty, load_mode, read_raw, split_corrupt
+from ..sources.quarantine import envelope, file_event, quarantine, read_quarantine
 from ..sources.schema import add_ingest_metadata, detect_drift, fill_missing, normalise_columns
 from ..sources.tables import TableStore, create_or_upsert, merge_into
-from ..sources.workbooks import read_workbooks, write_workbooks
 from ..streaming.file_ingest import ingest_files
-from ..streaming.incremental import (batch_max, incremental_batch, read_watermark, save_watermark,
-                                     slice_filter)
+from ..streaming.incremental import incremental_batch, read_watermark, save_watermark, slice_filter
 from .dirty import DIRTY_ORDERS_SQL, PRIORITIES, STATUSES, dirty_orders
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,7 +69,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         _SCHEMAS[path] = df.schema
     else:
         df = spark.read.schema(schema).parquet(path)
-    return spread(df)
+    return df
 
 
 def iso(c) -> F.Column:
@@ -712,14 +711,15 @@ def _orders_split(spark, sf):
     """Target: orders before 1999; batch: orders from 1998 on with a new price
     (1998 keys update, later keys insert)."""
     o = table(spark, sf, "orders")
-    target = o.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    late = F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")
+    target = o.filter(~F.coalesce(late, F.lit(False)))
     batch = (o.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
               .withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0)))
     return target, batch
 
 
 @query("q_upsert", f"""
-WITH t AS (SELECT {ORDER_COLS} FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+WITH t AS (SELECT {ORDER_COLS} FROM orders WHERE NOT coalesce(o_orderdate >= TIMESTAMP '1999-01-01', false)),
 s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
              o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
 SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey IS NOT DISTINCT FROM t.o_orderkey)
@@ -731,7 +731,7 @@ def q_upsert(spark, sf):
 
 @query("q_upsert_evolve", f"""
 WITH t AS (SELECT {ORDER_COLS}, 'legacy-' || o_orderstatus AS legacy_code
-           FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+           FROM orders WHERE NOT coalesce(o_orderdate >= TIMESTAMP '1999-01-01', false)),
 s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
              o_orderpriority, lower(o_orderpriority) AS channel
       FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
@@ -858,10 +858,24 @@ def q_incremental(spark, sf):
     wm_path = shared_dir(spark, "watermarks")
     first = incremental_batch(ev.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")),
                               "ts", read_watermark(spark, wm_path, "events"))
-    save_watermark(spark, wm_path, batch_max(first, "ts"), "events")
+    save_watermark(first, "ts", wm_path, "events")
     return incremental_batch(ev, "ts", read_watermark(spark, wm_path, "events"))
 
 
+@query("q_incremental_ltz", """
+SELECT event_id, user_id, event_type, value FROM events
+WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-15')""")
+def q_incremental_ltz(spark, sf):
+    """The same two runs over instants (timestamps with a time zone)."""
+    ev = table(spark, sf, "events").withColumn("ts", F.to_timestamp(F.concat(F.col("ts").cast("string"), F.lit(" UTC"))))
+    wm_path = shared_dir(spark, "watermarks")
+    cut = F.to_timestamp(F.lit("2024-01-15 00:00:00 UTC"))
+    first = incremental_batch(ev.filter(F.col("ts") < cut), "ts", read_watermark(spark, wm_path, "events"))
+    save_watermark(first, "ts", wm_path, "events")
+    return incremental_batch(ev, "ts", read_watermark(spark, wm_path, "events")).select(
+        "event_id", "user_id", "event_type", "value")
+
+
 # ------------------------------------- table maintenance
 def _store(spark) -> TableStore:
     return TableStore(spark, shared_dir(spark, "tables"))
@@ -876,35 +890,33 @@ def q_delete_where(spark, sf):
     return st.read("events")
 
 
+@query("q_delete_partitioned", """
+SELECT * FROM events WHERE NOT coalesce(event_type = 'error' AND value > 50, false)""")
+def q_delete_partitioned(spark, sf):
+    """The same delete from a table partitioned by type: only the partition
+    with hits is written again, and the table stays partitioned."""
+    st = _store(spark)
+    ev = table(spark, sf, "events")
+    st.publish(ev, "events", partition_by=["event_type"])
+    st.delete_where("events", (F.col("event_type") == "error") & (F.col("value") > 50))
+    return st.read("events").select(*ev.columns)
+
+
 @query("q_append_evolve", f"""
-SELECT {ORDER_COLS}, CAST(NULL AS VARCHAR) AS channel FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+SELECT {ORDER_COLS}, CAST(NULL AS VARCHAR) AS channel FROM orders
+WHERE NOT coalesce(o_orderdate >= TIMESTAMP '1998-01-01', false)
 UNION ALL
 SELECT {ORDER_COLS}, lower(o_orderpriority) AS channel FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""")
 def q_append_evolve(spark, sf):
     o = table(spark, sf, "orders")
     cut = F.lit("1998-01-01").cast("timestamp_ntz")
     st = _store(spark)
-    st.publish(o.filter(F.col("o_orderdate") < cut), "orders")
-    st.append(o.filter(F.col("o_orderdate") >= cut).withColumn("channel", F.lower("o_orderpriority")), "orders")
+    late = F.coalesce(F.col("o_orderdate") >= cut, F.lit(False))
+    st.publish(o.filter(~late), "orders")
+    st.append(o.filter(late).withColumn("channel", F.lower("o_orderpriority")), "orders")
     return st.read("orders").select(*ORDER_COLS.split(", "), "channel")
 
 
-@query("q_history", """
-SELECT * FROM (VALUES (0, 'CREATE'), (1, 'APPEND'), (2, 'DELETE')) v(version, operation)
-JOIN (SELECT 0 AS version, count(*) AS rows FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
-      UNION ALL SELECT 1, count(*) FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
-      UNION ALL SELECT 2, count(*) FROM orders WHERE o_orderstatus <> 'P') c USING (version)""")
-def q_history(spark, sf):
-    o = table(spark, sf, "orders")
-    cut = F.lit("1998-01-01").cast("timestamp_ntz")
-    st = _store(spark)
-    st.publish(o.filter(F.col("o_orderdate") < cut), "orders")
-    st.append(o.filter(F.col("o_orderdate") >= cut), "orders")
-    st.delete_where("orders", F.col("o_orderstatus") == "P")
-    h = st.history("orders", 5)
-    return h.select(F.col("version").cast("int").alias("version"), "operation", "rows")
-
-
 LI_ALL = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "
           "l_tax, l_returnflag, l_linestatus, l_shipdate")
 
@@ -914,20 +926,30 @@ def q_compact(spark, sf):
     st = _store(spark)
     li = table(spark, sf, "lineitem")
     # many small segments, as a stream of small loads leaves them
-    st.publish(li.filter(F.col("l_returnflag") == "A"), "lineitem")
-    st.append(li.filter(F.col("l_returnflag") != "A"), "lineitem")
-    st.rewrite("lineitem", lambda df: compact(df, rows_per_file=250_000, rows=st.rows("lineitem")),
-               "OPTIMIZE")
+    first = F.col("l_returnflag").eqNullSafe("A")
+    st.publish(li.filter(first), "lineitem")
+    st.append(li.filter(~first), "lineitem")
+    st.compact("lineitem")
     return st.read("lineitem")
 
 
+@query("q_compact_partitioned", f"SELECT {LI_ALL} FROM lineitem")
+def q_compact_partitioned(spark, sf):
+    """Two loads of a partitioned table, then compaction: it stays partitioned."""
+    st = _store(spark)
+    li = table(spark, sf, "lineitem")
+    first = F.coalesce(F.col("l_linenumber") <= 3, F.lit(False))
+    st.publish(li.filter(first), "lineitem", partition_by=["l_returnflag"])
+    st.append(li.filter(~first), "lineitem")
+    st.compact("lineitem")
+    return st.read("lineitem").select(*LI_ALL.split(", "))
+
+
 @query("q_cluster", f"SELECT {LI_ALL} FROM lineitem")
 def q_cluster(spark, sf):
     st = _store(spark)
     st.publish(table(spark, sf, "lineitem"), "lineitem")
-    st.rewrite("lineitem", lambda df: cluster_by(df, ["l_returnflag", "l_shipdate", "l_partkey"],
-                                                 rows_per_file=100_000, rows=st.rows("lineitem")),
-               "ZORDER")
+    st.rewrite("lineitem", lambda df, files: cluster_by(df, ["l_returnflag", "l_shipdate", "l_partkey"], files))
     return st.read("lineitem")
 
 
@@ -1007,12 +1029,48 @@ def q_sources_orc(spark, sf):
     return _typed(check_not_empty(read_raw(spark, d, "orc"), d))
 
 
-@query("q_sources_xlsx", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
-def q_sources_xlsx(spark, sf):
-    d = shared_dir(spark, "sources", "xlsx")
-    c = table(spark, sf, "customer").select(*CUST_TYPES)
-    write_workbooks(c.repartition(4), d)
-    return _typed(read_workbooks(spark, d).drop("source_file"))
+@query("q_load_mode", """
+SELECT c_mktsegment, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'update' ELSE 'insert' END AS mode,
+       count(*) AS customers
+FROM customer GROUP BY c_mktsegment""")
+def q_load_mode(spark, sf):
+    """Files (one per segment) against a log of loaded files that holds two of
+    them; an empty file and one of an unknown format are refused."""
+    c = table(spark, sf, "customer")
+    d = shared_dir(spark, "sources", "modes")
+    log = spark.createDataFrame([(f"{d}/BUILDING.csv",), (f"{d}/MACHINERY.csv",)], "source_file string")
+    files = c.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))
+    modes = {s: load_mode(log, f"{d}/{s}.csv")
+             for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")}     # fixed values
+    pick = F.create_map(*[F.lit(x) for kv in modes.items() for x in kv])
+    return files.select("c_mktsegment", pick[F.col("c_mktsegment")].alias("mode"), "customers")
+
+
+@query("q_quarantine_sink", """
+SELECT 'b1' AS batch_id, 'parse_error' AS reason, count(*) AS rows FROM customer
+  WHERE c_custkey % 50 = 0 OR c_custkey % 70 = 0
+UNION ALL SELECT 'b2', 'no data rows', 1 UNION ALL SELECT 'b3', 'cannot ingest ''xml'' files', 1""")
+def q_quarantine_sink(spark, sf):
+    """Rejected rows and refused files in the sink; the first batch is run
+    twice and leaves its rows once."""
+    from ..sources.files import IngestError
+    root = shared_dir(spark, "sink")
+    c = table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    bad = c.filter((k % 50 == 0) | (k % 70 == 0))
+    for _ in range(2):
+        quarantine(envelope(bad, "bronze", "parse_error", "customer.csv", "b1"), root, "b1", "parse")
+
+    def reject(batch):
+        return lambda path, reason: quarantine(file_event(spark, "bronze", path, reason, batch), root, batch, "file")
+    for batch, path, look in (("b2", "empty.csv", lambda r: check_not_empty(c.filter("false"), "empty.csv", r)),
+                              ("b3", "odd.xml", lambda r: check_format("odd.xml", on_reject=r))):
+        try:
+            look(reject(batch))
+        except IngestError:
+            continue
+        raise AssertionError(f"{path} was not refused")
+    return read_quarantine(spark, root).groupBy("batch_id", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # raw column names of the drift fixture and the expected set it is checked against
@@ -1133,6 +1191,34 @@ def q_upsert_partitioned(spark, sf):
 
     def merge(old, new):
         return upsert(old, new, ["o_orderkey"])
-    merge_into(st, "orders", target, ["o_orderkey"], merge, partition=bucket)
-    merge_into(st, "orders", batch, ["o_orderkey"], merge, partition=bucket)
+    merge_into(st, "orders", target, merge, bucket)
+    merge_into(st, "orders", batch, merge, bucket)
     return st.read("orders").select(*ORDER_COLS.split(", "))
+
+
+# ------------------------------------------- keys over loads (J4), initcap whitelist (E5)
+@query("q_dim_customer_second_load", """
+WITH old AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS customer_sk
+             FROM customer WHERE c_custkey % 3 <> 0),
+fresh AS (SELECT c_custkey, (SELECT count(*) FROM old) + row_number() OVER (ORDER BY c_custkey) - 1 AS customer_sk
+          FROM customer WHERE c_custkey % 3 = 0)
+SELECT c.c_custkey, CASE WHEN c.c_custkey % 5 = 0 THEN lower(c_name) ELSE c_name END AS c_name, customer_sk
+FROM customer c JOIN (SELECT * FROM old UNION ALL SELECT * FROM fresh) k USING (c_custkey)""")
+def q_dim_customer_second_load(spark, sf):
+    """A second load brings customers in between and new names: old ones keep
+    their keys, new ones continue from the greatest."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_name")
+    k = F.col("c_custkey")
+    first = build_dimension(c.filter(k % 3 != 0), ["c_custkey"], ["c_name"], "customer_sk")
+    now = c.withColumn("c_name", F.when(k % 5 == 0, F.lower("c_name")).otherwise(F.col("c_name")))
+    return extend_dimension(first, now, ["c_custkey"], "customer_sk").select("c_custkey", "c_name", "customer_sk")
+
+
+SEGMENTS = ["Automobile", "Building", "Furniture", "Household"]     # fixed values: a whitelist short of one
+
+
+@query("q_canonical_initcap", f"""
+SELECT c_custkey, CASE WHEN {initcap_sql('c_mktsegment')} IN ({', '.join(repr(x) for x in SEGMENTS)})
+                       THEN {initcap_sql('c_mktsegment')} END AS segment FROM customer""")
+def q_canonical_initcap(spark, sf):
+    return table(spark, sf, "customer").select("c_custkey", canonical("c_mktsegment", SEGMENTS, "initcap").alias("segment"))

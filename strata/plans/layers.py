@@ -3,10 +3,8 @@
 Each layer is a function over a :class:`~strata.sources.tables.TableStore`
 and a spec naming the columns, so the same run serves the admissions layout
 of the source pipeline (:mod:`strata.plans.presets`) or any other table.
-Actions happen only at guards, quarantine appends, publish, gate and
-watermark; everything between scan and write is one lazy plan.
-Order of effects in silver: write -> gate -> publish -> watermark, so a
-failed gate leaves both the table and the mark untouched.
+Order of effects in silver: write -> gate -> publish -> quarantine ->
+watermark, so a failed gate leaves the table, the sink and the mark untouched.
 """
 from __future__ import annotations
 
@@ -25,16 +23,16 @@ from ..operators.history import scd_init, scd_merge
 from ..operators.impute import Rule, impute
 from ..operators.nulls import split_by_null_ratio, split_critical
 from ..operators.privacy import not_null_view, public_view
+from ..operators.joins import require_unique
 from ..operators.quality import GateRule, enforce_gate, gate_report, quality_metrics, quality_score
 from ..operators.star import build_dimension
 from ..session import cut_lineage
 from ..sources.files import (check_format, check_not_empty, default_batch_id, load_mode, read_raw,
                              split_corrupt)
-from ..sources.quarantine import envelope, file_event
+from ..sources.quarantine import envelope, file_event, quarantine
 from ..sources.schema import add_ingest_metadata, detect_drift, drift_rows, fill_missing, normalise_columns
 from ..sources.tables import TableStore, create_or_upsert, merge_into
-from ..streaming.incremental import (batch_max, incremental_batch, read_watermark, save_watermark,
-                                     slice_filter)
+from ..streaming.incremental import incremental_batch, read_watermark, save_watermark, slice_filter
 
 
 # ------------------------------------------------------------------- specs
@@ -72,13 +70,14 @@ class SilverSpec:
     touch: Sequence[str] = ()
     slice_col: str | None = None
     # partition expression of the business key: a merge rewrites only the
-    # partitions its batch touches (None: hash buckets of the key)
+    # partitions its batch touches (None: the whole table)
     partition: Callable[[], Column] | None = None
     gate_not_null: Sequence[str] = ()
+    report_null_cols: Sequence[str] = ()                        # columns of the null report and the score
     gate_rules: dict[str, Callable[[], Column]] = field(default_factory=dict)
     report_ranges: dict[str, Callable[[], Column]] = field(default_factory=dict)
     score_rename: dict[str, str] = field(default_factory=dict)
-    exclude_sources: Sequence[str] = ("schema_evo_demo",)
+    exclude_sources: Sequence[str] = ()
     source_table: str = "bronze"
     table: str = "silver"
 
@@ -91,6 +90,7 @@ class DimSpec:
     sk: str
     rename: dict[str, str] = field(default_factory=dict)
     history: bool = False       # built from all versions (True) or current rows
+    order: Sequence[str] = ()   # greatest wins among rows of one natural key
 
 
 @dataclass
@@ -105,6 +105,7 @@ class GoldSpec:
     marts: dict[str, Callable[[DataFrame, dict[str, DataFrame]], DataFrame]] = field(default_factory=dict)
     summary_view: tuple | None = None        # (mart name, not-null column)
     source_table: str = "silver"
+    namespace: str | None = None             # catalog schema made for SQL users
 
 
 # ------------------------------------------------------------------ bronze
@@ -114,34 +115,29 @@ def bronze(spark: SparkSession, store: TableStore, path: str, spec: BronzeSpec,
     batch_id = default_batch_id(batch_id)
 
     def reject(p, reason):
-        store.append(file_event(spark, "bronze", p, reason, batch_id), "quarantine")
+        quarantine(file_event(spark, "bronze", p, reason, batch_id), store.root, batch_id, "file")
 
     ext = check_format(path, fmt, on_reject=reject)
-    existing = store.read(spec.table) if store.exists(spec.table) else None
-    mode = load_mode(existing, path)
+    mode = load_mode(store.read(LOAD_LOG) if store.exists(LOAD_LOG) else None, path)
     if mode == "update" and spec.on_seen == "skip":
         return {"mode": "skipped", "source_file": path}
-    raw = check_not_empty(read_raw(spark, path, ext, columns=None), path, on_reject=reject)
-    good, bad = split_corrupt(raw)
-    env = envelope(bad, "bronze", "parse_error", path, batch_id)
-    if env.take(1):
-        store.append(env, "quarantine")
+    # the raw file is parsed once; everything below reads the parsed rows
+    raw = cut_lineage(read_raw(spark, path, ext, columns=None))
+    good, bad = split_corrupt(check_not_empty(raw, path, on_reject=reject))
+    quarantine(envelope(bad, "bronze", "parse_error", path, batch_id), store.root, batch_id, "parse")
     new, missing = detect_drift(good, spec.expected)
     if new or missing:
         store.append(drift_rows(spark, new, missing, path), "schema_drift")
     df = normalise_columns(fill_missing(good, missing))
     df = add_ingest_metadata(df, path, ext, batch_id)
     # deterministic survivor per business key (every other column breaks ties)
-    df = latest_per_key(df, list(spec.keys), [])
-    if spec.partition is not None:
-        from ..operators.upsert import upsert
-        version = merge_into(store, spec.table, df, list(spec.keys),
-                             lambda old, new: upsert(old, new, list(spec.keys)),
-                             partition=spec.partition(), batch_id=batch_id)
-    else:
-        version = create_or_upsert(store, spec.table, df, list(spec.keys))
-    return {"mode": mode, "source_file": path, "version": version, "new_columns": new,
-            "missing_columns": missing}
+    df = cut_lineage(latest_per_key(df, list(spec.keys), []))
+    create_or_upsert(store, spec.table, df, list(spec.keys), spec.partition() if spec.partition else None)
+    store.append(spark.createDataFrame([(path, batch_id, mode)], "source_file string, batch_id string, mode string"), LOAD_LOG)
+    return {"mode": mode, "source_file": path, "new_columns": new, "missing_columns": missing}
+
+
+LOAD_LOG = "load_log"       # a row per loaded file
 
 
 # ------------------------------------------------------------------ silver
@@ -178,7 +174,7 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
     df = cut_lineage(df)
     processed = df
     if not df.take(1):
-        return {"rows": 0, "published": None, "watermark": mark}
+        return {"rows": 0, "published": None}
     clean, quar = split_by_null_ratio(df, spec.null_threshold, spec.null_cols)
     qenv = envelope(quar, "silver", F.col("quarantine_reason"), F.col("source_file"), batch_id)
     # normalise key text before deduplicating, so differently cased copies collide
@@ -192,9 +188,6 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
     if rejected is not None:
         qenv = qenv.unionByName(
             envelope(rejected, "silver", F.col("quarantine_reason"), F.col("source_file"), batch_id))
-    # one quarantine write for the run (rows over the null threshold and
-    # rows missing a critical value)
-    store.append(qenv, "quarantine", skip_empty=True)
     out = kept.withColumns({c: f() for c, f in spec.derive.items()})
     out = out.withColumns({m: mask(c) for c, m in spec.masks.items()})
     if spec.restricted:
@@ -219,17 +212,24 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
         return scd_merge(old, new, list(spec.keys), tracked=list(spec.tracked),
                          type1=list(spec.type1), touch=list(spec.touch))
 
-    version = merge_into(store, spec.table, out, list(spec.keys), history_merge,
-                         partition=spec.partition() if spec.partition else None,
-                         batch_id=batch_id, check=check)
+    if spec.partition:
+        merge_into(store, spec.table, out, history_merge, spec.partition(), check)
+    else:
+        merged = cut_lineage(history_merge(store.read(spec.table), out) if store.exists(spec.table) else out)
+        check(merged)
+        store.publish(merged, spec.table)
+    # rows over the null threshold and rows missing a critical value: kept once
+    # the gate let the run pass, so a run tried again leaves them once
+    quarantine(qenv, store.root, batch_id, "silver")
     merged = store.read(spec.table)
     gate = spark.createDataFrame(gates[-1], "rule string, failures long, passed boolean")
-    save_watermark(spark, wm_path, batch_max(processed, "ingested_at"), scope)
+    save_watermark(processed, "ingested_at", wm_path, scope)
     metrics = quality_metrics(
         merged, processed=processed, quarantined=quar, keys=dup_keys, current=cur,
-        null_cols=list(spec.gate_not_null), range_rules={n: f() for n, f in spec.report_ranges.items()},
+        null_cols=list(spec.report_null_cols or spec.gate_not_null),
+        range_rules={n: f() for n, f in spec.report_ranges.items()},
         mask_cols=list(spec.masks.values()))
-    return {"rows": merged.count(), "published": version, "gate": gate,
+    return {"rows": merged.count(), "published": True, "gate": gate,
             "report": quality_score(metrics, rename=spec.score_rename)}
 
 
@@ -244,9 +244,10 @@ def gold(spark: SparkSession, store: TableStore, spec: GoldSpec) -> dict[str, Da
     for d in spec.dims:
         base = silver_all if d.history else current
         dim = build_dimension(base.withColumnsRenamed(d.rename), [d.rename.get(c, c) for c in d.natural_key],
-                              list(d.attrs), d.sk, key="hash")
+                              list(d.attrs), d.sk, order=list(d.order) or None, key="hash")
         store.publish(dim, d.name)
         out[d.name] = store.read(d.name)
+        require_unique(out[d.name], [d.sk], d.name)     # 64-bit hash keys could meet
         # hash keys are computed row-locally from the same natural key: the
         # fact needs no join to pick them up
         fact = fact.withColumn(d.sk, hash_key(*d.natural_key))
@@ -255,6 +256,7 @@ def gold(spark: SparkSession, store: TableStore, spec: GoldSpec) -> dict[str, Da
         *[F.col(c).alias(spec.fact_rename.get(c, c)) for c in spec.fact_cols])
     store.publish(fact, spec.fact_name, partition_by=list(spec.partition_by) or None)
     out[spec.fact_name] = store.read(spec.fact_name)
+    require_unique(out[spec.fact_name], ["visit_sk"], spec.fact_name)
     for name, build in spec.marts.items():
         store.publish(build(out[spec.fact_name], out), name)
         out[name] = store.read(name)
@@ -264,6 +266,8 @@ def gold(spark: SparkSession, store: TableStore, spec: GoldSpec) -> dict[str, Da
         out[f"vw_{m}"] = not_null_view(out[m], c)
     for name, df in out.items():
         df.createOrReplaceTempView(name)
+    if spec.namespace:
+        ensure_namespace(spark, spec.namespace)
     return out
 
 

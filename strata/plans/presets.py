@@ -36,9 +36,24 @@ DEFAULT_ROOM = 100
 CRITICAL = ["medical_condition", "date_of_admission", "billing_amount", "admission_type"]
 REPORT_NULL_COLS = ["medical_condition", "date_of_admission", "billing_amount", "admission_type",
                     "insurance_provider", "test_results", "doctor", "medication", "age", "room_number"]
+DEMO_SOURCE = "schema_evo_demo"
+PATIENT_KEY = ["name_masked", "medical_condition", "_eff_start"]
+PATIENT_ATTRS = ["age", "age_group", "gender", "blood_type", "insurance_provider", "_eff_end", "_is_current"]
+FACT_KEY = ["name_masked", "hospital", "date_of_admission"]
+FACT_COLS = ["date_of_admission", "discharge_date", "admission_type", "medication", "test_results",
+             "billing_amount", "room_number", "length_of_stay", "billing_category", "admission_year",
+             "admission_month", "_is_restricted", "silver_ts"]
 # ---------------------------------------------------------------------------
 
-HEALTHCARE_BRONZE = BronzeSpec(expected=ADMISSION_COLUMNS, keys=ADMISSION_KEYS)
+
+def _raw_month():
+    """yyyymm of the raw admission date, whatever stands between its numbers
+    (0 without one): loads touch few months."""
+    digits = F.substring(F.regexp_replace("date_of_admission", "[^0-9]", ""), 1, 6)
+    return F.coalesce(digits.try_cast("int"), F.lit(0))
+
+
+HEALTHCARE_BRONZE = BronzeSpec(expected=ADMISSION_COLUMNS, keys=ADMISSION_KEYS, partition=_raw_month)
 
 HEALTHCARE_SILVER = SilverSpec(
     keys=ADMISSION_KEYS,
@@ -76,6 +91,8 @@ HEALTHCARE_SILVER = SilverSpec(
     # rewrites only recent months of the history table
     partition=lambda: F.coalesce(F.date_format("date_of_admission", "yyyyMM").cast("int"), F.lit(0)),
     gate_not_null=CRITICAL,
+    report_null_cols=REPORT_NULL_COLS,
+    exclude_sources=(DEMO_SOURCE,),
     gate_rules={"no_negative_billing": lambda: F.col("billing_amount") < 0,
                 "ages_valid": lambda: (F.col("age") <= 0) | (F.col("age") > 120)},
     report_ranges={"age": lambda: (F.col("age") <= 0) | (F.col("age") > 120),
@@ -99,17 +116,15 @@ def _monthly_trend(fact, tables):
 
 
 HEALTHCARE_GOLD = GoldSpec(
-    dims=[DimSpec("dim_patient", ["name_masked", "medical_condition", "_eff_start"],
-                  ["age", "age_group", "gender", "blood_type", "insurance_provider", "_eff_end", "_is_current"],
-                  "patient_sk", rename={"name_masked": "patient_id"}, history=True),
+    # visits can share (patient, condition, start): a current version wins over a closed one
+    dims=[DimSpec("dim_patient", PATIENT_KEY, PATIENT_ATTRS, "patient_sk", rename={"name_masked": "patient_id"},
+                  history=True, order=["_is_current"]),
           DimSpec("dim_doctor", ["doctor_masked"], [], "doctor_sk", rename={"doctor_masked": "doctor_id"}),
           DimSpec("dim_hospital", ["hospital"], [], "hospital_sk")],
     fact_name="fact_patient_visits",
-    fact_cols=["date_of_admission", "discharge_date", "admission_type", "medication", "test_results",
-               "billing_amount", "room_number", "length_of_stay", "billing_category", "admission_year",
-               "admission_month", "_is_restricted", "silver_ts"],
+    fact_cols=FACT_COLS,
     fact_rename={"silver_ts": "etl_ts"},
-    fact_key=["name_masked", "hospital", "date_of_admission"],
+    fact_key=FACT_KEY,
     partition_by=["admission_year"],
     marts={"gold_condition_summary": _condition_summary, "gold_monthly_trend": _monthly_trend},
     summary_view=("gold_condition_summary", "medical_condition"),

@@ -1,11 +1,13 @@
 """Quarantine sink with one fixed envelope for every kind of rejected row."""
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import TableStore
+from ..session import path_exists
 
 ENVELOPE = T.StructType([
     T.StructField("stage", T.StringType()),
@@ -14,6 +16,7 @@ ENVELOPE = T.StructType([
     T.StructField("row_json", T.StringType()),
     T.StructField("batch_id", T.StringType()),
 ])
+STORED = T.StructType(ENVELOPE.fields + [T.StructField("logged_at", T.TimestampType())])
 
 
 def envelope(df: DataFrame, stage: str, reason, source_file=None, batch_id: str | None = None) -> DataFrame:
@@ -35,5 +38,13 @@ def file_event(spark: SparkSession, stage: str, source_file: str, reason: str,
                  .withColumn("logged_at", F.current_timestamp()))
 
 
-def quarantine(store: TableStore, rows: DataFrame, name: str = "quarantine") -> int:
-    return store.append(rows, name)
+def quarantine(rows: DataFrame, root: str, batch_id: str, part: str) -> None:
+    """Keep a batch's rejected rows (``part``: which step rejected them).  A
+    repeated batch replaces its own rows."""
+    rows.write.mode("overwrite").parquet(f"{root}/quarantine/batch={quote(batch_id, safe='')}/part={quote(part, safe='')}")
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    if not path_exists(spark, f"{root}/quarantine"):
+        return spark.createDataFrame([], STORED)
+    return spark.read.schema(STORED).parquet(f"{root}/quarantine").select(*STORED.fieldNames())

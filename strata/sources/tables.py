@@ -1,38 +1,29 @@
-"""Managed tables as versioned Parquet segments plus an audit log.
-
-Delta is not available, so a table is ``<root>/<name>/seg=<uuid>/`` folders
-and an append-only audit dataset ``<root>/_audit`` with one row per publish:
-``(table, version, operation, segments, rows, batch_id, table_rows, schema_json,
-ts)`` - ``rows`` is what the operation wrote, ``table_rows`` the version's size.  A version is
-the list of segments it reads: an append adds a segment, an overwrite or a
-rewrite (delete, compaction, clustering) replaces the list.  Readers use the
-highest audited version, so a half-written folder is never visible, and data
-is never overwritten in place (Spark cannot overwrite a path it is reading).
-Two writers that both try to record the same version are detected (the second
-fails before its version is visible); this is a convention, not a transaction
-log with full isolation.
+"""Managed tables: Parquet folders and one pointer file per table.
+
+Every write goes to a new folder ``<root>/<name>/seg=<id>``; then the table's
+small pointer file is replaced, and readers follow it.  So a half-written folder
+is never seen, and no path is overwritten while it is read.  The pointer names
+the table's folders: one for a plain table, the partition folders for a
+partitioned one (at most one list entry per partition and append).  Rewrites of
+partitioned tables replace only the partition folders they touch.
+
+A folder that neither the pointer nor the one before it names is deleted at the
+next write.  One writer per table at a time.
 """
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-AUDIT_SCHEMA = T.StructType([
-    T.StructField("table", T.StringType()),
-    T.StructField("version", T.LongType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("segments", T.ArrayType(T.StringType())),
-    T.StructField("rows", T.LongType()),
-    T.StructField("batch_id", T.StringType()),
-    T.StructField("table_rows", T.LongType()),
-    T.StructField("schema_json", T.StringType()),
-])
+from ..operators.layout import compact, files_for
+from ..session import path_exists
+
+PART = "_part"      # partition column of merge tables, made from the key and not shown to readers
 
 
 def merge_schemas(old: T.StructType | None, new: T.StructType) -> T.StructType:
@@ -47,249 +38,229 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        # latest audited state per table, kept by this (single) writer
-        self._state: dict[str, tuple] = {}
-
-    # ---------------------------------------------------------------- audit
-    @property
-    def audit_path(self) -> str:
-        return f"{self.root}/_audit"
-
-    def _path_exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(conf).exists(p)
-
-    def audit(self) -> DataFrame:
-        schema = T.StructType(AUDIT_SCHEMA.fields + [T.StructField("ts", T.TimestampType())])
-        if self._path_exists(self.audit_path):
-            try:
-                return self.spark.read.schema(schema).json(self.audit_path)
-            except AnalysisException:
-                pass
-        return self.spark.createDataFrame([], schema)
-
-    def _latest_full(self, name: str):
-        """(version, segments, rows, schema) of the latest audited version."""
-        if name in self._state:
-            return self._state[name]
-        if not self._path_exists(self.audit_path):
-            return (None, [], 0, None)
-        rows = (self.audit().filter(F.col("table") == name)
-                    .agg(F.max_by(F.struct("version", "segments", "table_rows", "schema_json"), "version")
-                         .alias("v")).collect())
-        v = rows[0]["v"] if rows else None
-        if v is None:
-            return (None, [], 0, None)
-        state = (v["version"], list(v["segments"]), v["table_rows"],
-                 T.StructType.fromJson(json.loads(v["schema_json"])) if v["schema_json"] else None)
-        self._state[name] = state
-        return state
-
-    def _latest(self, name: str):
-        v, segs, _, _ = self._latest_full(name)
-        return v, segs
-
-    def rows(self, name: str) -> int:
-        """Row count of the latest version (recorded at write time)."""
-        return self._latest_full(name)[2]
 
-    def exists(self, name: str) -> bool:
-        return self._latest(name)[0] is not None
-
-    def version(self, name: str):
-        return self._latest(name)[0]
-
-    def history(self, name: str, n: int = 5) -> DataFrame:
-        """Last ``n`` publishes, newest first (a top-k report)."""
-        return (self.audit().filter(F.col("table") == name)
-                    .select("version", "ts", "operation", "rows", "batch_id")
-                    .orderBy(F.col("version").desc()).limit(n))
-
-    # ----------------------------------------------------------------- read
-    def read(self, name: str, version: int | None = None) -> DataFrame:
-        if version is None:
-            v, segs, _, schema = self._latest_full(name)
-        else:
-            r = (self.audit().filter((F.col("table") == name) & (F.col("version") == version))
-                     .select("segments", "schema_json").collect())
-            v, segs, schema = (version, list(r[0]["segments"]),
-                               T.StructType.fromJson(json.loads(r[0]["schema_json"]))) if r else (None, [], None)
-        if v is None:
-            raise ValueError(f"table {name!r} does not exist in {self.root}")
-        if schema is not None:
-            # the recorded union schema: no inference job, old segments read
-            # columns they lack as null
-            return self.spark.read.schema(schema).parquet(*segs)
-        return self.spark.read.option("mergeSchema", "true").parquet(*segs)
-
-    # ---------------------------------------------------------------- write
-    def _write_segment(self, df: DataFrame, name: str, partition_by: Sequence[str] | None) -> tuple[str, int]:
+    # ------------------------------------------------------------ files
+    def _fs(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _entry(self, name: str) -> dict | None:
+        """The table's pointer; ``None`` only if there is none."""
+        path = f"{self.root}/{name}/current.json"
+        if not path_exists(self.spark, path):
+            return None
+        return json.loads(self.spark.read.text(path, wholetext=True).first()[0])
+
+    def _switch(self, name: str, schema: T.StructType, folders: Sequence[str], by: Sequence[str]) -> None:
+        """Replace the pointer in one rename, then drop folders nobody names."""
+        before = self._entry(name)
+        entry = {"folders": sorted(folders), "before": before["folders"] if before else [],
+                 "partition_by": list(by), "schema": schema.jsonValue()}
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        fs, tmp = self._fs(f"{self.root}/{name}/current-{uuid.uuid4().hex}.tmp")
+        out = fs.create(tmp, False)
+        try:
+            out.write(bytearray(json.dumps(entry).encode("utf-8")))
+        finally:
+            out.close()
+        fc = jvm.org.apache.hadoop.fs
+        options = self.spark.sparkContext._gateway.new_array(getattr(fc, "Options$Rename"), 1)
+        options[0] = getattr(fc, "Options$Rename").OVERWRITE
+        target = fc.Path(f"{self.root}/{name}/current.json")
+        fc.FileContext.getFileContext(target.toUri(), conf).rename(fs.makeQualified(tmp), fs.makeQualified(target), options)
+        named = entry["folders"] + entry["before"]
+        for st in fs.listStatus(fc.Path(f"{self.root}/{name}")):
+            seg = st.getPath().getName()
+            if seg.startswith("seg=") and not any(f"/{seg}/" in f"{x}/" for x in named):
+                fs.delete(st.getPath(), True)
+
+    def _leaves(self, seg: str, depth: int) -> list[str]:
+        """Partition folders of a new segment (bounded by the partitions)."""
+        level = [seg]
+        for _ in range(depth):
+            found = []
+            for d in level:
+                fs, p = self._fs(d)
+                found += [st.getPath().toString() for st in fs.listStatus(p)
+                          if st.isDirectory() and "=" in st.getPath().getName()] if fs.exists(p) else []
+            level = found
+        return level
+
+    def _write(self, df: DataFrame, name: str, by: Sequence[str]) -> list[str]:
+        """Write a new segment; the folders that hold it."""
         seg = f"{self.root}/{name}/seg={uuid.uuid4().hex}"
-        obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-        if partition_by:
+        if by:
             # AQE sizes the write tasks per partition value (splitting a hot
             # value, merging small ones) instead of every task writing a
             # small file into every partition folder
-            df = df.hint("rebalance", *partition_by)
-        w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(seg)
-        return seg, int(obs.get["n"])  # counted by the write itself
-
-    def _record(self, name, version, operation, segments, rows, batch_id, schema: T.StructType,
-                table_rows: int):
-        """Append one audit record: a small JSON file written from the driver
-        through the Hadoop file system (no Spark job for one line).  The file
-        name is unique, so a retried publish never clobbers another record."""
-        import datetime as dt
-        rec = {"table": name, "version": version, "operation": operation, "segments": list(segments),
-               "rows": rows, "batch_id": batch_id, "table_rows": table_rows,
-               "schema_json": json.dumps(schema.jsonValue()),
-               "ts": dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")}
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        prefix = f"{self.audit_path}/{name}-v{version:09d}-"
-        fs = jvm.org.apache.hadoop.fs.Path(self.audit_path).getFileSystem(conf)
-        taken = fs.globStatus(jvm.org.apache.hadoop.fs.Path(prefix + "*.json"))
-        if taken is not None and len(taken) > 0:
-            # optimistic check: another writer recorded this version first;
-            # our written folders stay unreferenced
-            self._state.pop(name, None)
-            raise RuntimeError(f"table {name!r}: version {version} was recorded by another writer")
-        path = jvm.org.apache.hadoop.fs.Path(prefix + f"{uuid.uuid4().hex[:8]}.json")
-        out = fs.create(path, False)
-        try:
-            out.write(bytearray((json.dumps(rec) + "\n").encode("utf-8")))
-        finally:
-            out.close()
-        self._state[name] = (version, list(segments), table_rows, schema)
+            df.hint("rebalance", *by).write.mode("errorifexists").partitionBy(*by).parquet(seg)
+            return self._leaves(seg, len(by))
+        df.write.mode("errorifexists").parquet(seg)
+        return [seg]
+
+    def _frame(self, name: str, entry: dict, folders: Sequence[str]) -> DataFrame:
+        schema = T.StructType.fromJson(entry["schema"])
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        df = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*folders)
+        return df.select(*schema.fieldNames())
+
+    # ------------------------------------------------------------ reading
+    def exists(self, name: str) -> bool:
+        return self._entry(name) is not None
+
+    def read(self, name: str) -> DataFrame:
+        """The table, in its recorded schema: no inference job; folders written
+        before a column came read it as null."""
+        entry = self._entry(name)
+        if entry is None:
+            raise ValueError(f"table {name!r} does not exist in {self.root}")
+        df = self._frame(name, entry, entry["folders"])
+        return df.drop(PART)
+
+    def partition_by(self, name: str) -> list[str]:
+        entry = self._entry(name)
+        return entry["partition_by"] if entry else []
+
+    def size(self, name: str) -> int:
+        """Bytes of the table's files."""
+        return sum(self._folder(f)[1] for f in self._entry(name)["folders"])
+
+    def _folder(self, folder: str) -> tuple[int, int]:
+        """(data files, bytes) of a folder."""
+        fs, p = self._fs(folder)
+        files = [st.getLen() for st in fs.listStatus(p) if st.getPath().getName().startswith("part-")]
+        return len(files), sum(files)
+
+    # ------------------------------------------------------------ writing
+    def publish(self, df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None) -> None:
+        """Full rebuild: the table becomes ``df``."""
+        by = list(partition_by or [])
+        self._switch(name, self._stored(df.schema, by), self._write(df, name, by), by)
 
     @staticmethod
-    def _stored_schema(df: DataFrame, partition_by) -> T.StructType:
+    def _stored(schema: T.StructType, by: Sequence[str]) -> T.StructType:
         """Schema as read back: partition columns come last."""
-        if not partition_by:
-            return df.schema
-        rest = [f for f in df.schema.fields if f.name not in partition_by]
-        parts = [df.schema[c] for c in partition_by]
-        return T.StructType(rest + parts)
-
-    def publish(self, df: DataFrame, name: str, operation: str = "WRITE", *,
-                partition_by: Sequence[str] | None = None, batch_id: str | None = None) -> int:
-        """Full rebuild: write a new segment and make it the only one."""
-        v, _ = self._latest(name)
-        seg, rows = self._write_segment(df, name, partition_by)
-        nv = 0 if v is None else v + 1
-        self._record(name, nv, operation if v is not None else "CREATE", [seg], rows, batch_id,
-                     self._stored_schema(df, partition_by), rows)
-        return nv
-
-    def append(self, df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None,
-               batch_id: str | None = None, skip_empty: bool = False):
-        """Add rows (schema may gain columns; readers merge schemas).  With
-        ``skip_empty`` an append that wrote no rows records no version (the
-        count comes from the write itself, no probe job)."""
-        v, segs, old_rows, old_schema = self._latest_full(name)
-        seg, rows = self._write_segment(df, name, partition_by)
-        if skip_empty and rows == 0:
-            return v
-        nv = 0 if v is None else v + 1
-        self._record(name, nv, "APPEND" if v is not None else "CREATE", segs + [seg], rows,
-                     batch_id, merge_schemas(old_schema, self._stored_schema(df, partition_by)),
-                     old_rows + rows)
-        return nv
-
-    def delete_where(self, name: str, predicate: Column, batch_id: str | None = None) -> int:
-        """Remove rows where ``predicate`` is true (null counts as false)."""
-        keep = self.read(name).filter(~F.coalesce(predicate, F.lit(False)))
-        return self.publish(keep, name, "DELETE", batch_id=batch_id)
-
-    def rewrite(self, name: str, transform, operation: str) -> int:
-        return self.publish(transform(self.read(name)), name, operation)
-
-
-PART = "_part"
-
-
-def key_buckets(keys: Sequence[str], n: int = 256) -> Column:
-    """Default partition expression: hash bucket of the null-tagged key."""
+        return T.StructType([f for f in schema.fields if f.name not in by] + [schema[c] for c in by])
+
+    def append(self, df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None) -> None:
+        """Add rows; the table may gain columns.  A plain table takes the files
+        into its folder (they show when the write commits)."""
+        entry = self._entry(name)
+        if entry is None:
+            return self.publish(df, name, partition_by=partition_by)
+        by = entry["partition_by"]
+        schema = merge_schemas(T.StructType.fromJson(entry["schema"]), df.schema)
+        if by:
+            self._switch(name, self._stored(schema, by), entry["folders"] + self._write(df, name, by), by)
+            return None
+        if schema.jsonValue() != entry["schema"]:
+            self._switch(name, schema, entry["folders"], by)
+        df.write.mode("append").parquet(entry["folders"][0])
+        return None
+
+    def _replace(self, name: str, entry: dict, hit: Sequence[str], df: DataFrame, check=None) -> None:
+        """Put ``df`` in place of the partition folders ``hit``.  ``check`` sees
+        the written rows before the pointer names them."""
+        by, gone = entry["partition_by"], set(hit)
+        schema = self._stored(merge_schemas(T.StructType.fromJson(entry["schema"]), df.schema), by)
+        new = self._write(df, name, by)
+        if check is not None:
+            check(self._frame(name, {"schema": schema.jsonValue()}, new).drop(PART))
+        self._switch(name, schema, [f for f in entry["folders"] if f not in gone] + new, by)
+
+    def delete_where(self, name: str, predicate: Column) -> None:
+        """Remove rows where ``predicate`` is true (null counts as false).
+        Partitions without such rows stay as they are."""
+        entry = self._entry(name)
+        df = self._frame(name, entry, entry["folders"])
+        goes = F.coalesce(predicate, F.lit(False))
+        if not entry["partition_by"]:
+            self.publish(df.filter(~goes), name)
+            return
+        read = self.spark.read.schema(df.schema).option("basePath", f"{self.root}/{name}").parquet(*entry["folders"])
+        where = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("d")
+        dirs = {self._plain(r["d"]) for r in read.filter(goes).select(where).distinct().collect()}    # partitions
+        hit = [f for f in entry["folders"] if self._plain(f) in dirs]
+        if hit:
+            self._replace(name, entry, hit, self._frame(name, entry, hit).filter(~goes))
+
+    @staticmethod
+    def _plain(path: str) -> str:
+        """A path without its scheme, to compare the ways Spark and Hadoop write it."""
+        from urllib.parse import unquote
+        return unquote(path.split(":", 1)[-1]).replace("//", "/").rstrip("/")
+
+    def rewrite(self, name: str, transform: Callable[[DataFrame, int], DataFrame]) -> None:
+        """Replace the table by ``transform(table, files)``, ``files`` from its
+        bytes; it keeps its partitioning."""
+        entry = self._entry(name)
+        df = self._frame(name, entry, entry["folders"])
+        self.publish(transform(df, files_for(self.size(name))), name, partition_by=entry["partition_by"])
+
+    def compact(self, name: str) -> None:
+        """Merge small files.  In a partitioned table only partitions with more
+        files than their bytes need are written again."""
+        entry = self._entry(name)
+        if not entry["partition_by"]:
+            self.rewrite(name, compact)
+            return
+        values: dict[str, list[str]] = {}
+        for f in entry["folders"]:      # a partition may lie in a folder of every append
+            values.setdefault(f.split("/seg=", 1)[1].split("/", 1)[1], []).append(f)
+        hit = []
+        for folders in values.values():
+            sizes = [self._folder(f) for f in folders]
+            if len(folders) > 1 or sum(n for n, _ in sizes) > files_for(sum(b for _, b in sizes)):
+                hit += folders
+        if hit:
+            self._replace(name, entry, hit, self._frame(name, entry, hit))
+
+
+def key_buckets(keys: Sequence[str], n: int) -> Column:
+    """Partition expression: one of ``n`` hash buckets of the null-tagged key."""
     from ..functions.keys import hash_key
     return F.pmod(hash_key(*keys), F.lit(n)).cast("int")
 
 
-def _leaf_dirs(spark: SparkSession, seg: str) -> list[str]:
-    """The ``_part=...`` folders of a freshly written segment (one listing,
-    bounded by the number of partitions)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(seg)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    return sorted(st.getPath().toString() for st in fs.listStatus(p)
-                  if st.isDirectory() and st.getPath().getName().startswith(f"{PART}="))
-
-
-def merge_into(store: TableStore, name: str, batch: DataFrame, keys: Sequence[str],
-               merge, partition: Column | None = None, operation: str = "MERGE",
-               batch_id: str | None = None, check=None) -> int:
-    """Merge ``batch`` into table ``name`` rewriting only touched partitions.
-
-    The table is stored partitioned by ``partition`` (an expression of the
-    business key, so every version of a key lives in one partition; default:
-    256 hash buckets of the key).  Only partitions holding a batch key are
-    read, merged with ``merge(old_rows, batch)`` and written again; the
-    other partition folders carry over unchanged into the new version.  The
-    list of touched partitions is bounded by the partition count.  ``check``
-    (optional) sees the merged rows of the touched partitions once they are
-    written but before the new version is recorded: raising leaves the new
-    folders unreferenced, so readers never see them (write -> check ->
-    publish).  Partition values should be integers or plain text (they
-    become folder names).
+def merge_into(store: TableStore, name: str, batch: DataFrame, merge, partition: Column, check=None) -> None:
+    """Merge ``batch`` into table ``name``, rewriting only touched partitions.
+
+    The table is stored partitioned by ``partition``, an expression of the
+    business key (so every version of a key lies in one partition) whose values
+    new batches hit few of, like a load month.  Only partitions holding a batch
+    key are read, merged with ``merge(old_rows, batch)`` and written again.
+    ``check`` (optional) sees the merged rows once they are written but before
+    readers do: raising leaves the table as it was.  Partition values should be
+    integers or plain text (they become folder names).
     """
-    part = partition if partition is not None else key_buckets(keys)
-    keyed = batch.withColumn(PART, part)
-    v, segs, old_rows, schema = store._latest_full(name)
-    if v is None or not all(f"/{PART}=" in s for s in segs):
-        # first load, or a table not yet laid out by partition: full rewrite
-        base = store.read(name) if v is not None else None
-        merged = merge(base, batch) if base is not None else batch
-        out = merged.withColumn(PART, part)
-        seg, rows = store._write_segment(out, name, [PART])
-        leaves = _leaf_dirs(store.spark, seg)
-        if check is not None:
-            check(store.spark.read.schema(merged.schema).parquet(*leaves) if leaves
-                  else store.spark.createDataFrame([], merged.schema))
-        store._record(name, 0 if v is None else v + 1, "CREATE" if v is None else operation, leaves,
-                      rows, batch_id, merged.schema, rows)
-        return store.version(name)
+    entry = store._entry(name)
+    old_part = entry is not None and entry["partition_by"] == [PART]
+    if not old_part:
+        base = store.read(name) if entry is not None else None
+        merged = (merge(base, batch) if base is not None else batch).withColumn(PART, partition)
+        empty = {"folders": [], "partition_by": [PART], "schema": merged.schema.jsonValue()}
+        store._replace(name, empty, [], merged, check)
+        return
     touched = {("__HIVE_DEFAULT_PARTITION__" if r[0] is None else str(r[0]))
-               for r in keyed.select(F.col(PART).cast("string")).distinct().collect()}
-    hit = [s for s in segs if s.rsplit(f"/{PART}=", 1)[1] in touched]
-    keep = [s for s in segs if s not in hit]
-    old = store.spark.read.schema(schema).parquet(*hit) if hit else \
-        store.spark.createDataFrame([], schema)
-    old_n = store.spark.read.schema(schema).parquet(*hit).count() if hit else 0
-    merged = merge(old, batch)
-    seg, rows = store._write_segment(merged.withColumn(PART, part), name, [PART])
-    new_leaves = _leaf_dirs(store.spark, seg)
-    if check is not None:
-        check(store.spark.read.schema(merged.schema).parquet(*new_leaves) if new_leaves
-              else store.spark.createDataFrame([], merged.schema))
-    new_schema = merge_schemas(schema, merged.schema)
-    store._record(name, v + 1, operation, keep + new_leaves, rows, batch_id,
-                  new_schema, old_rows - old_n + rows)
-    return v + 1
+               for r in batch.select(partition.cast("string")).distinct().collect()}     # partitions
+    hit = [f for f in entry["folders"] if f.rstrip("/").rsplit(f"/{PART}=", 1)[1] in touched]
+    old = store._frame(name, entry, hit).drop(PART)
+    store._replace(name, entry, hit, merge(old, batch).withColumn(PART, partition), check)
 
 
 def create_or_upsert(store: TableStore, name: str, batch: DataFrame, keys: Sequence[str],
-                     **upsert_opts) -> int:
-    """First load creates the table; later loads merge on ``keys``.  Only an
-    explicit existence check decides - merge errors propagate."""
+                     partition: Column | None = None) -> None:
+    """First load creates the table; later loads merge on ``keys`` - with
+    ``partition`` (an expression of the keys) in the partitions they touch.
+    Only an explicit existence check decides - merge errors propagate."""
+    from ..operators.joins import require_unique
     from ..operators.upsert import upsert
-    if not store.exists(name):
-        return store.publish(batch, name, "CREATE")
-    merged = upsert(store.read(name), batch, keys, **upsert_opts)
-    return store.publish(merged, name, "MERGE")
+    if partition is not None:
+        require_unique(batch, keys)
+        merge_into(store, name, batch, lambda old, new: upsert(old, new, keys), partition)
+    elif store.exists(name):
+        store.publish(upsert(store.read(name), batch, keys), name)
+    else:
+        require_unique(batch, keys)
+        store.publish(batch, name)

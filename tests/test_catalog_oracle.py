@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata.plans import catalog
 from tools.compare import TABLES, digest, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +21,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, con, name):
     if not os.path.isdir(SF):
         pytest.skip("driver tables not present")
@@ -32,9 +33,8 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_a_stated_reason():
-    from strata.plans.catalog import NO_ORACLE
-    assert set(E.queries()) - set(E.oracle_sql()) == set(NO_ORACLE)
-    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(catalog.QUERIES) - set(catalog.ORACLE) == set(catalog.NO_ORACLE)
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(catalog.QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(__import__("strata.plans.catalog", fromlist=["x"]).NO_ORACLE))

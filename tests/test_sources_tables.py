@@ -9,8 +9,7 @@ from strata.sources.files import (IngestError, check_format, check_not_empty, lo
 from strata.sources.quarantine import envelope, file_event
 from strata.sources.schema import detect_drift, fill_missing, normalise_columns
 from strata.sources.tables import TableStore
-from strata.sources.workbooks import read_workbooks, workbook_bytes
-from strata.streaming.incremental import batch_max, incremental_batch, read_watermark, save_watermark
+from strata.streaming.incremental import incremental_batch, read_watermark, save_watermark
 
 
 def _local(path):
@@ -45,17 +44,17 @@ def test_format_and_empty_guards(spark, scratch):
     logged = []
     with pytest.raises(IngestError):
         check_format(_write(scratch, "notes.txt", "hello"), on_reject=lambda p, r: logged.append(r))
-    assert logged == ["Unsupported format: .txt"]
+    assert logged == ["cannot ingest 'txt' files"]
     p = _write(scratch, "header_only.csv", "Name,Age\n")
     with pytest.raises(IngestError):
         check_not_empty(read_raw(spark, p), p, on_reject=lambda p, r: logged.append(r))
-    assert logged[-1] == "Empty file"
+    assert logged[-1] == "no data rows"
     assert file_event(spark, "bronze", p, "Empty file").first().reason == "Empty file"
 
 
 def test_name_collision_fails(spark):
     df = spark.createDataFrame([(1, 2)], "`a b` int, a_b int")
-    with pytest.raises(ValueError, match="both normalise"):
+    with pytest.raises(ValueError, match="get the same name"):
         normalise_columns(df)
 
 
@@ -67,42 +66,113 @@ def test_drift_fill_and_normalise(spark):
     assert out.columns == ["name", "blood_type", "extra", "age"]
 
 
-def test_workbook_roundtrip(spark, scratch):
-    d = _local(scratch + "/wb")
-    with open(os.path.join(d, "a.xlsx"), "wb") as fh:
-        fh.write(workbook_bytes(["Name", "Age"], [["x", "1"], ["y", None]]))
-    with open(os.path.join(d, "b.xlsx"), "wb") as fh:
-        fh.write(workbook_bytes(["Age", "Name"], [["3", "z & co"]]))
-    out = read_workbooks(spark, d, columns=["Name", "Age"]).drop("source_file")
-    assert sorted(map(tuple, out.collect()), key=str) == sorted([("x", "1"), ("y", None), ("z & co", "3")], key=str)
+def test_csv_folder_with_another_column_order_is_refused(spark, scratch):
+    _write(scratch + "/mixed", "a.csv", "k,v\na,1\n")
+    _write(scratch + "/mixed", "b.csv", "v,k\n2,b\n")
+    with pytest.raises(Exception, match="header"):
+        read_raw(spark, scratch + "/mixed", "csv").collect()
 
 
-def test_table_versions_history_delete(spark, scratch):
+def test_table_appends_and_deletes(spark, scratch):
     st = TableStore(spark, scratch + "/tables")
     df = spark.range(10).withColumn("src", F.when(F.col("id") < 5, "a").otherwise("demo"))
-    assert st.publish(df, "t") == 0
-    assert st.append(spark.range(10, 12).withColumn("new_col", F.lit("x")), "t") == 1
+    st.publish(df, "t")
+    st.append(spark.range(10, 12).withColumn("new_col", F.lit("x")), "t")
     assert set(st.read("t").columns) == {"id", "src", "new_col"}
+    other = TableStore(spark, scratch + "/tables")
+    assert other.read("t").count() == 12
     st.delete_where("t", F.col("src") == "demo")       # null src rows are kept
-    assert st.read("t").count() == 7
-    assert st.read("t", version=0).count() == 10         # older versions stay readable
-    h = [(r.version, r.operation) for r in st.history("t").collect()]
-    assert h == [(2, "DELETE"), (1, "APPEND"), (0, "CREATE")]
+    assert st.read("t").count() == 7 and other.read("t").count() == 7
     assert load_mode(None, "f.csv") == "first_load"
     assert load_mode(st.read("t").withColumn("source_file", F.lit("f.csv")), "f.csv") == "update"
 
 
+def test_old_folders_go(spark, scratch):
+    st = TableStore(spark, scratch + "/gone")
+    for n in (3, 4, 5, 6):
+        st.publish(spark.range(n), "t")
+    d = st.root.removeprefix("file:") + "/t"
+    assert len([x for x in os.listdir(d) if x.startswith("seg=")]) == 2      # the table and the one before
+    assert st.read("t").count() == 6
+
+
+@pytest.mark.parametrize("change", ["delete", "compact", "cluster", "append"])
+def test_partitioning_is_kept(spark, scratch, change):
+    from strata.operators.layout import cluster_by
+    st = TableStore(spark, scratch + "/parts")
+    df = spark.range(90).select("id", (F.col("id") % 3).cast("int").alias("year"))
+    st.publish(df.repartition(4), "t", partition_by=["year"])
+    before = st._entry("t")["folders"]
+    want = 90
+    if change == "delete":
+        st.delete_where("t", F.col("id").isin(1, 4, 7))
+        want = 87
+        assert len(set(before) & set(st._entry("t")["folders"])) == 2        # partitions without hits stay
+    elif change == "append":
+        st.append(df.filter("year = 1"), "t")
+        want = 120
+    elif change == "compact":
+        st.append(df.filter("year = 1"), "t")
+        st.compact("t")
+        want = 120
+        assert len(st._entry("t")["folders"]) == 3
+    else:
+        st.rewrite("t", lambda x, files: cluster_by(x, ["id"], files))
+    out = st.read("t")
+    assert out.count() == want and st.partition_by("t") == ["year"]
+    plan = out.filter("year = 2")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_clusters_split_equal_prefixes_and_equal_keys(spark, scratch):
+    from strata.operators.layout import cluster_by
+    df = spark.range(20_000).select(F.format_string("Customer#%09d", "id").alias("name"), F.lit("x").alias("same"),
+                                    F.when(F.col("id") == 0, 1e12).otherwise(F.col("id").cast("double")).alias("x"))
+    for cols in (["name"], ["same"], ["x"], ["name", "x"]):
+        sizes = [r["count"] for r in cluster_by(df, cols, 8).groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= 6 and max(sizes) < 8_000
+
+
+def test_quarantine_replaces_a_repeated_batch(spark, scratch):
+    from strata.sources.quarantine import quarantine, read_quarantine
+    assert read_quarantine(spark, scratch).count() == 0
+    rows = envelope(spark.range(3), "bronze", "odd", "f.csv", "b/1")
+    for _ in range(2):
+        quarantine(rows, scratch, "b/1", "parse")
+    quarantine(envelope(spark.range(3), "bronze", "odd", "f.csv", "b2"), scratch, "b2", "parse")
+    assert sorted(r["batch_id"] for r in read_quarantine(spark, scratch).collect()) == ["b/1"] * 3 + ["b2"] * 3
+
+
 def test_watermark_empty_batch_keeps_mark(spark, scratch):
     path = scratch + "/wm"
-    assert read_watermark(spark, path) == dt.datetime(1900, 1, 1)
+    assert read_watermark(spark, path) is None
     ev = spark.createDataFrame([(dt.datetime(2024, 1, d),) for d in (1, 2, 3)], "ts timestamp_ntz")
-    assert save_watermark(spark, path, batch_max(ev, "ts"))
-    mark = read_watermark(spark, path)
-    assert mark == dt.datetime(2024, 1, 3)
-    empty = incremental_batch(ev, "ts", mark)
+    save_watermark(ev.limit(0), "ts", path)
+    assert incremental_batch(ev, "ts", read_watermark(spark, path)).count() == 3
+    save_watermark(ev, "ts", path)
+    assert read_watermark(spark, path).first()["mark"] == dt.datetime(2024, 1, 3)
+    empty = incremental_batch(ev, "ts", read_watermark(spark, path))
     assert empty.count() == 0
-    assert not save_watermark(spark, path, batch_max(empty, "ts"))   # nothing written
-    assert read_watermark(spark, path) == mark
+    save_watermark(empty, "ts", path)
+    assert read_watermark(spark, path).first()["mark"] == dt.datetime(2024, 1, 3)
+    assert incremental_batch(ev, "ts", read_watermark(spark, path, "other scope")).count() == 3
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_watermark_does_not_depend_on_time_zones(spark, scratch, kind, monkeypatch):
+    import time
+    rows = [("2024-03-10 01:30:00",), ("2024-03-10 02:30:00",), ("2024-03-10 03:30:00",)]
+    ev = spark.createDataFrame(rows, "t string").select(F.col("t").cast(kind).alias("ts"))
+    for i, (save_tz, read_tz) in enumerate([("America/New_York", "UTC"), ("Asia/Tokyo", "UTC"), ("UTC", "America/New_York")]):
+        path = f"{scratch}/wm{i}"
+        monkeypatch.setenv("TZ", save_tz)
+        time.tzset()
+        save_watermark(ev.orderBy("ts").limit(2), "ts", path)
+        monkeypatch.setenv("TZ", read_tz)
+        time.tzset()
+        assert incremental_batch(ev, "ts", read_watermark(spark, path)).count() == 1
+    monkeypatch.undo()
+    time.tzset()
 
 
 def test_merge_into_rewrites_only_touched_partitions(spark, scratch):
@@ -111,48 +181,32 @@ def test_merge_into_rewrites_only_touched_partitions(spark, scratch):
     st = TableStore(spark, scratch + "/merge")
     part = (F.col("k") % 4).cast("int")
     base = spark.range(40).select(F.col("id").alias("k"), F.lit("v0").alias("v"))
-    merge_into(st, "t", base, ["k"], lambda old, new: upsert(old, new, ["k"]), partition=part)
-    _, segs0 = st._latest("t")
-    assert len(segs0) == 4
+    merge_into(st, "t", base, lambda old, new: upsert(old, new, ["k"]), part)
+    before = st._entry("t")["folders"]
+    assert len(before) == 4
     batch = spark.createDataFrame([(1, "v1"), (5, "v1"), (101, "new")], "k long, v string")  # all k%4 == 1
-    merge_into(st, "t", batch, ["k"], lambda old, new: upsert(old, new, ["k"]), partition=part)
-    _, segs1 = st._latest("t")
-    assert len(set(segs0) & set(segs1)) == 3            # three partitions carried over untouched
+    merge_into(st, "t", batch, lambda old, new: upsert(old, new, ["k"]), part)
+    assert len(set(before) & set(st._entry("t")["folders"])) == 3            # three partitions carried over untouched
     got = sorted((r.k, r.v) for r in st.read("t").collect())
     want = sorted([(k, "v0") for k in range(40) if k not in (1, 5)] + [(1, "v1"), (5, "v1"), (101, "new")])
-    assert got == want and st.rows("t") == 41
-
-
-def test_workbook_with_shared_strings(spark, scratch):
-    import io
-    import zipfile
-    m = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-    sst = (f'<sst xmlns="{m}"><si><t>Name</t></si><si><t>Age</t></si>'
-           f'<si><r><t>Ann </t></r><r><t>Lee</t></r></si></sst>')
-    sheet = (f'<worksheet xmlns="{m}"><sheetData>'
-             '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c></row>'
-             '<row r="2"><c r="A2" t="s"><v>2</v></c><c r="B2"><v>42</v></c></row>'
-             '<row r="3"><c r="B3"><v>7</v></c></row>'
-             '</sheetData></worksheet>')
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w") as z:
-        z.writestr("xl/sharedStrings.xml", sst)
-        z.writestr("xl/worksheets/sheet1.xml", sheet)
-    d = _local(scratch + "/wb_shared")
-    with open(os.path.join(d, "s.xlsx"), "wb") as fh:
-        fh.write(buf.getvalue())
-    out = read_workbooks(spark, d).drop("source_file")          # header read from the file
-    assert out.columns == ["Name", "Age"]
-    assert sorted(map(tuple, out.collect()), key=str) == sorted([("Ann Lee", "42"), (None, "7")], key=str)
-
-
-def test_second_writer_of_a_version_is_refused(spark, scratch):
-    import pytest
-    root = scratch + "/conc"
-    a, b = TableStore(spark, root), TableStore(spark, root)
-    a.publish(spark.range(3), "t")
-    b.read("t")                                   # b now believes version 0 is latest
-    a.append(spark.range(2), "t")                 # a records version 1
-    with pytest.raises(RuntimeError, match="another writer"):
-        b.append(spark.range(5), "t")             # b would also record version 1
-    assert TableStore(spark, root).read("t").count() == 5
+    assert got == want and st.read("t").columns == ["k", "v"]
+
+
+def test_checkpoint_folder_is_only_made_for_a_local_master():
+    from strata.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(*_):
+                return None
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
