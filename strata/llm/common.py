@@ -28,6 +28,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give freed memory of this Python worker back to the system, so that
+    workers kept for the next task don't hold the peak of the last one."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 # -- vectorised words ---------------------------------------------------------
 _SEP = np.zeros(256, bool)
 _SEP[[9, 10, 11, 12, 13, 32]] = True
@@ -76,7 +86,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def text_groups(off: np.ndarray, size: int = 1 << 22):
+def text_groups(off: np.ndarray, size: int = 1 << 20):
     """Cut documents into runs (first, last) of about ``size`` bytes; a longer
     document is a run of its own.  Keeps the work arrays small."""
     n, a = len(off) - 1, 0
@@ -116,5 +126,5 @@ def fold(data: np.ndarray) -> np.ndarray:
     return _FOLD[data]
 
 
-__all__ = ["DataFrame", "LOWER", "SparkSession", "UPPER", "WORD", "cut_lineage", "fold", "mix64",
+__all__ = ["DataFrame", "LOWER", "SparkSession", "UPPER", "WORD", "cut_lineage", "fold", "mix64", "release",
            "shared_dir", "span_hash", "staged", "table", "text_bytes", "text_groups", "word_spans"]

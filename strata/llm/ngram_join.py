@@ -5,8 +5,8 @@ with Jaccard at least T share, under any global order of tokens, at least L
 tokens of their prefixes of ``n - ceil(T n) + L`` tokens.  Under the first
 order every class shuffles only its prefix; classes that share too few tokens
 with any other are done.  The rest go through the same filter under a second
-order, inside the groups that the first one left connected; the groups that are
-connected under both orders are solved exactly: a breadth-first search in which
+order, the rarest tokens among them first; the groups that are connected under
+both orders are solved exactly: a breadth-first search in which
 a pair is verified on full sets only if it shares prefix tokens under three
 orders, and in which a document already reached is not compared again, so a
 group of near copies costs little more than its size.  A group that is too
@@ -14,7 +14,7 @@ large for one task is solved in chunks; its chunks' main clusters are linked
 first, then every document outside the main cluster meets every chunk, so no
 link is lost.
 
-Tokens that many documents of a batch share come last in every order (any order
+Tokens that many documents of a run share come last in every order (any order
 gives whole results; this one keeps common passages out of the prefixes), and
 their postings are salted.  Shingles are 64-bit hashes.
 
@@ -28,20 +28,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, mix64, span_hash, staged, table,
+from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, mix64, release, span_hash, staged, table,
                                text_bytes, text_groups, word_spans)
 from strata.llm.bitmap import bitmap, holds
 from strata.llm.components import components
 
 WIDTH = 5
 PERCENT = 75
-EXTRA = 5               # per cent of a set added to its prefix; as many tokens must then be shared
+EXTRA = 15              # per cent of a set added to its prefix; as many tokens must then be shared
 COMMON_TOKENS = 1 << 16  # tokens listed as common (their order and salt only)
 SALTS = 64
 BITMAP_BITS = 1 << 24   # fixed size of the filter that finds candidates' texts again
-GROUP_TOKENS = 4_000_000  # tokens solved in one task; larger groups are cut into chunks
+GROUP_TOKENS = 2_000_000  # tokens solved in one task; larger groups are cut into chunks
 _SEEDS = [np.uint64(s) for s in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)]
 
 
@@ -89,10 +90,7 @@ def must_share(n: int) -> int:
 
 def prefix(tokens: np.ndarray, order: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(tokens of the prefix under a global order, whether each is common)."""
-    late = np.zeros(len(tokens), bool)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-        late = common[at] == tokens
+    late = _late(tokens, common)
     key = mix64(tokens ^ _SEEDS[order]) >> np.uint64(1) | late.astype(np.uint64) << np.uint64(63)
     p = min(prefix_size(len(tokens)), len(tokens))
     pick = np.argpartition(key, p - 1)[:p] if p < len(tokens) else np.arange(len(tokens))
@@ -109,20 +107,29 @@ def _sets_of(batch: pa.RecordBatch, text: str = "text") -> list[np.ndarray]:
 
 # -- passes over the texts ------------------------------------------------------
 def _first_pass(batches):
-    """Rows of documents (class, size), and rows of tokens that a batch has often."""
+    """Rows of documents (class, size), and rows of tokens that a run of
+    documents has often."""
     for b in batches:
-        sets = _sets_of(b)
-        n = len(sets)
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("th"), pa.array([class_id(s) for s in sets], pa.int64()),
-             pa.array([len(s) for s in sets], pa.int64()), pa.nulls(n, pa.int64())], ["doc_id", "th", "cls", "n", "token"])
-        token, count = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
-        often = count >= max(6, n // 1000)
-        token, count = token[often].view(np.int64), count[often]
-        k = len(token)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(k, b.schema.field("doc_id").type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
-             pa.array(count.astype(np.int64)), pa.array(token)], ["doc_id", "th", "cls", "n", "token"])
+        data, off = text_bytes(b.column("text"))
+        for x, y in text_groups(off):
+            sets = shingle_sets(data[off[x]:off[y]], off[x:y + 1] - off[x])
+            part, n = b.slice(x, y - x), y - x
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("th"), pa.array([class_id(s) for s in sets], pa.int64()),
+                 pa.array([len(s) for s in sets], pa.int64()), pa.nulls(n, pa.int64())], _FIRST)
+            token, count = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
+            often = count >= max(4, n // 100)
+            token, count = token[often].view(np.int64), count[often]
+            k = len(token)
+            if k:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(k, b.schema.field("doc_id").type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
+                     pa.array(count.astype(np.int64)), pa.array(token)], _FIRST)
+        del b, data, off, part, sets
+        release()
+
+
+_FIRST = ["doc_id", "th", "cls", "n", "token"]
 
 
 def _posting_batch(tokens, late, cls) -> pa.RecordBatch:
@@ -131,6 +138,13 @@ def _posting_batch(tokens, late, cls) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(t), pa.array(salt.astype(np.int32)), pa.array(c)], ["token", "salt", "cls"])
 
 
+def _late(tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which tokens are common."""
+    if not len(common):
+        return np.zeros(len(tokens), bool)
+    return common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] == tokens
+
+
 def _postings(common: np.ndarray):
     """Prefix postings under the first order, of a class once per task."""
     def run(batches):
@@ -149,6 +163,8 @@ def _postings(common: np.ndarray):
                         cls.append(np.full(len(p), c, np.int64))
                 if tokens:
                     yield _posting_batch(tokens, late, cls)
+            del b, data, off
+            release()
     return run
 
 
@@ -204,6 +220,22 @@ def star_edges(postings: DataFrame) -> DataFrame:
     return star.select("cls", "pivot", "shared").union(late).groupBy("cls", "pivot").agg(F.sum("shared").alias("shared"))
 
 
+def rare_first(postings: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The postings of each class's prefix when tokens are ordered by the number
+    of classes that have them (salted ones last).  ``postings`` has all tokens.
+    Tokens of one class alone come first and need no posting: they only use up
+    their part of the prefix."""
+    block, own = Window.partitionBy("token", "salt"), Window.partitionBy("cls")
+    df = F.when(F.col("salt") > 0, F.lit(1 << 40)).otherwise(F.count(F.lit(1)).over(block))
+    row = postings.withColumn("df", df).filter("df > 1").join(sizes, "cls")
+    row = row.withColumn("s", F.count(F.lit(1)).over(own))
+    row = row.withColumn("rn", F.row_number().over(own.orderBy("df", F.xxhash64("token"), "token")))
+    n = F.col("n")
+    must = F.greatest(F.lit(1), F.ceil(n * EXTRA / F.lit(100.0)))
+    size = n - F.ceil(n * PERCENT / F.lit(100.0)) + must
+    return row.filter(F.col("rn") <= size - (n - F.col("s"))).select("token", "salt", "cls")
+
+
 def _enough(edges: DataFrame, sizes: DataFrame) -> DataFrame:
     """Classes that share as many prefix tokens as a link needs: cls.
 
@@ -229,6 +261,8 @@ def _candidate_sets(found: np.ndarray):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(new), pa.int64()),
                      pa.ListArray.from_arrays(pa.array(off), pa.array(flat))], ["cls", "tokens"])
+            del b
+            release()
     return run
 
 
@@ -238,15 +272,16 @@ class _Group:
 
     def __init__(self, sets: list[np.ndarray]):
         self.n = np.array([len(s) for s in sets], np.int64)
-        flat = np.concatenate(sets)
         self.off = np.concatenate([[0], np.cumsum(self.n)])
-        name, self.tok = np.unique(flat, return_inverse=True)
+        name, tok = np.unique(np.concatenate(sets), return_inverse=True)
+        self.tok = tok.astype(np.int32)
         self.flag = np.zeros(len(name), bool)
         df = np.bincount(self.tok, minlength=len(name)).astype(np.uint64)
-        hashes = [mix64(name ^ s) >> np.uint64(24) for s in _SEEDS]
-        hashes[2] |= np.minimum(df, np.uint64((1 << 23) - 1)) << np.uint64(40)    # the third order: rare tokens first
         self.pre, self.left = [], np.arange(len(sets))
-        for h in hashes:
+        for order, seed in enumerate(_SEEDS):
+            h = mix64(name ^ seed) >> np.uint64(24)
+            if order == 2:                          # the third order: rare tokens first
+                h |= np.minimum(df, np.uint64((1 << 23) - 1)) << np.uint64(40)
             parts = []
             for k in range(len(sets)):
                 t = self.tok[self.off[k]:self.off[k + 1]]
@@ -259,8 +294,8 @@ class _Group:
         """Postings of the documents that aren't reached yet."""
         self.post, self.built = [], len(self.left)
         for parts in self.pre:
-            tok = np.concatenate([parts[k] for k in self.left]) if len(self.left) else np.zeros(0, np.int64)
-            doc = np.repeat(self.left, [len(parts[k]) for k in self.left])
+            tok = np.concatenate([np.zeros(0, np.int32), *[parts[k] for k in self.left]])
+            doc = np.repeat(self.left.astype(np.int32), [len(parts[k]) for k in self.left])
             order = np.argsort(tok, kind="stable")
             self.post.append((doc[order], np.concatenate([[0], np.cumsum(np.bincount(tok, minlength=len(self.flag)))])))
 
@@ -329,40 +364,43 @@ def probe(sets: list[np.ndarray], root: np.ndarray, is_probe: np.ndarray) -> lis
 
 
 def _grouped(batches, keys: list[str]):
-    """Whole groups of sorted batches, as tables."""
+    """Whole groups of sorted batches: (columns but ``tokens`` as arrays, sets)."""
     parts: list[pa.RecordBatch] = []
+
+    def group():
+        cols = {c: np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts])
+                for c in parts[0].schema.names if c != "tokens"}
+        return cols, [s for p in parts for s in _sets_in(p.column("tokens"))]
+
     for b, _, new in _runs(batches, keys):
         at = [*np.flatnonzero(new).tolist(), b.num_rows]
         if at[0] > 0:
             parts.append(b.slice(0, at[0]))
         for x, y in zip(at, at[1:]):
             if parts:
-                yield pa.Table.from_batches(parts).combine_chunks()
+                yield group()
             parts = [b.slice(x, y - x)]
     if parts:
-        yield pa.Table.from_batches(parts).combine_chunks()
+        yield group()
+    parts.clear()
+    release()
 
 
-def _sets_in(t: pa.Table) -> list[np.ndarray]:
-    out = []
-    for chunk in t.column("tokens").chunks:
-        off = chunk.offsets.to_numpy()
-        flat = chunk.values.to_numpy().view(np.uint64)
-        out += [flat[a:b] for a, b in zip(off, off[1:])]
-    return out
+def _sets_in(column: pa.ListArray) -> list[np.ndarray]:
+    off, flat = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
+    return [flat[a:b] for a, b in zip(off, off[1:])]
 
 
 def _solve_groups(batches):
-    for t in _grouped(batches, ["grp", "chunk"]):
-        cls = t.column("cls").to_numpy()
-        root = cls[solve(_sets_in(t))]
-        yield pa.RecordBatch.from_arrays([pa.array(t.column("grp").to_numpy()), pa.array(t.column("chunk").to_numpy()), pa.array(cls),
-                                          pa.array(root)], ["grp", "chunk", "cls", "root"])
+    for cols, sets in _grouped(batches, ["grp", "chunk"]):
+        root = cols["cls"][solve(sets)]
+        yield pa.RecordBatch.from_arrays([*[pa.array(cols[c]) for c in ("grp", "chunk", "cls")], pa.array(root)],
+                                         ["grp", "chunk", "cls", "root"])
 
 
 def _probe_groups(batches):
-    for t in _grouped(batches, ["grp", "chunk", "part"]):
-        got = probe(_sets_in(t), t.column("root").to_numpy(), t.column("probe").to_numpy(zero_copy_only=False))
+    for cols, sets in _grouped(batches, ["grp", "chunk", "part"]):
+        got = probe(sets, cols["root"], cols["probe"].astype(bool))
         if got:
             a, b = zip(*got)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -421,8 +459,9 @@ def _probe_edges(big: DataFrame, root: DataFrame, probes: DataFrame, group_token
 
 # -- the join -------------------------------------------------------------------
 def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> DataFrame:
-    """doc_id, n_shingles, cls (equal for equal sets), component_id of every
-    row of ``docs`` (doc_id, text)."""
+    """doc_id, th (hash of the text), n_shingles, cls (equal for equal sets),
+    root (equal inside a component) and component_id of every row of ``docs``
+    (doc_id, text)."""
     docs = docs.select("doc_id", "text").withColumn("th", F.xxhash64("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     first = staged(docs.mapInArrow(_first_pass, f"doc_id {kind}, th bigint, cls bigint, n bigint, token bigint"), "shingles")
@@ -441,21 +480,22 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
     key = F.xxhash64("doc_id", "th")
     reps = alive.join(classes, "cls").select(F.xxhash64(F.col("rep.doc_id"), F.col("rep.th")).alias("k"))
     sets = docs.select(key.alias("k"), "text").mapInArrow(_candidate_sets(bitmap(reps, BITMAP_BITS)), "cls bigint, tokens array<bigint>")
-    sets = staged(sets, "candidates")
+    sets = staged(sets.dropDuplicates(["cls"]), "candidates")
     edges = edges.join(alive, "cls", "left_semi").filter("cls <> pivot")
     one = components(edges, "cls", "pivot").toDF("cls", "one")
 
-    # second order: the candidates of the first
-    def second(batches):
+    # second order: rare tokens first, by their counts among the candidates
+    def every(batches):
         for b in batches:
             cls = b.column("cls").to_numpy()
-            out = [prefix(s, 1, common) for s in _sets_in(pa.Table.from_batches([b]))]
-            if out:
-                yield _posting_batch([p for p, _ in out], [h for _, h in out],
-                                     [np.full(len(p), c, np.int64) for (p, _), c in zip(out, cls)])
-
-    posts = sets.mapInArrow(second, "token bigint, salt int, cls bigint")
-    edges = cut_lineage(star_edges(posts.withColumn("grp", F.lit(0).cast("bigint"))))
+            out = _sets_in(b.column("tokens"))
+            for x in range(0, len(out), 256):
+                part = out[x:x + 256]
+                yield _posting_batch(part, [_late(t, common) for t in part], [np.full(len(t), c, np.int64) for t, c in zip(part, cls[x:x + 256])])
+            release()
+
+    posts = sets.mapInArrow(every, "token bigint, salt int, cls bigint")
+    edges = cut_lineage(star_edges(rare_first(posts, sizes).withColumn("grp", F.lit(0).cast("bigint"))))
     alive = _enough(edges, sizes)
     edges = edges.join(alive, "cls", "left_semi").filter("cls <> pivot")
     two = components(edges, "cls", "pivot").toDF("cls", "two")
@@ -465,11 +505,40 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
 
     top = (classes.select("cls", "first").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")))
     low = top.groupBy("root").agg(F.min("first").alias("component_id"))
-    top = cut_lineage(top.join(low, "root").select("cls", "component_id"))
+    top = cut_lineage(top.join(low, "root").select("cls", "root", "component_id"))
     out = meta.join(top, "cls", "left")     # a hot class is split by the skew join: its other side has one row
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "cls",
+    return out.select("doc_id", "th", F.col("n").alias("n_shingles"), "cls", "root",
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def one_per_component(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id
+    (null ids last), then text hash.  Rows without shingles all stay.
+
+    Only rows that may go are shuffled with their texts: a bitmap of fixed size
+    keeps all others out of the exact join."""
+    found = cut_lineage(similar_components(docs).filter("n_shingles > 0")
+                        .select("root", "doc_id", "th", F.xxhash64("doc_id", "th").alias("k")))
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "th")
+    first = found.groupBy("root").agg(F.min(rank).alias("first"))
+    keys = found.groupBy("root", "k", "th").agg(F.count(F.lit(1)).alias("m"), F.min(rank).alias("rank"))
+    keys = cut_lineage(keys.join(first, "root").withColumn("goes", F.col("rank") > F.col("first"))
+                       .filter("goes or m > 1").select("k", "th", "goes"))
+    maybe = bitmap(keys, BITMAP_BITS)
+
+    def flag(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(holds(maybe, b.column("k").to_numpy()))], [*b.schema.names, "maybe"])
+
+    row = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("th", F.xxhash64("doc.text"))
+    row = row.withColumn("k", F.xxhash64("doc.doc_id", "th"))
+    row = row.mapInArrow(flag, row.withColumn("maybe", F.lit(True)).schema)
+    row = staged(row, "near-duplicates")
+    asked = row.filter("maybe").join(keys, ["k", "th"], "left").filter("goes is null or not goes")
+    again = asked.filter("goes is not null").dropDuplicates(["k", "th"])      # repeated rows of the one that stays
+    rest = row.filter("not maybe").select("doc").union(asked.filter("goes is null").select("doc")).union(again.select("doc"))
+    return rest.select("doc.*")
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_components(table(spark, sf_dir, "documents")).drop("cls")
+    return similar_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
