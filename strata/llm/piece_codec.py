@@ -20,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from strata.llm.common import DataFrame, SparkSession, table
@@ -313,9 +314,9 @@ def decode_documents(docs: DataFrame, model_path: str, ids: str = "piece_ids", t
         c = codec(model)
         for whole in batches:
             for b in _pieces(whole):
-                lists = b.column(ids).to_pylist()
-                off = np.concatenate([[0], np.cumsum([len(x or ()) for x in lists])]).astype(np.int64)
-                flat = np.array([i for x in lists for i in x or ()], np.int64)
+                lists = b.column(ids)
+                off = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy())]).astype(np.int64)
+                flat = lists.flatten().to_numpy().astype(np.int64)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(c.decode(flat, off), pa.string())], [*b.schema.names, text])
 
     docs = docs.drop(text)
