@@ -23,10 +23,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from strata.llm.common import DataFrame, SparkSession, table
+from strata.llm.common import DataFrame, SparkSession, release, table
 
 SPACE = "▁"
-KEEP_WORDS = 400_000       # distinct words a worker remembers before it starts anew
+KEEP_WORDS = 200_000       # distinct words a worker remembers before it starts anew
 BATCH_WORDS = 50_000       # new words encoded in one flat array
 _NONE = np.int64(1) << 40
 
@@ -323,6 +323,26 @@ def decode_documents(docs: DataFrame, model_path: str, ids: str = "piece_ids", t
     return docs.mapInArrow(run, docs.withColumn(text, F.lit(None).cast("string")).schema)
 
 
+def round_trip(docs: DataFrame, model_path: str, text: str = "text", ids: str = "piece_ids") -> DataFrame:
+    """``docs`` with an array column of piece ids, and its text replaced by the
+    one decoded from them: one pass, one codec per task."""
+    model = read_model(model_path)
+
+    def run(batches):
+        c = codec(model)
+        for whole in batches:
+            for b in _pieces(whole):
+                flat, off = c.encode(b.column(text).to_pylist())
+                cols = dict(zip(b.schema.names, b.columns))
+                cols[text] = pa.array(c.decode(flat, off), pa.string())
+                cols[ids] = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+        release()
+
+    docs = docs.drop(ids)
+    return docs.mapInArrow(run, docs.withColumn(ids, F.lit(None).cast("array<int>")).schema)
+
+
 def digests(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the text decoded from them."""
     model = read_model(model_path)

@@ -49,5 +49,7 @@ def test_documents(spark, odd_docs, no_docs, both):
     for r in rows:
         assert list(r["piece_ids"]) == sp.encode(r["text"] or "")
         assert r["decoded"] == sp.decode(list(r["piece_ids"]))
+    both_ways = sorted((str(r["doc_id"]), r["text"], tuple(r["piece_ids"])) for r in P.round_trip(odd_docs, path).collect())
+    assert both_ways == sorted((str(r["doc_id"]), r["decoded"], tuple(r["piece_ids"])) for r in rows)
     assert P.digests(odd_docs, path).count() == odd_docs.count()
     assert P.encode_documents(no_docs, path).count() == 0
