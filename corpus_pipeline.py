@@ -37,10 +37,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document and the text that they decode to."""
-    path = piece_codec.tokenizer_path()
-    ids = piece_codec.encode_documents(docs.drop("n_chars"), path)
-    out = piece_codec.decode_documents(ids.drop("text"), path)
-    return out.withColumn("n_tokens", F.size("piece_ids").cast("bigint")).withColumnRenamed("decoded", "text")
+    out = piece_codec.round_trip(docs.drop("n_chars"), piece_codec.tokenizer_path())
+    return out.withColumn("n_tokens", F.size("piece_ids").cast("bigint"))
 
 
 STAGES = [
