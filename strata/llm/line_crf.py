@@ -67,7 +67,7 @@ def lines(data: np.ndarray, off: np.ndarray):
     per_line = lambda v: np.bincount(line_of, v, len(cut))
     kinds = np.unique(line_of.astype(np.uint64) << np.uint64(40) | word >> np.uint64(24))
     distinct = np.bincount((kinds >> np.uint64(40)).astype(np.int64), minlength=len(cut))
-    key = span_hash(data, cut, stop)
+    key = span_hash(data, cut, stop - (data[stop - 1] == 10))
     order = np.lexsort((key, line_doc))
     again = np.zeros(len(cut))
     again[order[1:]] = (key[order[1:]] == key[order[:-1]]) & (line_doc[order[1:]] == line_doc[order[:-1]])

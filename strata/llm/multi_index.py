@@ -48,6 +48,8 @@ def usable(v: Column, dim: int) -> Column:
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 20) -> np.ndarray:
     """Centroids of ``x`` (rows); started on rows spread over it."""
+    if not len(x):
+        return np.zeros((1, x.shape[1]))
     k = min(k, len(x))
     c = x[np.linspace(0, len(x) - 1, k).astype(int)].copy()
     for _ in range(rounds):
