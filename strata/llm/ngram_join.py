@@ -206,8 +206,9 @@ def _stars(batches):
 
 
 def star_edges(postings: DataFrame) -> DataFrame:
-    """(cls, pivot, shared): classes tied to a pivot of each block they share,
-    with the number of shared tokens.  ``postings`` has grp, token, salt, cls."""
+    """(cls, pivot, shared, bridge): classes tied to a pivot of each block they
+    share, with the number of shared tokens; a bridge ties the pivots of a salted
+    token's runs.  ``postings`` has grp, token, salt, cls."""
     flat = (postings.repartition("grp", "token", "salt").sortWithinPartitions("grp", "token", "salt", "cls")
             .select("grp", "token", "salt", "cls"))
     star = flat.mapInArrow(_stars, "cls bigint, pivot bigint, grp bigint, token bigint, salt int")
@@ -216,8 +217,16 @@ def star_edges(postings: DataFrame) -> DataFrame:
     # the pivots of a salted token's runs meet at the smallest of them
     late = star.filter("late is not null").select("late", "pivot").distinct()
     tops = late.groupBy("late").agg(F.min("pivot").alias("top"))
-    late = late.join(tops, "late").select(F.col("pivot").alias("cls"), F.col("top").alias("pivot"), F.lit(0).cast("bigint").alias("shared"))
-    return star.select("cls", "pivot", "shared").union(late).groupBy("cls", "pivot").agg(F.sum("shared").alias("shared"))
+    late = late.join(tops, "late").select(F.col("pivot").alias("cls"), F.col("top").alias("pivot"), F.lit(0).cast("bigint").alias("shared"), F.lit(True).alias("bridge"))
+    return (star.select("cls", "pivot", "shared", F.lit(False).alias("bridge")).union(late).groupBy("cls", "pivot")
+            .agg(F.sum("shared").alias("shared"), F.max("bridge").alias("bridge")))
+
+
+def _ties(edges: DataFrame, alive: DataFrame) -> DataFrame:
+    """Edges of the classes that share enough.  Bridges stay whatever their pivot
+    shares: the classes of its run meet those of other runs only through them."""
+    edges = edges.filter("cls <> pivot")
+    return edges.filter("bridge").union(edges.filter("not bridge").join(alive, "cls", "left_semi").select(*edges.columns))
 
 
 def rare_first(postings: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -481,7 +490,7 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
     reps = alive.join(classes, "cls").select(F.xxhash64(F.col("rep.doc_id"), F.col("rep.th")).alias("k"))
     sets = docs.select(key.alias("k"), "text").mapInArrow(_candidate_sets(bitmap(reps, BITMAP_BITS)), "cls bigint, tokens array<bigint>")
     sets = staged(sets.dropDuplicates(["cls"]), "candidates")
-    edges = edges.join(alive, "cls", "left_semi").filter("cls <> pivot")
+    edges = _ties(edges, alive)
     one = components(edges, "cls", "pivot").toDF("cls", "one")
 
     # second order: rare tokens first, by their counts among the candidates
@@ -497,7 +506,7 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
     posts = sets.mapInArrow(every, "token bigint, salt int, cls bigint")
     edges = cut_lineage(star_edges(rare_first(posts, sizes).withColumn("grp", F.lit(0).cast("bigint"))))
     alive = _enough(edges, sizes)
-    edges = edges.join(alive, "cls", "left_semi").filter("cls <> pivot")
+    edges = _ties(edges, alive)
     two = components(edges, "cls", "pivot").toDF("cls", "two")
     # a linked pair is connected under both orders
     groups = one.join(two, "cls").join(sizes, "cls").select("cls", F.xxhash64("one", "two").alias("grp"), "n")

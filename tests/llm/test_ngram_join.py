@@ -116,3 +116,46 @@ def test_components(spark):
     got = {x["v"]: x["root"] for x in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {v: m for v, m in label.items() if v in got}
     assert {v for v in label if v not in got} == {a for a, b in edges if a == b and sum(a in e for e in edges) == 1}
+
+
+def _bridged_rows():
+    """Two linked documents of common tokens only, in different salts, and a
+    longer one round the same words that is first in the second one's run but
+    shares too little to be a candidate itself."""
+    sets = lambda words: J.shingle_sets(*_flat(" ".join(words)))[0]
+    salt = lambda c: int(J.mix64(np.array([c], np.int64).view(np.uint64))[0] % np.uint64(J.SALTS))
+    for seed in range(40):
+        long = [f"p{seed}x{i}" for i in range(22)]              # 18 shingles
+        for a, b in ((long[:9], long[:8]), (long[:9], long[1:9]), (long[:8], long[:9]), (long[1:9], long[:9])):
+            sa, sb, sl = sets(a), sets(b), sets(long)
+            common = np.sort(sl)
+            pa_, pb = J.prefix(sa, 0, common)[0], J.prefix(sb, 0, common)[0]
+            both, ca, cb = np.intersect1d(pa_, pb), J.class_id(sa), J.class_id(sb)
+            if not len(both) or not ca < cb or salt(ca) == salt(cb):
+                continue
+            for extra in (8, 9, 10):
+                for k in range(400):
+                    p = long + [f"r{seed}y{k}z{i}" for i in range(extra)]
+                    sp = sets(p)
+                    cp = J.class_id(sp)
+                    if not ca < cp < cb or salt(cp) != salt(cb):
+                        continue
+                    got, late = J.prefix(sp, 0, common)
+                    need = -(-J.EXTRA * J.PERCENT * len(sp) // 10_000)
+                    if np.isin(both, got).all() and late.sum() < need:
+                        fill = [long + [f"f{seed}g{j}h{i}" for i in range(60)] for j in range(4)]
+                        return [(i, " ".join(w)) for i, w in enumerate([a, b, p, *fill])]
+    raise AssertionError("no such rows")
+
+
+def _flat(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return data, np.array([0, len(data)])
+
+
+def test_salted_runs_meet_through_a_pivot_that_is_no_candidate(spark):
+    rows = _bridged_rows()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    want = brute(rows)
+    assert want[1, len(shingles(rows[1][1])), 0] == 1           # the second is linked with the first
+    assert answer(df) == want
