@@ -28,6 +28,33 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that no frame reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+BATCH_BYTES = 4 << 20       # of the Arrow batches that tasks get, if the session names no other bound
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with this package on the executors, batches
+    bounded by bytes, and the worker's free memory given back after each task."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(_BATCH_CONF, None) is None:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(task, schema)
+
+
 def release() -> None:
     """Give freed memory of this Python worker back to the system, so that
     workers kept for the next task don't hold the peak of the last one."""
@@ -126,5 +153,5 @@ def fold(data: np.ndarray) -> np.ndarray:
     return _FOLD[data]
 
 
-__all__ = ["DataFrame", "LOWER", "SparkSession", "UPPER", "WORD", "cut_lineage", "fold", "mix64", "release",
+__all__ = ["DataFrame", "LOWER", "SparkSession", "UPPER", "WORD", "cut_lineage", "discard", "fold", "map_arrow", "mix64", "release",
            "shared_dir", "span_hash", "staged", "table", "text_bytes", "text_groups", "word_spans"]

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strata.llm.common import DataFrame, SparkSession, fold, span_hash, table, text_bytes, text_groups, word_spans
+from strata.llm.common import (DataFrame, SparkSession, fold, map_arrow, span_hash, table, text_bytes, text_groups,
+                               word_spans)
 
 FIT_DOCS = 4000         # labelled documents that the fit may use
 TURNS = 3
@@ -217,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> dict:
     some = (train.select("doc_id", F.col("quality").cast("int").alias("quality"), F.xxhash64("doc_id", "quality").alias("k"))
             .orderBy("k", "doc_id").limit(fit_docs))
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")      # fit_docs rows
-    got = rows.select("k", "quality", "text").mapInArrow(_line_rows, "k bigint, quality int, own array<float>, chars array<float>")
+    got = map_arrow(rows.select("k", "quality", "text"), _line_rows, "k bigint, quality int, own array<float>, chars array<float>")
     got = got.orderBy("k", F.xxhash64("own")).limit(2 * fit_docs).toArrow()
     if not got.num_rows:
         return {"share": 0.5}
@@ -242,7 +243,7 @@ def score(docs: DataFrame, fitted: dict) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*b.slice(x, y - x).columns, pa.array(p)], [*b.schema.names, "score"])
 
     docs = docs.drop("score")
-    return docs.mapInArrow(run, docs.withColumn("score", F.lit(None).cast("double")).schema)
+    return map_arrow(docs, run, docs.withColumn("score", F.lit(None).cast("double")).schema)
 
 
 def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:

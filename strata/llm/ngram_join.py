@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, mix64, release, span_hash, staged, table,
+from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, map_arrow, mix64, span_hash, staged, table,
                                text_bytes, text_groups, word_spans)
 from strata.llm.bitmap import bitmap, holds
 from strata.llm.components import components
@@ -126,7 +126,6 @@ def _first_pass(batches):
                     [pa.nulls(k, b.schema.field("doc_id").type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
                      pa.array(count.astype(np.int64)), pa.array(token)], _FIRST)
         del b, data, off, part, sets
-        release()
 
 
 _FIRST = ["doc_id", "th", "cls", "n", "token"]
@@ -164,7 +163,6 @@ def _postings(common: np.ndarray):
                 if tokens:
                     yield _posting_batch(tokens, late, cls)
             del b, data, off
-            release()
     return run
 
 
@@ -211,7 +209,7 @@ def star_edges(postings: DataFrame) -> DataFrame:
     token's runs.  ``postings`` has grp, token, salt, cls."""
     flat = (postings.repartition("grp", "token", "salt").sortWithinPartitions("grp", "token", "salt", "cls")
             .select("grp", "token", "salt", "cls"))
-    star = flat.mapInArrow(_stars, "cls bigint, pivot bigint, grp bigint, token bigint, salt int")
+    star = map_arrow(flat, _stars, "cls bigint, pivot bigint, grp bigint, token bigint, salt int")
     star = cut_lineage(star.groupBy("cls", "pivot", F.when(F.col("salt") > 0, F.struct("grp", "token")).alias("late"))
                        .agg(F.count(F.lit(1)).alias("shared")))
     # the pivots of a salted token's runs meet at the smallest of them
@@ -271,7 +269,6 @@ def _candidate_sets(found: np.ndarray):
                     [pa.array(list(new), pa.int64()),
                      pa.ListArray.from_arrays(pa.array(off), pa.array(flat))], ["cls", "tokens"])
             del b
-            release()
     return run
 
 
@@ -392,7 +389,6 @@ def _grouped(batches, keys: list[str]):
     if parts:
         yield group()
     parts.clear()
-    release()
 
 
 def _sets_in(column: pa.ListArray) -> list[np.ndarray]:
@@ -430,7 +426,7 @@ def exact_roots(sets: DataFrame, groups: DataFrame, group_tokens: int = GROUP_TO
     row = sets.join(where, "cls").select("grp", "chunk", "chunks", "cls", "tokens")
     order = ["grp", "chunk"]
     flat = row.drop("chunks").repartition(*order).sortWithinPartitions(*order, "cls")
-    solved = flat.mapInArrow(_solve_groups, "grp bigint, chunk int, cls bigint, root bigint")
+    solved = map_arrow(flat, _solve_groups, "grp bigint, chunk int, cls bigint, root bigint")
     solved = cut_lineage(solved.groupBy("cls").agg(*[F.min(c).alias(c) for c in ("grp", "chunk", "root")]))
     if size.filter("chunks > 1").isEmpty():
         return solved.select("cls", "root")
@@ -463,7 +459,7 @@ def _probe_edges(big: DataFrame, root: DataFrame, probes: DataFrame, group_token
     cols = ["grp", "chunk", "part", "cls", "root", "tokens"]
     both = asks.select(*cols, F.lit(True).alias("probe")).union(docs.select(*cols, F.lit(False).alias("probe")))
     both = both.repartition("grp", "chunk", "part").sortWithinPartitions("grp", "chunk", "part", "cls", "probe")
-    return cut_lineage(both.mapInArrow(_probe_groups, "a bigint, b bigint").distinct())
+    return cut_lineage(map_arrow(both, _probe_groups, "a bigint, b bigint").distinct())
 
 
 # -- the join -------------------------------------------------------------------
@@ -473,7 +469,7 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
     (doc_id, text)."""
     docs = docs.select("doc_id", "text").withColumn("th", F.xxhash64("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    first = staged(docs.mapInArrow(_first_pass, f"doc_id {kind}, th bigint, cls bigint, n bigint, token bigint"), "shingles")
+    first = staged(map_arrow(docs, _first_pass, f"doc_id {kind}, th bigint, cls bigint, n bigint, token bigint"), "shingles")
     meta = first.filter("token is null").drop("token")
     often = (first.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
              .orderBy(F.col("n").desc(), "token").limit(COMMON_TOKENS).select("token").collect())
@@ -483,12 +479,12 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
     sizes = classes.select("cls", "n")
 
     # first order: all documents
-    posts = docs.select("text").mapInArrow(_postings(common), "token bigint, salt int, cls bigint")
+    posts = map_arrow(docs.select("text"), _postings(common), "token bigint, salt int, cls bigint")
     edges = cut_lineage(star_edges(posts.withColumn("grp", F.lit(0).cast("bigint"))))
     alive = cut_lineage(_enough(edges, sizes))
     key = F.xxhash64("doc_id", "th")
     reps = alive.join(classes, "cls").select(F.xxhash64(F.col("rep.doc_id"), F.col("rep.th")).alias("k"))
-    sets = docs.select(key.alias("k"), "text").mapInArrow(_candidate_sets(bitmap(reps, BITMAP_BITS)), "cls bigint, tokens array<bigint>")
+    sets = map_arrow(docs.select(key.alias("k"), "text"), _candidate_sets(bitmap(reps, BITMAP_BITS)), "cls bigint, tokens array<bigint>")
     sets = staged(sets.dropDuplicates(["cls"]), "candidates")
     edges = _ties(edges, alive)
     one = components(edges, "cls", "pivot").toDF("cls", "one")
@@ -501,9 +497,8 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
             for x in range(0, len(out), 256):
                 part = out[x:x + 256]
                 yield _posting_batch(part, [_late(t, common) for t in part], [np.full(len(t), c, np.int64) for t, c in zip(part, cls[x:x + 256])])
-            release()
 
-    posts = sets.mapInArrow(every, "token bigint, salt int, cls bigint")
+    posts = map_arrow(sets, every, "token bigint, salt int, cls bigint")
     edges = cut_lineage(star_edges(rare_first(posts, sizes).withColumn("grp", F.lit(0).cast("bigint"))))
     alive = _enough(edges, sizes)
     edges = _ties(edges, alive)
@@ -541,7 +536,7 @@ def one_per_component(docs: DataFrame) -> DataFrame:
 
     row = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("th", F.xxhash64("doc.text"))
     row = row.withColumn("k", F.xxhash64("doc.doc_id", "th"))
-    row = row.mapInArrow(flag, row.withColumn("maybe", F.lit(True)).schema)
+    row = map_arrow(row, flag, row.withColumn("maybe", F.lit(True)).schema)
     row = staged(row, "near-duplicates")
     asked = row.filter("maybe").join(keys, ["k", "th"], "left").filter("goes is null or not goes")
     again = asked.filter("goes is not null").dropDuplicates(["k", "th"])      # repeated rows of the one that stays

@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from strata.llm.common import DataFrame, SparkSession, release, table
+from strata.llm.common import DataFrame, SparkSession, map_arrow, table
 
 SPACE = "▁"
 KEEP_WORDS = 200_000       # distinct words a worker remembers before it starts anew
@@ -337,10 +337,9 @@ def round_trip(docs: DataFrame, model_path: str, text: str = "text", ids: str =
                 cols[text] = pa.array(c.decode(flat, off), pa.string())
                 cols[ids] = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
-        release()
 
     docs = docs.drop(ids)
-    return docs.mapInArrow(run, docs.withColumn(ids, F.lit(None).cast("array<int>")).schema)
+    return map_arrow(docs, run, docs.withColumn(ids, F.lit(None).cast("array<int>")).schema)
 
 
 def digests(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from strata.llm.common import DataFrame, SparkSession, cut_lineage, staged, table
+from strata.llm.common import DataFrame, SparkSession, cut_lineage, map_arrow, staged, table
 
 SCALE = 64
 SHIFT = 1_000_000
@@ -229,11 +229,11 @@ def triangular(fit: DataFrame, mean: np.ndarray) -> np.ndarray:
         if some:
             yield pa.RecordBatch.from_arrays([pa.array([r.ravel().tolist()], pa.list_(pa.float64()))], ["x"])
 
-    rows = cut_lineage(fit.select("x").mapInArrow(reduce_rows, "x array<double>"))
+    rows = cut_lineage(map_arrow(fit.select("x"), reduce_rows, "x array<double>"))
     parts = rows.count()
     while parts > 1:                # one R per task, FAN of them make one
         groups = -(-parts // FAN)
-        rows = cut_lineage(rows.repartition(groups).mapInArrow(join_r, "x array<double>"))
+        rows = cut_lineage(map_arrow(rows.repartition(groups), join_r, "x array<double>"))
         parts = rows.count()
     got = rows.toArrow().column("x").to_pylist()
     return np.array(got[0]).reshape(dim, dim) if got else np.zeros((dim, dim))
@@ -251,7 +251,7 @@ def fit_whitening(fit: DataFrame, dim: int, components: int = COMPONENTS) -> dic
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim)), pa.array(s), pa.array(np.full(dim, n))], ["i", "s", "n"])
 
-    got = (fit.select("x").mapInArrow(sums, "i bigint, s bigint, n bigint").groupBy("i")
+    got = (map_arrow(fit.select("x"), sums, "i bigint, s bigint, n bigint").groupBy("i")
            .agg(F.sum("s").alias("s"), F.sum("n").alias("n")).toArrow().sort_by("i"))
     if not got.num_rows:
         return {"n": 0, "values": np.zeros(0)}
@@ -279,7 +279,7 @@ def identity_error(fit: DataFrame, fitted: dict) -> float:
                 total[k] += w.sum(0)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], ["i", "v"])
 
-    got = fit.select("x").mapInArrow(products, "i bigint, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow().sort_by("i")
+    got = map_arrow(fit.select("x"), products, "i bigint, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow().sort_by("i")
     total = got.column("v").to_numpy().reshape(k + 1, k) / fitted["n"]
     return float(np.abs(total[:k] - np.outer(total[k], total[k]) - np.eye(k)).max())
 
@@ -316,7 +316,7 @@ def whitened(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
                      pa.array(np.full(m * k, error))],
                     ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"])
 
-    return row.mapInArrow(project, schema)
+    return map_arrow(row, project, schema)
 
 
 def _deviation(x: np.ndarray, n: int, s: np.ndarray) -> list:
