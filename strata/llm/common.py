@@ -21,9 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back (cuts lineage)."""
-    path = shared_dir(df.sparkSession, "llm", name)
+def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back (cuts lineage).
+    Whoever gives the path may ``discard`` it later."""
+    path = path or shared_dir(df.sparkSession, "llm", name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, map_arrow, mix64, span_hash, staged, table,
+from strata.llm.common import (DataFrame, SparkSession, cut_lineage, discard, fold, map_arrow, mix64, shared_dir,
+                               span_hash, staged, table,
                                text_bytes, text_groups, word_spans)
 from strata.llm.bitmap import bitmap, holds
 from strata.llm.components import components
@@ -485,7 +486,8 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
     key = F.xxhash64("doc_id", "th")
     reps = alive.join(classes, "cls").select(F.xxhash64(F.col("rep.doc_id"), F.col("rep.th")).alias("k"))
     sets = map_arrow(docs.select(key.alias("k"), "text"), _candidate_sets(bitmap(reps, BITMAP_BITS)), "cls bigint, tokens array<bigint>")
-    sets = staged(sets.dropDuplicates(["cls"]), "candidates")
+    texts = shared_dir(docs.sparkSession, "llm", "candidates")
+    sets = staged(sets.dropDuplicates(["cls"]), "candidates", texts)
     edges = _ties(edges, alive)
     one = components(edges, "cls", "pivot").toDF("cls", "one")
 
@@ -510,6 +512,7 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
     top = (classes.select("cls", "first").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")))
     low = top.groupBy("root").agg(F.min("first").alias("component_id"))
     top = cut_lineage(top.join(low, "root").select("cls", "root", "component_id"))
+    discard(docs.sparkSession, texts)
     out = meta.join(top, "cls", "left")     # a hot class is split by the skew join: its other side has one row
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), "cls", "root",
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
