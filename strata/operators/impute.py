@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .select import exact_quantile
 
 
 def donor_hash(row_key: Sequence[str], seed) -> Column:
@@ -109,6 +110,21 @@ def impute_median(df: DataFrame, col: str, by: Sequence[str], default=None, *,
     return out.withColumn(col, fill).drop("__med").select(*df.columns)
 
 
+def impute_median_exact(df: DataFrame, col: str, by: Sequence[str], default=None, *,
+                        stats_from: DataFrame | None = None, materialise: bool = True) -> DataFrame:
+    """Fill nulls with the exact lower median of the group, however many values
+    it has (``select.exact_quantile``), cast back to the column's type, then
+    ``default``.  Without ``by`` all rows are one group."""
+    src = stats_from if stats_from is not None else df
+    keys = [F.col(c) for c in by] or [F.lit(0)]
+    stats = exact_quantile(src, col, keys, "__med").withColumnsRenamed({f"g{i}": f"__g{i}" for i in range(len(keys))})
+    row = df if by else df.withColumn("__one", F.lit(0))
+    out = _attach(row, stats, list(by) or ["__one"], materialise)
+    typ = df.schema[col].dataType
+    fill = [F.col(col), F.col("__med").cast(typ)] + ([F.lit(default).cast(typ)] if default is not None else [])
+    return out.withColumn(col, F.coalesce(*fill)).select(*df.columns)
+
+
 @dataclass
 class Rule:
     """One imputation step: ``strategy`` in {'donor', 'mode', 'median'}."""

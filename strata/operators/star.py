@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import hash_key
+from ..functions.keys import hash_key, wide_key
 from ..functions.money import cents, round_avg_cents
 from ..session import cut_lineage
 from .dedup import latest_per_key
@@ -57,7 +57,8 @@ def build_dimension(df: DataFrame, natural_key: Sequence[str], attrs: Sequence[s
 
     ``key='dense'`` gives consecutive integers ordered by the natural key;
     ``key='hash'`` gives a null-safe 64-bit hash of the natural key, computed
-    row-locally (no shuffle) and reproducible in any table that needs it.
+    row-locally (no shuffle) and reproducible in any table that needs it;
+    ``key='wide'`` the same in 128 bits, for tables of very many keys.
     """
     natural_key, attrs = list(natural_key), list(attrs)
     proj = df.select(*[F.col(c) for c in natural_key + [a for a in attrs if a not in natural_key]])
@@ -69,8 +70,10 @@ def build_dimension(df: DataFrame, natural_key: Sequence[str], attrs: Sequence[s
         out = dense_key(proj, natural_key, sk)
     elif key == "hash":
         out = proj.withColumn(sk, hash_key(*natural_key))
+    elif key == "wide":
+        out = proj.withColumn(sk, wide_key(*natural_key))
     else:
-        raise ValueError("key must be 'dense' or 'hash'")
+        raise ValueError("key must be 'dense', 'hash' or 'wide'")
     if rename:
         out = out.withColumnsRenamed(rename)
     return out
@@ -96,6 +99,26 @@ def extend_dimension(old: DataFrame, now: DataFrame, natural_key: Sequence[str],
     return known.unionByName(fresh)
 
 
+def require_distinct_keys(df: DataFrame, natural_key: Sequence[str], sk: str, what: str) -> None:
+    """Raise if a surrogate key occurs twice, and say why: the natural key is
+    repeated, or two natural keys met in one surrogate key.
+
+    Only the first half of each key and a count are shuffled; rows are looked at
+    with their natural keys only where a first half comes more than once."""
+    half = F.substring(sk, 1, 16)
+    twice = df.groupBy(half.alias("__h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__h")
+    if twice.isEmpty():
+        return
+    near = df.select(sk, F.struct(*natural_key).alias("__k"), half.alias("__h")).join(twice, "__h", "left_semi")
+    same = near.groupBy(sk).agg(F.count(F.lit(1)).alias("n"), F.min("__k").alias("a"), F.max("__k").alias("b")).filter("n > 1")
+    row = same.orderBy(F.col("a").eqNullSafe(F.col("b")), sk).first()
+    if row is None:
+        return
+    if row["a"] == row["b"]:
+        raise ValueError(f"the {what} holds key {list(row['a'])} {row['n']} times; deduplicate it first")
+    raise ValueError(f"keys {list(row['a'])} and {list(row['b'])} of the {what} have the same {sk}")
+
+
 def attach_keys(fact: DataFrame, dims: Sequence[tuple], *, check_fanout: bool = False) -> DataFrame:
     """Left-join the fact to each dimension to pick up its surrogate key.
 

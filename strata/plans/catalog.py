@@ -1222,3 +1222,6 @@ SELECT c_custkey, CASE WHEN {initcap_sql('c_mktsegment')} IN ({', '.join(repr(x)
                        THEN {initcap_sql('c_mktsegment')} END AS segment FROM customer""")
 def q_canonical_initcap(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", canonical("c_mktsegment", SEGMENTS, "initcap").alias("segment"))
+
+
+from . import point_in_time  # noqa: E402,F401  (registers its queries)

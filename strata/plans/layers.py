@@ -16,16 +16,15 @@ from pyspark.sql import functions as F
 
 from ..functions import canonical, parse_date, title_case
 from ..functions.cleanse import null_out_of_range
-from ..functions.keys import hash_key
+from ..functions.keys import wide_key
 from ..functions.privacy import mask, restricted_flag
 from ..operators.dedup import dedup_rows, latest_per_key
 from ..operators.history import scd_init, scd_merge
 from ..operators.impute import Rule, impute
 from ..operators.nulls import split_by_null_ratio, split_critical
 from ..operators.privacy import not_null_view, public_view
-from ..operators.joins import require_unique
 from ..operators.quality import GateRule, enforce_gate, gate_report, quality_metrics, quality_score
-from ..operators.star import build_dimension
+from ..operators.star import build_dimension, require_distinct_keys
 from ..session import cut_lineage
 from ..sources.files import (check_format, check_not_empty, default_batch_id, load_mode, read_raw,
                              split_corrupt)
@@ -244,19 +243,20 @@ def gold(spark: SparkSession, store: TableStore, spec: GoldSpec) -> dict[str, Da
     for d in spec.dims:
         base = silver_all if d.history else current
         dim = build_dimension(base.withColumnsRenamed(d.rename), [d.rename.get(c, c) for c in d.natural_key],
-                              list(d.attrs), d.sk, order=list(d.order) or None, key="hash")
+                              list(d.attrs), d.sk, order=list(d.order) or None, key="wide")
         store.publish(dim, d.name)
         out[d.name] = store.read(d.name)
-        require_unique(out[d.name], [d.sk], d.name)     # 64-bit hash keys could meet
+        require_distinct_keys(out[d.name], [d.rename.get(c, c) for c in d.natural_key], d.sk, d.name)
         # hash keys are computed row-locally from the same natural key: the
         # fact needs no join to pick them up
-        fact = fact.withColumn(d.sk, hash_key(*d.natural_key))
-    fact = fact.withColumn("visit_sk", hash_key(*spec.fact_key)).select(
+        fact = fact.withColumn(d.sk, wide_key(*d.natural_key))
+    fact = fact.withColumn("visit_sk", wide_key(*spec.fact_key))
+    require_distinct_keys(fact, list(spec.fact_key), "visit_sk", spec.fact_name)
+    fact = fact.select(
         "visit_sk", *[d.sk for d in spec.dims],
         *[F.col(c).alias(spec.fact_rename.get(c, c)) for c in spec.fact_cols])
     store.publish(fact, spec.fact_name, partition_by=list(spec.partition_by) or None)
     out[spec.fact_name] = store.read(spec.fact_name)
-    require_unique(out[spec.fact_name], ["visit_sk"], spec.fact_name)
     for name, build in spec.marts.items():
         store.publish(build(out[spec.fact_name], out), name)
         out[name] = store.read(name)

@@ -32,11 +32,13 @@ def save_watermark(batch: DataFrame, ts_col: str, path: str, scope: str = "all")
 
 def incremental_batch(df: DataFrame, ts_col: str, mark: DataFrame | None,
                       exclude: dict[str, str] | None = None) -> DataFrame:
-    """Rows loaded after the mark (all, without one), minus excluded sources."""
+    """Rows loaded after the mark (all, without one), minus excluded sources.
+
+    The filter is a plain comparison with one scalar subquery, so it reaches the
+    scan; whether there is a mark is asked first (one row)."""
     out = df
-    if mark is not None:
-        last = mark.select("mark").scalar()
-        out = out.filter(last.isNull() | (F.col(ts_col) > last))
+    if mark is not None and not mark.filter("mark is not null").isEmpty():
+        out = out.filter(F.col(ts_col) > mark.select("mark").scalar())
     for c, v in (exclude or {}).items():
         out = out.filter(~F.col(c).eqNullSafe(F.lit(v)))
     return out
