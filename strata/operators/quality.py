@@ -42,6 +42,19 @@ def _tag(df: DataFrame, tag: str, cols: dict[str, Column]) -> DataFrame:
     return df.select(F.lit(tag).alias("__t"), *[c.alias(n) for n, c in cols.items()])
 
 
+def metric_flags(current: Column | None, null_cols: Sequence[str], range_rules: dict[str, Column],
+                 mask_cols: Sequence[str]) -> dict[str, Column]:
+    """What is counted of each row."""
+    flags = {f"n__{c}": F.col(c).isNull() for c in null_cols}
+    flags.update({f"r__{r}": F.coalesce(p, F.lit(False)) for r, p in range_rules.items()})
+    um = F.lit(False)
+    for c in mask_cols:
+        um = um | F.col(c).isNull()
+    flags["__unmasked"] = um
+    flags["__current"] = F.coalesce(current if current is not None else F.lit(True), F.lit(False))
+    return flags
+
+
 def quality_metrics(final: DataFrame, *, processed: DataFrame | None = None,
                     quarantined: DataFrame | None = None,
                     keys: Sequence[str] = (), current: Column | None = None,
@@ -56,13 +69,7 @@ def quality_metrics(final: DataFrame, *, processed: DataFrame | None = None,
     """
     range_rules = dict(range_rules or {})
     cur = current if current is not None else F.lit(True)
-    fcols = {f"n__{c}": F.col(c).isNull() for c in null_cols}
-    fcols.update({f"r__{r}": F.coalesce(p, F.lit(False)) for r, p in range_rules.items()})
-    um = F.lit(False)
-    for c in mask_cols:
-        um = um | F.col(c).isNull()
-    fcols["__unmasked"] = um
-    fcols["__current"] = F.coalesce(cur, F.lit(False))
+    fcols = metric_flags(cur, null_cols, range_rules, mask_cols)
     parts = [_tag(final, "f", fcols)]
     if processed is not None:
         parts.append(_tag(processed, "p", {}))
@@ -88,7 +95,11 @@ def quality_metrics(final: DataFrame, *, processed: DataFrame | None = None,
     ]
     aggs += [F.count_if((t == "f") & F.col(f"n__{c}")).alias(f"{c}_nulls") for c in null_cols]
     aggs += [F.count_if((t == "f") & F.col(f"r__{r}")).alias(f"{r}_violations") for r in range_rules]
-    m = u.agg(*aggs)
+    return metric_percentages(u.agg(*aggs), bool(keys), null_cols, range_rules)
+
+
+def metric_percentages(m: DataFrame, keys: bool, null_cols: Sequence[str], range_rules) -> DataFrame:
+    """Counts with the percentages that follow from them."""
     fin = F.col("final")
     out = {
         "quarantine_pct": pct(F.col("quarantined"), fin + F.col("quarantined")),

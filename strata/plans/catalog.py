@@ -30,7 +30,7 @@ from ..operators.star import (attach_keys, build_dimension, extend_dimension, gr
                               money_sum)
 from ..operators.upsert import upsert
 from ..session import shared_dir
-from ..sources.files import check_format, check_not_empty, load_mode, read_raw, split_corrupt
+from ..sources.files import check_format, check_not_empty, read_raw, split_corrupt
 from ..sources.quarantine import envelope, file_event, quarantine, read_quarantine
 from ..sources.schema import add_ingest_metadata, detect_drift, fill_missing, normalise_columns
 from ..sources.tables import TableStore, create_or_upsert, merge_into
@@ -1034,16 +1034,32 @@ SELECT c_mktsegment, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'u
        count(*) AS customers
 FROM customer GROUP BY c_mktsegment""")
 def q_load_mode(spark, sf):
-    """Files (one per segment) against a log of loaded files that holds two of
-    them; an empty file and one of an unknown format are refused."""
-    c = table(spark, sf, "customer")
+    """Five files, one per segment, loaded by ``bronze`` after two of them were
+    loaded before: the log tells updates from inserts.  An empty file and one of
+    an unknown format are refused and leave a row each in the quarantine."""
+    from ..sources.files import IngestError
+    from .layers import LOAD_LOG, BronzeSpec, bronze
+    c = table(spark, sf, "customer").select(*CUST_TYPES)
     d = shared_dir(spark, "sources", "modes")
-    log = spark.createDataFrame([(f"{d}/BUILDING.csv",), (f"{d}/MACHINERY.csv",)], "source_file string")
-    files = c.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))
-    modes = {s: load_mode(log, f"{d}/{s}.csv")
-             for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")}     # fixed values
-    pick = F.create_map(*[F.lit(x) for kv in modes.items() for x in kv])
-    return files.select("c_mktsegment", pick[F.col("c_mktsegment")].alias("mode"), "customers")
+    c.repartition(1, "c_mktsegment").write.partitionBy("c_mktsegment").option("header", "true").csv(d)
+    spec = BronzeSpec(expected=[x for x in CUST_TYPES if x != "c_mktsegment"], keys=["c_custkey"])
+    st = _store(spark)
+    segments = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")      # fixed values
+    modes = [bronze(spark, st, f"{d}/c_mktsegment={s}", spec, "b1", "csv")["mode"] for s in ("BUILDING", "MACHINERY")]
+    assert modes == ["first_load", "insert"]
+    for s in segments:
+        bronze(spark, st, f"{d}/c_mktsegment={s}", spec, "b2", "csv")
+    c.filter("false").coalesce(1).write.option("header", "true").csv(f"{d}/empty")
+    for path, fmt in ((f"{d}/empty", "csv"), (f"{d}/odd.xml", None)):
+        try:
+            bronze(spark, st, path, spec, "b3", fmt)
+        except IngestError:
+            continue
+        raise AssertionError(f"{path} was not refused")
+    assert read_quarantine(spark, st.root).filter("batch_id = 'b3'").count() == 2
+    log = st.read(LOAD_LOG).filter("batch_id = 'b2'").select("source_file", "mode")
+    seg = F.regexp_extract("source_file", "c_mktsegment=(\\w+)", 1).alias("c_mktsegment")
+    return (st.read("bronze").join(log, "source_file").groupBy(seg, "mode").agg(F.count(F.lit(1)).alias("customers")))
 
 
 @query("q_quarantine_sink", """
@@ -1224,4 +1240,4 @@ def q_canonical_initcap(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", canonical("c_mktsegment", SEGMENTS, "initcap").alias("segment"))
 
 
-from . import point_in_time  # noqa: E402,F401  (registers its queries)
+from . import point_in_time, repeated_loads  # noqa: E402,F401  (they register their queries)

@@ -8,6 +8,7 @@ watermark, so a failed gate leaves the table, the sink and the mark untouched.
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -23,10 +24,11 @@ from ..operators.history import scd_init, scd_merge
 from ..operators.impute import Rule, impute
 from ..operators.nulls import split_by_null_ratio, split_critical
 from ..operators.privacy import not_null_view, public_view
-from ..operators.quality import GateRule, enforce_gate, gate_report, quality_metrics, quality_score
+from ..operators.metric_state import MetricState
+from ..operators.quality import GateRule, enforce_gate, gate_report, quality_score
 from ..operators.star import build_dimension, require_distinct_keys
 from ..session import cut_lineage
-from ..sources.files import (check_format, check_not_empty, default_batch_id, load_mode, read_raw,
+from ..sources.files import (check_format, check_not_empty, content_digest, default_batch_id, load_mode, read_raw,
                              split_corrupt)
 from ..sources.quarantine import envelope, file_event, quarantine
 from ..sources.schema import add_ingest_metadata, detect_drift, drift_rows, fill_missing, normalise_columns
@@ -39,7 +41,9 @@ from ..streaming.incremental import incremental_batch, read_watermark, save_wate
 class BronzeSpec:
     expected: Sequence[str]                  # raw column names
     keys: Sequence[str]                      # normalised business key
-    on_seen: str = "upsert"                  # 'upsert' | 'skip' a file loaded before
+    # a file loaded before is merged again ('upsert'), left ('skip'), or left if its
+    # content is what this table took from it last ('once')
+    on_seen: str = "upsert"
     table: str = "bronze"
     # expression of the key: merges rewrite only touched partitions (None:
     # the whole table is rewritten, as a plain MERGE does)
@@ -110,20 +114,41 @@ class GoldSpec:
 # ------------------------------------------------------------------ bronze
 def bronze(spark: SparkSession, store: TableStore, path: str, spec: BronzeSpec,
            batch_id: str | None = None, fmt: str | None = None) -> dict:
-    """Ingest one raw file into the bronze table; returns a summary dict."""
+    """Ingest one raw file into the bronze table; returns a summary dict.
+
+    A load's id is made of its path and content and is switched into the table's
+    pointer with its rows.  So a load tried again after a crash, wherever that
+    was, finds out whether its rows are in, and its rejects (kept under that id,
+    once the rows are in) are there once."""
     batch_id = default_batch_id(batch_id)
 
     def reject(p, reason):
-        quarantine(file_event(spark, "bronze", p, reason, batch_id), store.root, batch_id, "file")
+        quarantine(file_event(spark, "bronze", p, reason, batch_id), store.root, _load_id(p, reason), "file")
 
     ext = check_format(path, fmt, on_reject=reject)
-    mode = load_mode(store.read(LOAD_LOG) if store.exists(LOAD_LOG) else None, path)
+    log = None
+    if store.exists(LOAD_LOG) and store.exists(spec.table):
+        log = store.read(LOAD_LOG).filter(F.coalesce("table_name", F.lit(spec.table)) == spec.table)
+    mode = load_mode(log, path)
     if mode == "update" and spec.on_seen == "skip":
         return {"mode": "skipped", "source_file": path}
     # the raw file is parsed once; everything below reads the parsed rows
     raw = cut_lineage(read_raw(spark, path, ext, columns=None))
     good, bad = split_corrupt(check_not_empty(raw, path, on_reject=reject))
-    quarantine(envelope(bad, "bronze", "parse_error", path, batch_id), store.root, batch_id, "parse")
+    digest = content_digest(raw)
+    load = _load_id(path, digest)
+
+    def logged(how: str) -> None:
+        row = spark.createDataFrame([(path, batch_id, how, spec.table, digest)], LOAD_ROW)
+        store.append(row.withColumn("loaded_at", F.current_timestamp()), LOAD_LOG)
+
+    if spec.on_seen == "once":
+        last = log.filter(F.col("source_file") == path).agg(F.max_by("digest", "loaded_at").alias("d")).first()["d"] if log is not None else None
+        if last == digest:
+            return {"mode": "repeated", "source_file": path}
+        if store.load_id(spec.table) == load:       # the rows are in, the load ended before its log row
+            logged("repeated")
+            return {"mode": "repeated", "source_file": path}
     new, missing = detect_drift(good, spec.expected)
     if new or missing:
         store.append(drift_rows(spark, new, missing, path), "schema_drift")
@@ -131,12 +156,19 @@ def bronze(spark: SparkSession, store: TableStore, path: str, spec: BronzeSpec,
     df = add_ingest_metadata(df, path, ext, batch_id)
     # deterministic survivor per business key (every other column breaks ties)
     df = cut_lineage(latest_per_key(df, list(spec.keys), []))
-    create_or_upsert(store, spec.table, df, list(spec.keys), spec.partition() if spec.partition else None)
-    store.append(spark.createDataFrame([(path, batch_id, mode)], "source_file string, batch_id string, mode string"), LOAD_LOG)
+    with store.loading(load):
+        create_or_upsert(store, spec.table, df, list(spec.keys), spec.partition() if spec.partition else None)
+    quarantine(envelope(bad, "bronze", "parse_error", path, batch_id), store.root, load, "parse")
+    logged(mode)
     return {"mode": mode, "source_file": path, "new_columns": new, "missing_columns": missing}
 
 
-LOAD_LOG = "load_log"       # a row per loaded file
+LOAD_LOG = "load_log"       # a row per table and loaded file
+LOAD_ROW = "source_file string, batch_id string, mode string, table_name string, digest string"
+
+
+def _load_id(path: str, content: str) -> str:
+    return hashlib.sha256(f"{content}:{path}".encode()).hexdigest()[:32]
 
 
 # ------------------------------------------------------------------ silver
@@ -220,15 +252,15 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
     # rows over the null threshold and rows missing a critical value: kept once
     # the gate let the run pass, so a run tried again leaves them once
     quarantine(qenv, store.root, batch_id, "silver")
-    merged = store.read(spec.table)
     gate = spark.createDataFrame(gates[-1], "rule string, failures long, passed boolean")
     save_watermark(processed, "ingested_at", wm_path, scope)
-    metrics = quality_metrics(
-        merged, processed=processed, quarantined=quar, keys=dup_keys, current=cur,
-        null_cols=list(spec.report_null_cols or spec.gate_not_null),
-        range_rules={n: f() for n, f in spec.report_ranges.items()},
-        mask_cols=list(spec.masks.values()))
-    return {"rows": merged.count(), "published": True, "gate": gate,
+    # the report covers the whole history, but only partitions that this batch
+    # touched are counted again
+    state = MetricState(
+        store, spec.table, dup_keys, current=cur, null_cols=list(spec.report_null_cols or spec.gate_not_null),
+        range_rules={n: f() for n, f in spec.report_ranges.items()}, mask_cols=list(spec.masks.values()))
+    metrics = cut_lineage(state.report(processed, quar))
+    return {"rows": metrics.first()["final"], "published": True, "gate": gate,
             "report": quality_score(metrics, rename=spec.score_rename)}
 
 

@@ -5,13 +5,17 @@ small pointer file is replaced, and readers follow it.  So a half-written folder
 is never seen, and no path is overwritten while it is read.  The pointer names
 the table's folders: one for a plain table, the partition folders for a
 partitioned one (at most one list entry per partition and append).  Rewrites of
-partitioned tables replace only the partition folders they touch.
+partitioned tables replace only the partition folders they touch; ``merge_files``
+replaces single files, which the pointer then names one by one.  The pointer also
+holds the id of the load that made its state (``loading``): data and id are
+switched in one rename, so a load that is tried again can tell that it is done.
 
 A folder that neither the pointer nor the one before it names is deleted at the
 next write.  One writer per table at a time.
 """
 from __future__ import annotations
 
+import contextlib
 import json
 import uuid
 from collections.abc import Callable, Sequence
@@ -21,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.layout import compact, files_for
-from ..session import path_exists
+from ..operators.joins import keys_match
+from ..session import cut_lineage, path_exists
 
 PART = "_part"      # partition column of merge tables, made from the key and not shown to readers
 
@@ -38,6 +43,21 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._load: str | None = None
+
+    @contextlib.contextmanager
+    def loading(self, load: str):
+        """Writes inside name ``load`` as the load that made the table's state."""
+        self._load = load
+        try:
+            yield
+        finally:
+            self._load = None
+
+    def load_id(self, name: str) -> str | None:
+        """The last load that changed the table under an id."""
+        entry = self._entry(name)
+        return entry.get("load") if entry else None
 
     # ------------------------------------------------------------ files
     def _fs(self, path: str):
@@ -55,7 +75,8 @@ class TableStore:
         """Replace the pointer in one rename, then drop folders nobody names."""
         before = self._entry(name)
         entry = {"folders": sorted(folders), "before": before["folders"] if before else [],
-                 "partition_by": list(by), "schema": schema.jsonValue()}
+                 "partition_by": list(by), "schema": schema.jsonValue(),
+                 "load": self._load or (before or {}).get("load")}
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         fs, tmp = self._fs(f"{self.root}/{name}/current-{uuid.uuid4().hex}.tmp")
         out = fs.create(tmp, False)
@@ -73,6 +94,18 @@ class TableStore:
             seg = st.getPath().getName()
             if seg.startswith("seg=") and not any(f"/{seg}/" in f"{x}/" for x in named):
                 fs.delete(st.getPath(), True)
+        # in segments named file by file, files that are named no more
+        for seg in {x.rsplit("/", 1)[0] for x in named if x.endswith(".parquet")}:
+            mine = {self._plain(x) for x in named}
+            if self._plain(seg) not in mine:
+                for x in self._files(seg):
+                    if self._plain(x) not in mine:
+                        fs.delete(fc.Path(x), False)
+
+    def _files(self, folder: str) -> list[str]:
+        """Data files of a folder (of a file: itself)."""
+        fs, p = self._fs(folder)
+        return [st.getPath().toString() for st in fs.listStatus(p) if st.getPath().getName().startswith("part-")]
 
     def _leaves(self, seg: str, depth: int) -> list[str]:
         """Partition folders of a new segment (bounded by the partitions)."""
@@ -103,7 +136,7 @@ class TableStore:
         if not folders:
             return self.spark.createDataFrame([], schema)
         df = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*folders)
-        return df.select(*schema.fieldNames())
+        return df.select(*schema.fieldNames())      # _metadata stays within reach
 
     # ------------------------------------------------------------ reading
     def exists(self, name: str) -> bool:
@@ -154,6 +187,9 @@ class TableStore:
         if by:
             self._switch(name, self._stored(schema, by), entry["folders"] + self._write(df, name, by), by)
             return None
+        if any(f.endswith(".parquet") for f in entry["folders"]):
+            self._switch(name, schema, entry["folders"] + self._write(df, name, by), by)
+            return None
         if schema.jsonValue() != entry["schema"]:
             self._switch(name, schema, entry["folders"], by)
         df.write.mode("append").parquet(entry["folders"][0])
@@ -249,6 +285,42 @@ def merge_into(store: TableStore, name: str, batch: DataFrame, merge, partition:
     store._replace(name, entry, hit, merge(old, batch).withColumn(PART, partition), check)
 
 
+def merge_files(store: TableStore, name: str, batch: DataFrame, keys: Sequence[str], merge) -> None:
+    """Merge ``batch`` into an unpartitioned table, rewriting only the files that
+    hold one of its keys (null-safe).
+
+    The files are found by reading the key columns alone: row groups outside the
+    batch's range of the first key are skipped by their minima and maxima, and a
+    semi join (which Spark prunes further by a bloom filter of the batch's keys
+    if that pays) leaves the names of the files that really hold one.  All other
+    files keep their names and are never opened again.  So on a table clustered by its key
+    a small batch costs little, whatever the table's size.  ``merge(old, batch)``
+    gets the rows of the found files; the list of files passes through the driver.
+    """
+    entry = store._entry(name)
+    batch = cut_lineage(batch)
+    if entry is None:
+        store.publish(batch, name)
+        return
+    if entry["partition_by"]:
+        raise ValueError(f"table {name!r} is partitioned; use merge_into")
+    files = [f for d in entry["folders"] for f in store._files(d)]
+    ask = batch.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
+    table = store._frame(name, entry, files)
+    first = F.col(keys[0])
+    bound = batch.agg(F.min(keys[0]).alias("lo"), F.max(keys[0]).alias("hi"))
+    held = table.select(*keys, F.col("_metadata.file_path").alias("__file"))
+    if batch.filter(first.isNull()).isEmpty():
+        held = held.filter((first >= bound.select("lo").scalar()) & (first <= bound.select("hi").scalar()))
+    on = keys_match([F.col(k) for k in keys], [F.col(f"__k{i}") for i in range(len(keys))])
+    hit = {store._plain(r["__file"]) for r in held.join(ask, on, "left_semi").select("__file").distinct().collect()}    # files
+    old = store._frame(name, entry, [f for f in files if store._plain(f) in hit])
+    merged = merge(old, batch)
+    schema = merge_schemas(T.StructType.fromJson(entry["schema"]), merged.schema)
+    new = store._write(merged, name, [])
+    store._switch(name, schema, [f for f in files if store._plain(f) not in hit] + new, [])
+
+
 def create_or_upsert(store: TableStore, name: str, batch: DataFrame, keys: Sequence[str],
                      partition: Column | None = None) -> None:
     """First load creates the table; later loads merge on ``keys`` - with
