@@ -88,7 +88,7 @@ def extend_dimension(old: DataFrame, now: DataFrame, natural_key: Sequence[str],
     attrs = [c for c in old.columns if c not in natural_key and c != sk]
     o, n = old.select(F.struct(*old.columns).alias("__o")), now.select(F.struct(*natural_key, *attrs).alias("__n"))
     on = keys_match([F.col(f"__o.`{k}`") for k in natural_key], [F.col(f"__n.`{k}`") for k in natural_key])
-    both = o.join(n, on, "full_outer")
+    both = cut_lineage(o.join(n, on, "full_outer"))     # read for the known and for the new keys
     known = both.filter("__o is not null").select(
         *[F.col(f"__o.`{k}`").alias(k) for k in natural_key],
         *[F.when(F.col("__n").isNotNull(), F.col(f"__n.`{c}`")).otherwise(F.col(f"__o.`{c}`")).alias(c) for c in attrs],

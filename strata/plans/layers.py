@@ -223,7 +223,8 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
     out = out.withColumns({m: mask(c) for c, m in spec.masks.items()})
     if spec.restricted:
         out = out.withColumn("_is_restricted", restricted_flag(spec.restricted[0], spec.restricted[1]))
-    out = scd_init(out, spec.scd_start)
+    # the merge, its guards and the list of touched partitions all read the batch
+    out = cut_lineage(scd_init(out, spec.scd_start))
     cur = F.col("_is_current")
     rules = [GateRule("non_empty", kind="empty")]
     rules += [GateRule(f"no_nulls_{c}", F.col(c).isNull()) for c in spec.gate_not_null]
