@@ -1240,4 +1240,4 @@ def q_canonical_initcap(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", canonical("c_mktsegment", SEGMENTS, "initcap").alias("segment"))
 
 
-from . import point_in_time, repeated_loads  # noqa: E402,F401  (they register their queries)
+from . import later_loads, point_in_time, repeated_loads  # noqa: E402,F401  (they register their queries)
