@@ -2,13 +2,14 @@
 
 Plain counts give base rules (too few words, too many repeated 8-word windows).
 Every other document's character-class histogram and common-word histogram are
-compared with the references of all languages by Jensen-Shannon distance; it is
-dropped if even the nearest reference is too far.  Short documents, whose
-histograms say little, are not judged by distance.
+compared with the reference of its language by Jensen-Shannon distance; it is
+dropped if it is too far.  Short documents, whose histograms say little, are not
+judged by distance.
 
-The references are counted over all documents that pass the base rules: one
-class histogram and the most common words of each of the largest languages
-(``MAX_LANGS`` x ``COMMON`` rows at most reach the driver).
+The references are counted over all documents that pass the base rules: a class
+histogram and the ``COMMON`` most common words of every language, joined to the
+documents by language, however many languages there are.  A language without a
+reference is held against that of all languages together.
 
 Defined cases: null text has no words and fails the base rule; a null language
 is a language of its own; repeated rows and null ids are rows like any other;
@@ -22,15 +23,15 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import (DataFrame, SparkSession, fold, span_hash, table, text_bytes, text_groups,
-                               word_spans)
+from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, map_arrow, span_hash, table, text_bytes,
+                               text_groups, word_spans)
 
 MIN_WORDS = 20           # fewer: base_failed
 MAX_REPEAT_PERCENT = 30  # a larger share of repeated words: base_failed
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 COMMON = 64              # common words in a language's reference
-MAX_LANGS = 200          # languages with a reference, the largest first
+REFERENCE = ("class_share", "words", "shares")
 GUARD_CHARS = 500        # shorter documents aren't judged by characters
 GUARD_WORDS = 60         # ... by words
 CLASS_LIMIT = 0.30       # Jensen-Shannon distance (0 to 1) above which a document goes
@@ -151,36 +152,45 @@ def reference_counts(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.concat_arrays(words), pa.concat_arrays(classes), pa.array(n)],
                                                  ["lang", "word", "class", "n"])
 
-    out = docs.select("lang", "text").mapInArrow(run, "lang string, word bigint, class int, n bigint")
+    out = map_arrow(docs.select("lang", "text"), run, "lang string, word bigint, class int, n bigint")
     return out.groupBy("lang", "word", "class").agg(F.sum("n").alias("n"))
 
 
-def references(docs: DataFrame) -> dict:
-    """Class and common-word references of the largest languages, as arrays."""
-    counts = reference_counts(docs)
-    by_lang = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
-    counts = counts.withColumn("is_class", F.col("class").isNotNull())
-    words = counts.filter("not is_class").withColumn("rn", F.row_number().over(by_lang)).filter(F.col("rn") <= COMMON)
-    classes = counts.filter("is_class").groupBy("lang").agg(
-        F.sum("n").alias("chars"), *[F.sum(F.when(F.col("class") == k, F.col("n")).otherwise(0)).alias(f"c{k}") for k in range(N_CLASSES)])
-    totals = counts.filter("not is_class").groupBy("lang").agg(F.sum("n").alias("words"))
-    # lang is compared null-safely: a null language is one of its own
-    top = classes.join(totals.withColumnRenamed("lang", "l2"), F.col("lang").eqNullSafe(F.col("l2"))).drop("l2")
-    top = top.orderBy(F.col("chars").desc(), "lang").limit(MAX_LANGS).collect()
-    common = {}
-    names = [r["lang"] for r in top if r["lang"] is not None]
-    pick = F.col("lang").isin(names) if names else F.lit(False)
-    for r in words.filter(pick | F.col("lang").isNull()).select("lang", "word", "n").collect():
-        common.setdefault(r["lang"], []).append((r["word"], r["n"]))
-    refs = {"classes": [], "words": [], "shares": []}
-    for r in top:
-        h = np.array([r[f"c{k}"] for k in range(N_CLASSES)], float)
-        pairs = sorted(common.get(r["lang"], []))
-        share = np.array([n for _, n in pairs], float) / r["words"]
-        refs["classes"].append(h / h.sum())
-        refs["words"].append(np.array([w for w, _ in pairs], np.int64).view(np.uint64))
-        refs["shares"].append(np.concatenate([share, [max(0.0, 1 - share.sum())]]))
-    return refs
+def references(docs: DataFrame) -> DataFrame:
+    """A row per language, null being one of its own, and one over all languages
+    (``pooled``): lang, pooled, class_share, words and shares of the ``COMMON``
+    most common words in order of their hashes."""
+    counts = cut_lineage(reference_counts(docs).withColumn("pooled", F.lit(False)))
+    pooled = counts.groupBy("word", "class").agg(F.sum("n").alias("n")).select(
+        F.lit(None).cast("string").alias("lang"), "word", "class", "n", F.lit(True).alias("pooled"))
+    counts = counts.unionByName(pooled)
+    top = Window.partitionBy("pooled", "lang").orderBy(F.col("n").desc(), "word")     # cut to COMMON a task before the shuffle
+    words = counts.filter("class is null").withColumn("rn", F.row_number().over(top)).filter(F.col("rn") <= COMMON)
+    words = words.groupBy("pooled", "lang").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("common"))
+    total = lambda what: F.sum(F.when(what, F.col("n")).otherwise(0))
+    sums = counts.groupBy("pooled", "lang").agg(
+        F.array(*[total(F.col("class") == k) for k in range(N_CLASSES)]).alias("classes"),
+        total(F.col("class").isNotNull()).alias("chars"), total(F.col("class").isNull()).alias("n_words"))
+    a, b = sums.alias("a"), words.alias("b")
+    row = a.join(b, (F.col("a.pooled") == F.col("b.pooled")) & F.col("a.lang").eqNullSafe(F.col("b.lang")))
+    return row.select("a.lang", "a.pooled",
+                      F.transform("classes", lambda n: n / F.col("chars")).alias("class_share"),
+                      F.col("common.word").alias("words"),
+                      F.transform("common", lambda w: w["n"] / F.col("n_words")).alias("shares"))
+
+
+def with_reference(docs: DataFrame, refs: DataFrame) -> DataFrame:
+    """doc_id, text, lang and the reference of the document's language (of all
+    languages, if its own has none).  A hot language is split by the skew join:
+    the other side has one row a language."""
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    docs = docs.select("doc_id", "text", lang.alias("lang"))
+    name = lambda c: F.when(F.col(c).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(c)))
+    own = refs.filter("not pooled").select(name("lang").alias("key"), *REFERENCE)
+    every = refs.filter("pooled").select(F.struct(*REFERENCE).alias("r"))          # one row
+    row = docs.withColumn("key", name("lang")).join(own, "key", "left").drop("key")
+    pooled = every.scalar()
+    return row.select("doc_id", "text", "lang", *[F.coalesce(F.col(c), pooled.getField(c)).alias(c) for c in REFERENCE])
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -190,44 +200,51 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((part(p) + part(q)) / 2, 0, 1))
 
 
-def distances(hist: np.ndarray, n_words: np.ndarray, words, refs: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(class, word) distance of every document to its nearest reference."""
+def distances(hist: np.ndarray, n_words: np.ndarray, words, ref: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(class, word) distance of every document to a reference."""
     n = len(hist)
-    p = hist / np.maximum(hist.sum(1, keepdims=True), 1)
-    by_class, by_word = np.ones(n), np.ones(n)
     doc, key = words
-    for ref, names, share in zip(refs["classes"], refs["words"], refs["shares"]):
-        by_class = np.minimum(by_class, js_distance(p, ref))
-        order = np.argsort(names)
-        at = np.minimum(np.searchsorted(names[order], key), len(names) - 1)
-        slot = np.where(names[order][at] == key, order[at], len(names))
-        h = np.bincount(doc * len(share) + slot, minlength=n * len(share)).reshape(n, len(share))
-        by_word = np.minimum(by_word, js_distance(h / np.maximum(n_words, 1)[:, None], share))
-    return by_class, by_word
+    names = np.array(ref["words"], np.int64)
+    share = np.array(ref["shares"], float)
+    share = np.concatenate([share, [max(0.0, 1 - share.sum())]])
+    by_class = js_distance(hist / np.maximum(hist.sum(1, keepdims=True), 1), np.array(ref["class_share"], float))
+    at = np.minimum(np.searchsorted(names, key), len(names) - 1)
+    slot = np.where(names[at] == key, at, len(names))
+    h = np.bincount(doc * len(share) + slot, minlength=n * len(share)).reshape(n, len(share))
+    return by_class, js_distance(h / np.maximum(n_words, 1)[:, None], share)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def judge(docs: DataFrame, refs: dict) -> DataFrame:
-    """doc_id, the counts, base_failed, class_distance, word_distance, kept."""
+def judge(docs: DataFrame, refs: DataFrame) -> DataFrame:
+    """doc_id, the counts, base_failed, class_distance, word_distance, kept.
+    Without any reference the distances are 0."""
     def run(batches):
         for b, data, off in _batches(batches):
-            c, hist, words = batch_features(data, off)
+            c, hist, (doc, word) = batch_features(data, off)
             failed = base_failed(c)
-            if refs["classes"]:
-                by_class, by_word = distances(hist, c["n_words"], words, refs)
-            else:
-                by_class = by_word = np.zeros(len(failed))
+            by_class, by_word = np.zeros(len(failed)), np.zeros(len(failed))
+            langs = b.column("lang").to_pylist()
+            code = {x: i for i, x in enumerate(dict.fromkeys(langs))}
+            of = np.array([code[x] for x in langs], np.int64)
+            for i in code.values():
+                mine = of == i
+                first = int(np.argmax(mine))            # equal languages carry equal references
+                ref = {k: b.column(k).slice(first, 1).to_pylist()[0] for k in REFERENCE}
+                if ref["words"]:
+                    place = np.cumsum(mine) - 1
+                    pick = mine[doc]
+                    by_class[mine], by_word[mine] = distances(
+                        hist[mine], c["n_words"][mine], (place[doc[pick]], word[pick].view(np.int64)), ref)
             far = (hist.sum(1) >= GUARD_CHARS) & (by_class > CLASS_LIMIT) | (c["n_words"] >= GUARD_WORDS) & (by_word > WORD_LIMIT)
             cols = [b.column("doc_id"), *[pa.array(c[k]) for k in COUNTS], pa.array(failed), pa.array(by_class), pa.array(by_word),
                     pa.array(~failed & ~far)]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", *COUNTS, "base_failed", "class_distance", "word_distance", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, {', '.join(f'{k} bigint' for k in COUNTS)}, base_failed boolean, "
-             "class_distance double, word_distance double, kept boolean")
+    return map_arrow(with_reference(docs, refs), run, f"doc_id {kind}, {', '.join(f'{k} bigint' for k in COUNTS)}, base_failed boolean, "
+                                                      "class_distance double, word_distance double, kept boolean")
 
 
 def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
