@@ -10,9 +10,11 @@ ordinary log-likelihood per word (each kind of word once); a logistic curve over
 forms, fitted on training documents left out of the counts, turns it into the
 score.
 
-The n-gram counts and all Kneser-Ney statistics are Spark aggregations over the
-whole corpus.  The model that scores is bounded: the ``MODEL_GRAMS`` most
-frequent 6-grams and ``MODEL_CONTEXTS`` contexts (others count as unseen).  The
+All counts, Kneser-Ney statistics and lookups are Spark aggregations and joins,
+so the model grows with the corpus and nothing of it is cut.  Documents are read
+in runs of about ``RUN_BYTES``; a run is kept as its kinds of words and, per
+document, their places.  The distinct kinds of the corpus are cut into 6-grams
+once and joined with the model; a run then gets one number per kind back.  The
 curve is fitted on at most ``CURVE_DOCS`` documents.
 
 Equal texts are learnt once, so a group of copies counts as one document.
@@ -30,17 +32,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from strata.llm.bitmap import bitmap, holds
-from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, mix64, span_hash, staged, table,
+from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, map_arrow, span_hash, staged, table,
                                text_bytes, text_groups, word_spans)
 
 ORDER = 6
 DISCOUNT = 0.75
-MODEL_GRAMS = 1 << 20
-MODEL_CONTEXTS = 1 << 19
 CURVE_DOCS = 20_000
 PRIOR_WORDS = 5         # words without evidence added to every document
 STRONG = 2.0            # a word's evidence that counts as strong
 BITMAP_BITS = 1 << 24
+RUN_BYTES = 4 << 20     # text of a run, or one longer document
+SCALE = 1 << 32         # evidence is summed in whole steps of 1 / SCALE, so its order doesn't matter
 _START, _END = 2, 3
 _EDGE = ".,;:!?\"'()[]#*$%&|<>-"
 
@@ -60,25 +62,27 @@ def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word[:n][inside], three[:n][inside], three[3:n + 3][inside]
 
 
-def gram_key(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    return mix64(mix64(hi.view(np.uint64)) + lo.view(np.uint64))
-
-
 def batch_words(data: np.ndarray, off: np.ndarray):
     """(document, kind of word) of every kind a document has, and the kinds: a
     document says each of its words once."""
+    doc, which, _, kinds = batch_kinds(data, off)
+    return doc, which, kinds
+
+
+def batch_kinds(data: np.ndarray, off: np.ndarray):
+    """``batch_words`` with the kinds' hashes before the kinds."""
     doc, start, end = word_spans(data, off)
     kind, first, which = np.unique(span_hash(fold(data), start, end), return_index=True, return_inverse=True)
     once = np.unique(doc * max(len(kind), 1) + which)
     doc, which = once // max(len(kind), 1), once % max(len(kind), 1)
     raw = data.tobytes()
-    return doc, which, [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[first], end[first])]
+    return doc, which, kind.view(np.int64), [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[first], end[first])]
 
 
-def _runs(batches):
+def _runs(batches, size: int = 1 << 20):
     for b in batches:
         data, off = text_bytes(b.column("text"))
-        for x, y in text_groups(off):
+        for x, y in text_groups(off, size):
             yield b.slice(x, y - x), data[off[x]:off[y]], off[x:y + 1] - off[x]
 
 
@@ -104,7 +108,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array(holds(found, b.column("k").to_numpy())))
 
-    text = text.mapInArrow(keep, text.schema)
+    text = map_arrow(text, keep, text.schema)
     return text.join(train, ["doc_id", "th"]).select("text", "toxic", (F.pmod("k", F.lit(8)) == 0).alias("curve"), "k")
 
 
@@ -127,7 +131,7 @@ def gram_counts(train: DataFrame) -> DataFrame:
                     [pa.array(hi[at]), pa.array(lo[at]), pa.array(np.add.reduceat(nt[word], at).astype(np.int64)),
                      pa.array(np.add.reduceat(no[word], at).astype(np.int64))], ["hi", "lo", "nt", "no"])
 
-    out = train.select("text", "toxic").mapInArrow(run, "hi bigint, lo bigint, nt bigint, no bigint")
+    out = map_arrow(train.select("text", "toxic"), run, "hi bigint, lo bigint, nt bigint, no bigint")
     return out.groupBy("hi", "lo").agg(F.sum("nt").alias("nt"), F.sum("no").alias("no"))
 
 
@@ -174,33 +178,29 @@ def evidence(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return seen, unseen
 
 
-def model(train: DataFrame) -> dict:
-    """Bounded lookup arrays of the evidence of 6-grams and of contexts."""
+def model(train: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Evidence of all 6-grams (hi, lo, llr) and of all contexts (hi, ctx, llr)."""
     seen, unseen = evidence(cut_lineage(gram_counts(train)))
-    out = {}
-    for name, df, a, b, most in (("gram", seen, "hi", "lo", MODEL_GRAMS), ("ctx", unseen, "hi", "ctx", MODEL_CONTEXTS)):
-        df = df.orderBy(F.col("n").desc(), a, b).limit(most).select(a, b, F.col("llr").cast("float").alias("llr"))
-        t = df.toArrow()
-        key = gram_key(t.column(a).to_numpy().astype(np.int64), t.column(b).to_numpy().astype(np.int64))
-        order = np.argsort(key)
-        out[name] = (key[order], t.column("llr").to_numpy()[order])
-    return out
-
+    return cut_lineage(seen.select("hi", "lo", "llr")), cut_lineage(unseen.select("hi", "ctx", "llr"))
 
-def word_evidence(kinds: list[str], m: dict) -> np.ndarray:
-    """Toxic minus ordinary log-likelihood of every word."""
-    word, hi, lo = word_grams(kinds)
 
-    def look(keys, values, key):
-        if not len(keys):
-            return np.zeros(len(key)), np.zeros(len(key), bool)
-        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        return values[at], keys[at] == key
+def word_evidence(words: DataFrame, m: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """key, e: toxic minus ordinary log-likelihood of every word (key, word; one
+    row a key), in steps of 1 / SCALE.  A gram that no text had counts as its
+    context's unseen continuations, and for nothing if no text had that either.
+    A hot gram is split by the skew join: the model has one row for it."""
+    def run(batches):
+        for b in batches:
+            word, hi, lo = word_grams(b.column("word").to_pylist())
+            key = b.column("key").to_numpy()[word]
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(hi), pa.array(lo), pa.array(lo >> 21)], ["key", "hi", "lo", "ctx"])
 
-    llr, there = look(*m["gram"], gram_key(hi, lo))
-    back, known = look(*m["ctx"], gram_key(hi, lo >> 21))
-    llr = np.where(there, llr, np.where(known, back, 0.0))
-    return np.bincount(word, llr, len(kinds))
+    seen, unseen = m
+    grams = map_arrow(words, run, "key bigint, hi bigint, lo bigint, ctx bigint")
+    grams = grams.join(seen.withColumnRenamed("llr", "own"), ["hi", "lo"], "left")
+    grams = grams.join(unseen.withColumnRenamed("llr", "back"), ["hi", "ctx"], "left")
+    step = F.round(F.coalesce("own", "back", F.lit(0.0)) * SCALE).cast("bigint")
+    return grams.groupBy("key").agg(F.sum(step).alias("e"))
 
 
 def document_features(doc: np.ndarray, which: np.ndarray, llr: np.ndarray, n_docs: int) -> np.ndarray:
@@ -217,9 +217,48 @@ def document_features(doc: np.ndarray, which: np.ndarray, llr: np.ndarray, n_doc
                             np.log1p(count), np.minimum(top, 12.0), np.log1p(n)])
 
 
-def features(data: np.ndarray, off: np.ndarray, m: dict) -> np.ndarray:
-    doc, which, kinds = batch_words(data, off)
-    return document_features(doc, which, word_evidence(kinds, m), len(off) - 1)
+def word_runs(docs: DataFrame) -> DataFrame:
+    """Rows of (doc_id, text) as runs: run, ids, kinds (number of each document),
+    places (of each document's kinds among the run's), keys and words of the
+    run's kinds.  Written once, as the run's number is only good for one pass."""
+    def run(batches):
+        from pyspark import TaskContext
+        at = TaskContext.get().partitionId() << 32
+        for b, data, off in _runs(batches, RUN_BYTES):
+            doc, which, keys, words = batch_kinds(data, off)
+            n = np.bincount(doc, minlength=b.num_rows)
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (
+                b.column("doc_id"), pa.array(n.astype(np.int32)), pa.array(which.astype(np.int32)), pa.array(keys), pa.array(words, pa.string()))]
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), *lists], ["run", "ids", "kinds", "places", "keys", "words"])
+            at += 1
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    out = map_arrow(docs.select("doc_id", "text"), run,
+                    f"run bigint, ids array<{kind}>, kinds array<int>, places array<int>, keys array<bigint>, words array<string>")
+    return staged(out, "toxicity-runs")
+
+
+def with_evidence(runs: DataFrame, m: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """run, ids, kinds, places and e, the evidence of every kind of the run."""
+    words = runs.select(F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("words").alias("word"))))
+    e = word_evidence(words.groupBy("key").agg(F.min("word").alias("word")), m)
+    spot = runs.select("run", F.posexplode("keys").alias("pos", "key")).join(e, "key")      # every kind has a row in e
+    back = spot.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("pos", "e"))).alias("spots"))   # the kinds of a run
+    return runs.select("run", "ids", "kinds", "places").join(back.select("run", F.col("spots.e").alias("e")), "run", "left")
+
+
+def features(docs: DataFrame, m: tuple[DataFrame, DataFrame], result, schema: str) -> DataFrame:
+    """``result(ids, features)``, arrays by document, over all rows of ``docs``."""
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                row = {c: b.column(c).slice(i, 1).flatten() for c in ("ids", "kinds", "places", "e")}
+                n = row["kinds"].to_numpy(zero_copy_only=False)
+                doc = np.repeat(np.arange(len(n)), n)
+                e = row["e"].to_numpy(zero_copy_only=False) / SCALE
+                yield result(row["ids"], document_features(doc, row["places"].to_numpy(zero_copy_only=False), e, len(n)))
+
+    return map_arrow(with_evidence(word_runs(docs), m).drop("run"), run, schema)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 50) -> dict:
@@ -249,14 +288,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     train = staged(labelled(docs, labels), "toxicity-train")
     m = model(train.filter("not curve"))
 
-    def run(batches):
-        for b, data, off in _runs(batches):
-            x = features(data, off, m)
-            yield pa.RecordBatch.from_arrays([b.column("toxic"), *[pa.array(v) for v in x.T]],
-                                             ["toxic", *[f"f{i}" for i in range(x.shape[1])]])
+    def result(toxic, x):
+        return pa.RecordBatch.from_arrays([toxic, *[pa.array(v) for v in x.T]], ["toxic", *[f"f{i}" for i in range(x.shape[1])]])
 
-    got = train.filter("curve").select("text", "toxic").mapInArrow(
-        run, "toxic int, " + ", ".join(f"f{i} double" for i in range(6)))
+    got = features(train.filter("curve").select(F.col("toxic").alias("doc_id"), "text"), m, result,
+                   "toxic int, " + ", ".join(f"f{i} double" for i in range(6)))
     got = got.orderBy(F.xxhash64("f0", "f1", "f5"), *got.columns).limit(CURVE_DOCS).toArrow()
     y = got.column("toxic").to_numpy().astype(float)
     x = np.column_stack([got.column(f"f{i}").to_numpy() for i in range(6)]) if len(y) else np.zeros((0, 6))
@@ -267,16 +303,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
 def score(docs: DataFrame, fitted: dict) -> DataFrame:
     """doc_id and score of every row of ``docs`` (doc_id, text)."""
-    share = docs.sparkSession.sparkContext.broadcast(fitted)      # bounded by MODEL_GRAMS and MODEL_CONTEXTS
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    if "curve" not in fitted:
+        return docs.select("doc_id", F.lit(fitted["share"]).alias("score"))
+    shape = fitted["curve"]
 
-    def run(batches):
-        f = share.value
-        for b, data, off in _runs(batches):
-            p = curve(features(data, off, f["model"]), f["curve"]) if "curve" in f else np.full(b.num_rows, f["share"])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(p)], ["doc_id", "score"])
+    def result(ids, x):
+        return pa.RecordBatch.from_arrays([ids, pa.array(curve(x, shape))], ["doc_id", "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    return features(docs, fitted["model"], result, f"doc_id {kind}, score double")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

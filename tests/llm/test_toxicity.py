@@ -57,6 +57,49 @@ def test_against_the_definition(spark):
     assert all(math.isclose(got[g], want[g], abs_tol=1e-9) for g in want)
 
 
+def small_model(spark):
+    tox, ordinary = {"idiot": 3, "idle": 1, "scum": 2}, {"idle": 4, "idea": 2, "summer": 1, "scale": 5}
+    word, hi, lo = T.word_grams([*tox, *ordinary])
+    n = [*tox.values(), *ordinary.values()]
+    rows = [(int(h), int(x), n[w] if w < len(tox) else 0, n[w] if w >= len(tox) else 0) for w, h, x in zip(word, hi, lo)]
+    df = spark.createDataFrame(rows, "hi bigint, lo bigint, nt bigint, no bigint").groupBy("hi", "lo").agg(F.sum("nt").alias("nt"), F.sum("no").alias("no"))
+    seen, unseen = T.evidence(df)
+    grams = {(r["hi"], r["lo"]): r["llr"] for r in seen.collect()}
+    contexts = {(r["hi"], r["ctx"]): r["llr"] for r in unseen.collect()}
+    return (seen.select("hi", "lo", "llr"), unseen.select("hi", "ctx", "llr")), grams, contexts
+
+
+def plain_word(word, grams, contexts):
+    _, hi, lo = T.word_grams([word])
+    return sum(grams.get((h, x), contexts.get((h, x >> 21), 0.0)) for h, x in zip(hi.tolist(), lo.tolist()))
+
+
+def test_word_evidence_by_lookup(spark):
+    m, grams, contexts = small_model(spark)
+    words = ["idiot", "Idiots!", "idio", "scumbag", "summer", "zzz", "", "é", "idle" * 3000]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words) if w], "key bigint, word string")
+    got = {r["key"]: r["e"] / T.SCALE for r in T.word_evidence(df, m).collect()}
+    assert set(got) == {i for i, w in enumerate(words) if w}
+    assert all(math.isclose(got[i], plain_word(words[i], grams, contexts), abs_tol=1e-5) for i in got)
+
+
+def test_runs_give_each_document_its_own_features(spark, monkeypatch):
+    """Documents of many runs, with empty texts between, against one document at a time."""
+    monkeypatch.setattr(T, "RUN_BYTES", 64)
+    m, grams, contexts = small_model(spark)
+    texts = ["idiot scum", None, "", "idle summer scale " * 20, "scum", "IDIOT idiot, idiot", "unknown things", "  \n"]
+    df = spark.createDataFrame([(i, texts[i % len(texts)]) for i in range(40)], "doc_id bigint, text string")
+
+    def result(ids, x):
+        return T.pa.RecordBatch.from_arrays([ids, T.pa.array(x[:, 0]), T.pa.array(x[:, 5])], ["doc_id", "mean", "size"])
+    got = T.features(df, m, result, "doc_id bigint, mean double, size double").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(40))
+    for r in got:
+        kinds = {w.lower(): w for w in (texts[r["doc_id"] % len(texts)] or "").split()}
+        want = sum(plain_word(w, grams, contexts) for w in kinds) / (len(kinds) + T.PRIOR_WORDS)
+        assert math.isclose(r["mean"], want, abs_tol=1e-5) and math.isclose(r["size"], math.log1p(len(kinds)))
+
+
 def test_held_out_accuracy(spark):
     sf = SF.replace("0.001", "0.1")
     rows = T.op10_toxicity(spark, sf)
