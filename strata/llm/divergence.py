@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, map_arrow, span_hash, table, text_bytes,
-                               text_groups, word_spans)
+from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, map_arrow, span_hash, staged, table,
+                               text_bytes, text_groups, word_spans)
 
 MIN_WORDS = 20           # fewer: base_failed
 MAX_REPEAT_PERCENT = 30  # a larger share of repeated words: base_failed
@@ -173,16 +173,19 @@ def references(docs: DataFrame) -> DataFrame:
         total(F.col("class").isNotNull()).alias("chars"), total(F.col("class").isNull()).alias("n_words"))
     a, b = sums.alias("a"), words.alias("b")
     row = a.join(b, (F.col("a.pooled") == F.col("b.pooled")) & F.col("a.lang").eqNullSafe(F.col("b.lang")))
-    return row.select("a.lang", "a.pooled",
-                      F.transform("classes", lambda n: n / F.col("chars")).alias("class_share"),
-                      F.col("common.word").alias("words"),
-                      F.transform("common", lambda w: w["n"] / F.col("n_words")).alias("shares"))
+    row = row.select("a.lang", "a.pooled",
+                     F.transform("classes", lambda n: n / F.col("chars")).alias("class_share"),
+                     F.col("common.word").alias("words"),
+                     F.transform("common", lambda w: w["n"] / F.col("n_words")).alias("shares"))
+    return staged(row.coalesce(1), "divergence-references")       # a row a language
 
 
 def with_reference(docs: DataFrame, refs: DataFrame) -> DataFrame:
     """doc_id, text, lang and the reference of the document's language (of all
-    languages, if its own has none).  A hot language is split by the skew join:
-    the other side has one row a language."""
+    languages, if its own has none).  The references are a written table, so
+    Spark knows their bytes and broadcasts them up to its own limit; beyond it the
+    documents are dealt by language, a hot one split by the skew join, as the
+    other side has one row a language."""
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     docs = docs.select("doc_id", "text", lang.alias("lang"))
     name = lambda c: F.when(F.col(c).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(c)))
