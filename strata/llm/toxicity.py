@@ -10,12 +10,14 @@ ordinary log-likelihood per word (each kind of word once); a logistic curve over
 forms, fitted on training documents left out of the counts, turns it into the
 score.
 
-All counts, Kneser-Ney statistics and lookups are Spark aggregations and joins,
-so the model grows with the corpus and nothing of it is cut.  Documents are read
-in runs of about ``RUN_BYTES``; a run is kept as its kinds of words and, per
-document, their places.  The distinct kinds of the corpus are cut into 6-grams
-once and joined with the model; a run then gets one number per kind back.  The
-curve is fitted on at most ``CURVE_DOCS`` documents.
+All counts and Kneser-Ney statistics are Spark aggregations, and the model grows
+with the corpus: nothing of it is cut.  A model of at most ``LOOKUP_ROWS`` rows
+(24 bytes each; they are counted first) goes to the tasks as lookup arrays.
+A larger one is joined: documents are read in runs of about ``RUN_BYTES``; a run
+is kept as its kinds of words and, per document, their places; the distinct kinds
+of the corpus are cut into 6-grams once and joined with the model, and a run gets
+one number per kind back.  Both ways add the same whole numbers, so they give the
+same scores.  The curve is fitted on at most ``CURVE_DOCS`` documents.
 
 Equal texts are learnt once, so a group of copies counts as one document.
 
@@ -32,7 +34,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from strata.llm.bitmap import bitmap, holds
-from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, map_arrow, span_hash, staged, table,
+from strata.llm.common import (DataFrame, SparkSession, cut_lineage, fold, map_arrow, mix64, span_hash, staged, table,
                                text_bytes, text_groups, word_spans)
 
 ORDER = 6
@@ -41,6 +43,7 @@ CURVE_DOCS = 20_000
 PRIOR_WORDS = 5         # words without evidence added to every document
 STRONG = 2.0            # a word's evidence that counts as strong
 BITMAP_BITS = 1 << 24
+LOOKUP_ROWS = 3 << 19   # of a model that is sent to the tasks; a larger one is joined
 RUN_BYTES = 4 << 20     # text of a run, or one longer document
 SCALE = 1 << 32         # evidence is summed in whole steps of 1 / SCALE, so its order doesn't matter
 _START, _END = 2, 3
@@ -62,6 +65,10 @@ def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word[:n][inside], three[:n][inside], three[3:n + 3][inside]
 
 
+def gram_key(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    return mix64(mix64(hi.view(np.uint64)) + lo.view(np.uint64))
+
+
 def batch_words(data: np.ndarray, off: np.ndarray):
     """(document, kind of word) of every kind a document has, and the kinds: a
     document says each of its words once."""
@@ -179,9 +186,41 @@ def evidence(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def model(train: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Evidence of all 6-grams (hi, lo, llr) and of all contexts (hi, ctx, llr)."""
+    """Evidence e, in steps of 1 / SCALE, of all 6-grams (hi, lo) and of all contexts (hi, ctx)."""
     seen, unseen = evidence(cut_lineage(gram_counts(train)))
-    return cut_lineage(seen.select("hi", "lo", "llr")), cut_lineage(unseen.select("hi", "ctx", "llr"))
+    step = F.round(F.col("llr") * SCALE).cast("bigint").alias("e")
+    return cut_lineage(seen.select("hi", "lo", step)), cut_lineage(unseen.select("hi", "ctx", step))
+
+
+def lookup(m: tuple[DataFrame, DataFrame], most: int) -> tuple | None:
+    """The model as arrays in order of their keys; None if it has more than ``most`` rows."""
+    if sum(df.count() for df in m) > most:
+        return None
+    out = []
+    for df in m:
+        t = df.toArrow()                    # at most ``most`` rows
+        a, b, e = (t.column(i).to_numpy().astype(np.int64) for i in range(3))
+        key = gram_key(a, b)
+        order = np.argsort(key)
+        out.append((key[order], e[order]))
+    return tuple(out)
+
+
+def look_up(words: list[str], arrays: tuple) -> np.ndarray:
+    """``word_evidence`` of a list of words from lookup arrays."""
+    word, hi, lo = word_grams(words)
+
+    def find(keys, values, key):
+        if not len(keys):
+            return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return values[at], keys[at] == key
+
+    own, there = find(*arrays[0], gram_key(hi, lo))
+    back, known = find(*arrays[1], gram_key(hi, lo >> 21))
+    out = np.zeros(len(words), np.int64)
+    np.add.at(out, word, np.where(there, own, np.where(known, back, 0)))
+    return out
 
 
 def word_evidence(words: DataFrame, m: tuple[DataFrame, DataFrame]) -> DataFrame:
@@ -197,10 +236,9 @@ def word_evidence(words: DataFrame, m: tuple[DataFrame, DataFrame]) -> DataFrame
 
     seen, unseen = m
     grams = map_arrow(words, run, "key bigint, hi bigint, lo bigint, ctx bigint")
-    grams = grams.join(seen.withColumnRenamed("llr", "own"), ["hi", "lo"], "left")
-    grams = grams.join(unseen.withColumnRenamed("llr", "back"), ["hi", "ctx"], "left")
-    step = F.round(F.coalesce("own", "back", F.lit(0.0)) * SCALE).cast("bigint")
-    return grams.groupBy("key").agg(F.sum(step).alias("e"))
+    grams = grams.join(seen.withColumnRenamed("e", "own"), ["hi", "lo"], "left")
+    grams = grams.join(unseen.withColumnRenamed("e", "back"), ["hi", "ctx"], "left")
+    return grams.groupBy("key").agg(F.sum(F.coalesce("own", "back", F.lit(0))).alias("e"))
 
 
 def document_features(doc: np.ndarray, which: np.ndarray, llr: np.ndarray, n_docs: int) -> np.ndarray:
@@ -247,9 +285,19 @@ def with_evidence(runs: DataFrame, m: tuple[DataFrame, DataFrame]) -> DataFrame:
     return runs.select("run", "ids", "kinds", "places").join(back.select("run", F.col("spots.e").alias("e")), "run", "left")
 
 
-def features(docs: DataFrame, m: tuple[DataFrame, DataFrame], result, schema: str) -> DataFrame:
-    """``result(ids, features)``, arrays by document, over all rows of ``docs``."""
-    def run(batches):
+def features(docs: DataFrame, m: tuple[DataFrame, DataFrame], arrays: tuple | None, result, schema: str) -> DataFrame:
+    """``result(ids, features)``, arrays by document, over all rows of ``docs``,
+    from the lookup arrays or, without them, by joins."""
+    if arrays is not None:
+        share = docs.sparkSession.sparkContext.broadcast(arrays)        # counted: at most LOOKUP_ROWS
+
+        def run(batches):
+            for b, data, off in _runs(batches):
+                doc, which, words = batch_words(data, off)
+                yield result(b.column("doc_id"), document_features(doc, which, look_up(words, share.value) / SCALE, b.num_rows))
+        return map_arrow(docs.select("doc_id", "text"), run, schema)
+
+    def joined(batches):
         for b in batches:
             for i in range(b.num_rows):
                 row = {c: b.column(c).slice(i, 1).flatten() for c in ("ids", "kinds", "places", "e")}
@@ -257,8 +305,7 @@ def features(docs: DataFrame, m: tuple[DataFrame, DataFrame], result, schema: st
                 doc = np.repeat(np.arange(len(n)), n)
                 e = row["e"].to_numpy(zero_copy_only=False) / SCALE
                 yield result(row["ids"], document_features(doc, row["places"].to_numpy(zero_copy_only=False), e, len(n)))
-
-    return map_arrow(with_evidence(word_runs(docs), m).drop("run"), run, schema)
+    return map_arrow(with_evidence(word_runs(docs), m).drop("run"), joined, schema)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 50) -> dict:
@@ -283,22 +330,23 @@ def curve(x: np.ndarray, c: dict) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, lookup_rows: int = LOOKUP_ROWS) -> dict:
     """Model and curve from the training rows of ``labels``."""
     train = staged(labelled(docs, labels), "toxicity-train")
     m = model(train.filter("not curve"))
+    arrays = lookup(m, lookup_rows)
 
     def result(toxic, x):
         return pa.RecordBatch.from_arrays([toxic, *[pa.array(v) for v in x.T]], ["toxic", *[f"f{i}" for i in range(x.shape[1])]])
 
-    got = features(train.filter("curve").select(F.col("toxic").alias("doc_id"), "text"), m, result,
+    got = features(train.filter("curve").select(F.col("toxic").alias("doc_id"), "text"), m, arrays, result,
                    "toxic int, " + ", ".join(f"f{i} double" for i in range(6)))
     got = got.orderBy(F.xxhash64("f0", "f1", "f5"), *got.columns).limit(CURVE_DOCS).toArrow()
     y = got.column("toxic").to_numpy().astype(float)
     x = np.column_stack([got.column(f"f{i}").to_numpy() for i in range(6)]) if len(y) else np.zeros((0, 6))
     if len(y) and 0 < y.sum() < len(y):
-        return {"model": m, "curve": fit_curve(x, y)}
-    return {"model": m, "share": float(y.mean()) if len(y) else 0.5}
+        return {"model": m, "arrays": arrays, "curve": fit_curve(x, y)}
+    return {"share": float(y.mean()) if len(y) else 0.5}
 
 
 def score(docs: DataFrame, fitted: dict) -> DataFrame:
@@ -311,7 +359,7 @@ def score(docs: DataFrame, fitted: dict) -> DataFrame:
     def result(ids, x):
         return pa.RecordBatch.from_arrays([ids, pa.array(curve(x, shape))], ["doc_id", "score"])
 
-    return features(docs, fitted["model"], result, f"doc_id {kind}, score double")
+    return features(docs, fitted["model"], fitted["arrays"], result, f"doc_id {kind}, score double")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,7 +66,8 @@ def small_model(spark):
     seen, unseen = T.evidence(df)
     grams = {(r["hi"], r["lo"]): r["llr"] for r in seen.collect()}
     contexts = {(r["hi"], r["ctx"]): r["llr"] for r in unseen.collect()}
-    return (seen.select("hi", "lo", "llr"), unseen.select("hi", "ctx", "llr")), grams, contexts
+    step = F.round(F.col("llr") * T.SCALE).cast("bigint").alias("e")
+    return (seen.select("hi", "lo", step), unseen.select("hi", "ctx", step)), grams, contexts
 
 
 def plain_word(word, grams, contexts):
@@ -81,6 +82,10 @@ def test_word_evidence_by_lookup(spark):
     got = {r["key"]: r["e"] / T.SCALE for r in T.word_evidence(df, m).collect()}
     assert set(got) == {i for i, w in enumerate(words) if w}
     assert all(math.isclose(got[i], plain_word(words[i], grams, contexts), abs_tol=1e-5) for i in got)
+    rows = sum(df.count() for df in m)
+    assert T.lookup(m, rows - 1) is None
+    seen = T.look_up([w for w in words if w], T.lookup(m, rows)) / T.SCALE
+    assert seen.tolist() == [got[i] for i, w in enumerate(words) if w]
 
 
 def test_runs_give_each_document_its_own_features(spark, monkeypatch):
@@ -92,7 +97,8 @@ def test_runs_give_each_document_its_own_features(spark, monkeypatch):
 
     def result(ids, x):
         return T.pa.RecordBatch.from_arrays([ids, T.pa.array(x[:, 0]), T.pa.array(x[:, 5])], ["doc_id", "mean", "size"])
-    got = T.features(df, m, result, "doc_id bigint, mean double, size double").collect()
+    got = T.features(df, m, None, result, "doc_id bigint, mean double, size double").collect()
+    assert sorted(got) == sorted(T.features(df, m, T.lookup(m, 10**6), result, "doc_id bigint, mean double, size double").collect())
     assert sorted(r["doc_id"] for r in got) == list(range(40))
     for r in got:
         kinds = {w.lower(): w for w in (texts[r["doc_id"] % len(texts)] or "").split()}
@@ -119,6 +125,15 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert T.score(no_docs, T.fit(no_docs, labels)).count() == 0
 
 
+def test_a_joined_model_gives_the_same_scores(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{x}.parquet") for x in ("documents", "labels"))
+    small, large = (T.fit(docs, labels, n) for n in (T.LOOKUP_ROWS, 0))
+    assert small["arrays"] is not None and large["arrays"] is None
+    want, got = (sorted(map(tuple, T.score(docs, f).collect())) for f in (small, large))
+    assert [x[0] for x in got] == [x[0] for x in want]
+    assert all(math.isclose(a[1], b[1], abs_tol=1e-6) for a, b in zip(got, want))
+
+
 def test_words_are_counted_once_a_document():
     data = "Shti shti, SHTI other".encode()
     doc, which, kinds = T.batch_words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
