@@ -20,44 +20,55 @@ def compact(df: DataFrame, num_files: int) -> DataFrame:
     return df.repartition(num_files)
 
 
-def range_ids(df: DataFrame, cols: Sequence[str], bits: int) -> list[Column]:
-    """Order-preserving integers in [0, 2^bits) for columns of any type: each
-    value's place among bounds that cut a uniform sample evenly, so outliers and
-    common prefixes don't matter.  Nulls come first."""
+def range_bounds(df: DataFrame, cols: Sequence[str], bits: int) -> list[list]:
+    """Per column, values that cut a uniform sample into up to 2^bits even parts."""
     rows = df.select(*cols).orderBy(F.rand(seed=42)).limit(SAMPLE_ROWS).collect()
-    out = []
-    for i, c in enumerate(cols):
+    out, n = [], 1 << bits
+    for i in range(len(cols)):
         seen = sorted(r[i] for r in rows if r[i] is not None)
-        n = 1 << bits
-        bounds = sorted({seen[len(seen) * k // n] for k in range(1, n)}) if seen else []
+        out.append(sorted({seen[len(seen) * k // n] for k in range(1, n)}) if seen else [])
+    return out
+
+
+def spread(number: int, bits: int, step: int, place: int) -> int:
+    """``number`` with its bits ``step`` apart, the lowest one at ``place``."""
+    return sum((number >> b & 1) << (b * step + place) for b in range(bits))
+
+
+def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 6, bounds: Sequence[Sequence] | None = None) -> Column:
+    """Morton order of the columns' places among their bounds: order-preserving
+    for columns of any type, so outliers and common prefixes don't matter; nulls
+    come first.  A place is found by halving, and the leaves of that search are
+    the spread bits themselves, so each column is searched once a row.  ``bounds``
+    of an earlier ``range_bounds`` keep the key the same over loads."""
+    bounds = range_bounds(df, cols, bits) if bounds is None else bounds
+    z = F.lit(0).cast("long")
+    for i, (c, cuts) in enumerate(zip(cols, bounds)):
         kind = df.schema[c].dataType
 
         def place(lo: int, hi: int):
             if lo == hi:
-                return F.lit(lo)
+                return F.lit(spread(lo, bits, len(cols), i)).cast("long")
             mid = (lo + hi) // 2
-            at = F.lit(bounds[mid]).cast(kind)
+            at = F.lit(cuts[mid]).cast(kind)
             return F.when(F.col(c) < at, place(lo, mid)).otherwise(place(mid + 1, hi))
-        out.append(F.when(F.col(c).isNull(), F.lit(0)).otherwise(place(0, len(bounds))).cast("long"))
-    return out
+        z = z.bitwiseOR(F.when(F.col(c).isNull(), F.lit(0).cast("long")).otherwise(place(0, len(cuts))))
+    return z
 
 
-def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 6) -> Column:
-    """Interleave the bits of the columns' range ids (Morton order)."""
-    ids = range_ids(df, list(cols), bits)
-    z = F.lit(0).cast("long")
-    for b in range(bits):
-        for i, x in enumerate(ids):
-            bit = F.shiftright(x, b).bitwiseAND(F.lit(1))
-            z = z.bitwiseOR(F.shiftleft(bit, b * len(ids) + i))
-    return z
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until no column has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
 
 
-def cluster_by(df: DataFrame, cols: Sequence[str], num_files: int) -> DataFrame:
+def cluster_by(df: DataFrame, cols: Sequence[str], num_files: int, key: Column | None = None) -> DataFrame:
     """Range-partition and sort by the Z-order key so each output file covers
     a compact box of the clustering columns (tight Parquet min/max stats for
     data skipping).  A row hash as second range column splits rows that share
-    one key over files.  Neither helper column is kept."""
-    keyed = df.withColumn("__z", zorder_key(df, cols)).withColumn("__h", F.xxhash64(*df.columns))
-    return (keyed.repartitionByRange(num_files, "__z", "__h")
-                 .sortWithinPartitions("__z", *cols).drop("__z", "__h"))
+    one key over files.  ``key`` is a Z-order key already at hand.  Neither helper
+    column is kept."""
+    z, h = free_name(df, "__z"), free_name(df, "__h")
+    keyed = df.withColumn(z, zorder_key(df, cols) if key is None else key).withColumn(h, F.xxhash64(*df.columns))
+    return keyed.repartitionByRange(num_files, z, h).sortWithinPartitions(z, *cols).drop(z, h)

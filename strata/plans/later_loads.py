@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.key_filter import append_new
+from ..operators.layout import cluster_by
+from ..operators.recluster import depths, file_ranges, recluster
 from ..operators.type_profile import profile_load
 from ..session import shared_dir
 from ..sources.files import split_corrupt
@@ -114,3 +116,23 @@ def q_dedup_loads(spark, sf):
         if not n["repeats"] <= n["possible"] <= n["keys"]:
             raise AssertionError(str(n))
     return st.read("lineitem").select(*_LI)
+
+
+@query("q_cluster_incremental", f"SELECT {', '.join(_LI)} FROM lineitem")
+def q_cluster_incremental(spark, sf):
+    """A clustered table of line items takes three loads of late shipments in no
+    order; only files whose ranges they overlap are written again."""
+    li, st, by = table(spark, sf, "lineitem").select(*_LI), _store(spark), ["l_shipdate", "l_partkey"]
+    late = F.coalesce(F.col("l_shipdate") >= "1998-01-01", F.lit(False))
+    st.publish(li.filter(~late), "lineitem")
+    st.rewrite("lineitem", lambda df, files: cluster_by(df, by, max(files, 16)))
+    aim = st.size("lineitem") // 16 + 1
+    for load in range(3):
+        st.append(li.filter(late & (F.col("l_orderkey") % 3 == load)), "lineitem")
+    before = file_ranges(st, "lineitem", by)
+    n = recluster(st, "lineitem", by, file_bytes=aim)
+    after = file_ranges(st, "lineitem", by)
+    deepest = max((d for _, _, d in depths(after)), default=0)
+    if len(set(before) - set(after)) != n["rewritten"] or n["rewritten"] and deepest >= n["depth"]:
+        raise AssertionError(f"{n}, depth {deepest} after")
+    return st.read("lineitem")
