@@ -38,21 +38,25 @@ def spread(number: int, bits: int, step: int, place: int) -> int:
 def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 6, bounds: Sequence[Sequence] | None = None) -> Column:
     """Morton order of the columns' places among their bounds: order-preserving
     for columns of any type, so outliers and common prefixes don't matter; nulls
-    come first.  A place is found by halving, and the leaves of that search are
-    the spread bits themselves, so each column is searched once a row.  ``bounds``
-    of an earlier ``range_bounds`` keep the key the same over loads."""
+    come first.  A place is found by halving: each step compares with one element
+    of the column's array of bounds, so the expression grows with ``bits`` and its
+    compiled method stays small enough to be compiled to machine code (a tree of
+    all bounds, nested in one method, is interpreted).  ``bounds`` of an earlier
+    ``range_bounds`` keep the key the same over loads."""
     bounds = range_bounds(df, cols, bits) if bounds is None else bounds
     z = F.lit(0).cast("long")
     for i, (c, cuts) in enumerate(zip(cols, bounds)):
-        kind = df.schema[c].dataType
-
-        def place(lo: int, hi: int):
-            if lo == hi:
-                return F.lit(spread(lo, bits, len(cols), i)).cast("long")
-            mid = (lo + hi) // 2
-            at = F.lit(cuts[mid]).cast(kind)
-            return F.when(F.col(c) < at, place(lo, mid)).otherwise(place(mid + 1, hi))
-        z = z.bitwiseOR(F.when(F.col(c).isNull(), F.lit(0).cast("long")).otherwise(place(0, len(cuts))))
+        if not cuts:
+            continue
+        kind, halvings = df.schema[c].dataType, len(cuts).bit_length()
+        # as many bounds as places less one; comparing with a null one is not true
+        at = F.array(*[F.lit(x).cast(kind) for x in [*cuts, *[None] * ((1 << halvings) - 1 - len(cuts))]])
+        place = F.lit(0)
+        for step in (1 << h for h in reversed(range(halvings))):
+            above = F.coalesce(F.col(c) >= F.get(at, place + F.lit(step - 1)), F.lit(False))
+            place = place + above.cast("int") * F.lit(step)
+        leaves = F.array(*[F.lit(spread(n, bits, len(cols), i)).cast("long") for n in range(1 << halvings)])
+        z = z.bitwiseOR(F.get(leaves, place))
     return z
 
 
