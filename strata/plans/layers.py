@@ -27,7 +27,7 @@ from ..operators.privacy import not_null_view, public_view
 from ..operators.metric_state import MetricState
 from ..operators.quality import GateRule, enforce_gate, gate_report, quality_score
 from ..operators.star import build_dimension, require_distinct_keys
-from ..session import cut_lineage
+from ..session import cut_lineage, stage_columns
 from ..sources.files import (check_format, check_not_empty, content_digest, default_batch_id, load_mode, read_raw,
                              split_corrupt)
 from ..sources.quarantine import envelope, file_event, quarantine
@@ -133,7 +133,7 @@ def bronze(spark: SparkSession, store: TableStore, path: str, spec: BronzeSpec,
     if mode == "update" and spec.on_seen == "skip":
         return {"mode": "skipped", "source_file": path}
     # the raw file is parsed once; everything below reads the parsed rows
-    raw = cut_lineage(read_raw(spark, path, ext, columns=None))
+    raw = stage_columns(read_raw(spark, path, ext, columns=None))
     good, bad = split_corrupt(check_not_empty(raw, path, on_reject=reject))
     digest = content_digest(raw)
     load = _load_id(path, digest)
@@ -155,7 +155,7 @@ def bronze(spark: SparkSession, store: TableStore, path: str, spec: BronzeSpec,
     df = normalise_columns(fill_missing(good, missing))
     df = add_ingest_metadata(df, path, ext, batch_id)
     # deterministic survivor per business key (every other column breaks ties)
-    df = cut_lineage(latest_per_key(df, list(spec.keys), []))
+    df = stage_columns(latest_per_key(df, list(spec.keys), []))
     with store.loading(load):
         create_or_upsert(store, spec.table, df, list(spec.keys), spec.partition() if spec.partition else None)
     quarantine(envelope(bad, "bronze", "parse_error", path, batch_id), store.root, load, "parse")
@@ -202,7 +202,7 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
     if spec.slice_col:
         df = slice_filter(df, spec.slice_col, slice_value)
     # the batch is read by several statistics jobs below: materialise it once
-    df = cut_lineage(df)
+    df = stage_columns(df)
     processed = df
     if not df.take(1):
         return {"rows": 0, "published": None}
@@ -213,8 +213,10 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
     clean = latest_per_key(dedup_rows(clean), list(spec.keys), ["ingested_at"])
     # every imputation rule computes statistics over this frame: materialise
     # the deduplicated, typed batch once instead of re-running its shuffles
-    typed = cut_lineage(cleanse(clean, spec))
-    filled = impute(typed, list(spec.rules), row_key=list(spec.row_key or spec.keys), seed=spec.seed)
+    typed = stage_columns(cleanse(clean, spec))
+    # the kept and the rejected rows, the merge, its guards and the list of touched
+    # partitions all read the filled rows
+    filled = stage_columns(impute(typed, list(spec.rules), row_key=list(spec.row_key or spec.keys), seed=spec.seed))
     kept, rejected = split_critical(filled, list(spec.critical)) if spec.critical else (filled, None)
     if rejected is not None:
         qenv = qenv.unionByName(
@@ -223,8 +225,7 @@ def silver(spark: SparkSession, store: TableStore, spec: SilverSpec, *, slice_va
     out = out.withColumns({m: mask(c) for c, m in spec.masks.items()})
     if spec.restricted:
         out = out.withColumn("_is_restricted", restricted_flag(spec.restricted[0], spec.restricted[1]))
-    # the merge, its guards and the list of touched partitions all read the batch
-    out = cut_lineage(scd_init(out, spec.scd_start))
+    out = scd_init(out, spec.scd_start)
     cur = F.col("_is_current")
     rules = [GateRule("non_empty", kind="empty")]
     rules += [GateRule(f"no_nulls_{c}", F.col(c).isNull()) for c in spec.gate_not_null]

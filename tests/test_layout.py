@@ -45,3 +45,16 @@ def test_compiled_method_is_small_enough_for_machine_code(spark):
     stages = debug.codegenStringSeq(plan)
     sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
     assert sizes and max(sizes) < 8000
+
+
+def test_staged_frames_are_read_by_column(spark):
+    """A job that needs one column of a staged frame reads that column alone, and
+    the frame is cut from what made it."""
+    from strata.session import stage_columns
+    df = rows(spark).withColumn("r", F.rand())
+    kept = stage_columns(df)
+    assert kept.schema.simpleString() == df.schema.simpleString()
+    assert sorted(map(str, kept.collect())) == sorted(map(str, kept.collect()))
+    plan = kept.agg(F.sum("id"))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint>" in plan
+    assert sorted(map(str, kept.drop("r").collect())) == sorted(map(str, df.drop("r").collect()))
