@@ -463,6 +463,32 @@ def _probe_edges(big: DataFrame, root: DataFrame, probes: DataFrame, group_token
     return cut_lineage(map_arrow(both, _probe_groups, "a bigint, b bigint").distinct())
 
 
+def most_frequent(counts: DataFrame, k: int) -> np.ndarray:
+    """The ``k`` tokens of ``counts`` (token, n) with the largest n, of equal ones the
+    smallest, as sorted unsigned numbers.
+
+    A sort with a limit would send ``k`` rows of every partition to the driver.  Here
+    it gets row counts by 16 bits of (n, token) at a time, and then only the rows
+    before the place in which row ``k`` lies and those in it, 2 * k at most."""
+    low = F.lit(0xFFFF)
+    places = [low - F.shiftright("n", s).bitwiseAND(low) for s in (48, 32, 16, 0)]
+    places += [F.shiftright("token", 48) + 0x8000] + [F.shiftright("token", s).bitwiseAND(low) for s in (32, 16, 0)]
+    most, rows = counts.agg(F.coalesce(F.max("n"), F.lit(0)), F.count(F.lit(1))).first()
+    take, open_, before = F.lit(False), F.lit(True), 0      # rows taken, rows still to be told apart
+    for place in places[sum(int(most) >> s == 0 for s in (48, 32, 16)):]:
+        if before + rows <= 2 * k:
+            break
+        hist = counts.filter(open_).groupBy(place.alias("p")).count().toArrow().sort_by("p")     # 65,536 rows at most
+        p, m = hist.column("p").to_numpy(), hist.column("count").to_numpy()
+        ends = before + np.cumsum(m)
+        at = int(np.searchsorted(ends, k))
+        take, open_ = take | open_ & (place < F.lit(int(p[at]))), open_ & (place == F.lit(int(p[at])))
+        before, rows = int(ends[at] - m[at]), int(m[at])
+    got = counts.filter(take | open_).select("token", "n").toArrow()
+    token, n = got.column("token").to_numpy(), got.column("n").to_numpy()
+    return np.sort(token[np.lexsort((token, -n))[:k]].view(np.uint64))
+
+
 # -- the join -------------------------------------------------------------------
 def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """doc_id, th (hash of the text), n_shingles, cls (equal for equal sets),
@@ -472,9 +498,9 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
     kind = docs.schema["doc_id"].dataType.simpleString()
     first = staged(map_arrow(docs, _first_pass, f"doc_id {kind}, th bigint, cls bigint, n bigint, token bigint"), "shingles")
     meta = first.filter("token is null").drop("token")
-    often = (first.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
-             .orderBy(F.col("n").desc(), "token").limit(COMMON_TOKENS).select("token").collect())
-    common = np.sort(np.array([r["token"] for r in often], np.int64).view(np.uint64))
+    often = shared_dir(docs.sparkSession, "llm", "often")
+    common = most_frequent(staged(first.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n")), "often", often), COMMON_TOKENS)
+    discard(docs.sparkSession, often)
     classes = cut_lineage(meta.filter("n > 0").groupBy("cls").agg(
         F.min("n").alias("n"), F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "th")).alias("rep")))
     sizes = classes.select("cls", "n")

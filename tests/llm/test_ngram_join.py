@@ -1,12 +1,15 @@
 import collections
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 
 from strata.llm import ngram_join as J
 from strata.llm.components import components
+from tests.conftest import ROOT
 from tests.llm.conftest import SF, clashing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -159,3 +162,35 @@ def test_salted_runs_meet_through_a_pivot_that_is_no_candidate(spark):
     want = brute(rows)
     assert want[1, len(shingles(rows[1][1])), 0] == 1           # the second is linked with the first
     assert answer(df) == want
+
+
+@pytest.mark.parametrize("k", [1, 7, 50, 500, 3000])
+def test_most_frequent_tokens(spark, k):
+    """The same tokens as a whole sort gives, by counts and, where they are equal, by tokens."""
+    r = random.Random(k)
+    tokens = list({r.choice([r.getrandbits(64) - (1 << 63), r.randrange(-40, 40), (5 << 48) + r.randrange(900)]) for _ in range(2500)})
+    rows = [(t, r.choice([4, 4, 4, 5, 70_000, 70_001, 1 << 33, (1 << 50) + 1])) for t in tokens]
+    want = sorted(rows, key=lambda x: (-x[1], x[0]))[:k]
+    counts = spark.createDataFrame(rows, "token bigint, n bigint").repartition(7)
+    got = J.most_frequent(counts, k)
+    assert got.dtype == np.uint64 and got.tolist() == sorted(t % (1 << 64) for t, _ in want)
+    assert not len(J.most_frequent(counts.limit(0), k))
+
+
+def test_frequent_tokens_of_many_partitions_fit_the_driver(tmp_path):
+    """Every token is frequent in its run of documents, as each document comes six times in a row."""
+    code = f"""
+import random
+from strata.session import get_session
+from strata.llm import ngram_join as J
+spark = get_session("local[4]", 32, extra={{"spark.driver.maxResultSize": "8m", "spark.checkpoint.dir": {str(tmp_path)!r},
+                    "spark.sql.adaptive.coalescePartitions.enabled": "false"}})
+r = random.Random(3)
+texts = [" ".join(f"{{r.getrandbits(24):x}}" for _ in range(1000)) for _ in range(500)]
+docs = spark.createDataFrame([(6 * i + k, t) for i, t in enumerate(texts) for k in range(6)], "doc_id bigint, text string")
+got = J.similar_components(docs.coalesce(4)).select("doc_id", "n_shingles", "component_id").toArrow()
+assert got.num_rows == 3000 and set(got.column("n_shingles").to_pylist()) == {{996}}
+assert all(c == i - i % 6 for i, c in zip(got.column("doc_id").to_pylist(), got.column("component_id").to_pylist()))
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-3000:]
