@@ -194,3 +194,22 @@ assert all(c == i - i % 6 for i, c in zip(got.column("doc_id").to_pylist(), got.
 """
     done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=600)
     assert done.returncode == 0, done.stderr[-3000:]
+
+
+def test_estimates_of_component_rounds_stay_small(spark, monkeypatch):
+    """A path of links takes many rounds; Spark's estimate of their labels' size must not grow with each."""
+    import strata.llm.components as C
+    sizes, cut = [], C.cut_lineage
+
+    def watched(df, **more):
+        out = cut(df, **more)
+        sizes.append(out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        return out
+
+    monkeypatch.setattr(C, "cut_lineage", watched)
+    order = list(range(600))
+    random.Random(5).shuffle(order)
+    edges = spark.createDataFrame(list(zip(order, order[1:])), "a bigint, b bigint")
+    got = {r["v"]: r["root"] for r in components(edges).collect()}
+    assert got == dict.fromkeys(range(600), 0)
+    assert len(sizes) > 10 and max(sizes) < 1 << 63
