@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import (DataFrame, SparkSession, cut_lineage, discard, fold, map_arrow, mix64, shared_dir,
+from strata.llm.common import (DataFrame, SparkSession, cut_lineage, discard, fold, free_unused, map_arrow, mix64, shared_dir,
                                span_hash, staged, table,
                                text_bytes, text_groups, word_spans)
 from strata.llm.bitmap import bitmap, holds
@@ -508,6 +508,7 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
     # first order: all documents
     posts = map_arrow(docs.select("text"), _postings(common), "token bigint, salt int, cls bigint")
     edges = cut_lineage(star_edges(posts.withColumn("grp", F.lit(0).cast("bigint"))))
+    free_unused(docs.sparkSession)
     alive = cut_lineage(_enough(edges, sizes))
     key = F.xxhash64("doc_id", "th")
     reps = alive.join(classes, "cls").select(F.xxhash64(F.col("rep.doc_id"), F.col("rep.th")).alias("k"))
@@ -516,6 +517,7 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
     sets = staged(sets.dropDuplicates(["cls"]), "candidates", texts)
     edges = _ties(edges, alive)
     one = components(edges, "cls", "pivot").toDF("cls", "one")
+    free_unused(docs.sparkSession)
 
     # second order: rare tokens first, by their counts among the candidates
     def every(batches):
@@ -528,9 +530,11 @@ def similar_components(docs: DataFrame, group_tokens: int = GROUP_TOKENS) -> Dat
 
     posts = map_arrow(sets, every, "token bigint, salt int, cls bigint")
     edges = cut_lineage(star_edges(rare_first(posts, sizes).withColumn("grp", F.lit(0).cast("bigint"))))
+    free_unused(docs.sparkSession)
     alive = _enough(edges, sizes)
     edges = _ties(edges, alive)
     two = components(edges, "cls", "pivot").toDF("cls", "two")
+    free_unused(docs.sparkSession)
     # a linked pair is connected under both orders
     groups = one.join(two, "cls").join(sizes, "cls").select("cls", F.xxhash64("one", "two").alias("grp"), "n")
     roots = exact_roots(sets, groups, group_tokens)
